@@ -86,7 +86,7 @@ MEASURE_KEYWORDS = {
 # Measure -> whole names that match it (so that its own sub-columns do not).
 MEASURE_EXACT = {"Depósitos a Plazo": ["depósitos a plazo", "depositos a plazo"]}
 
-BUCKET_PATTERN = "(?i)(Hasta.*|31-90.*|91-180.*|181-360.*|Más de.*)"
+BUCKET_PATTERN = "(?iu)(Hasta.*|31-90.*|91-180.*|181-360.*|Más de.*)"
 NATURAL_PATTERN = "(?i)Natur"
 LEGAL_PATTERN = "(?i)Jur"
 ENTITY_HEADER_WORDS = ["empresa", "entidad", "sistema"]

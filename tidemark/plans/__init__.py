@@ -1,4 +1,10 @@
 """Query catalogue: importing it registers every query."""
 
-from tidemark.plans import calendar_queries, series_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    calendar_queries,
+    series_queries,
+    cleaning_queries,
+    merge_queries,
+    table_queries,
+)
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -5,6 +5,7 @@ from tidemark.plans import (  # noqa: F401
     series_queries,
     cleaning_queries,
     merge_queries,
+    gate_queries,
     table_queries,
 )
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -7,5 +7,6 @@ from tidemark.plans import (  # noqa: F401
     merge_queries,
     gate_queries,
     table_queries,
+    web_queries,
 )
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401

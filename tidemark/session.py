@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +45,19 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared root; never reused between runs."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per Spark context.
+
+    Needed where it is not installed on the executors (``--py-files`` does the same).
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='tidemark-')}/tidemark", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    context._tidemark_shipped = True

@@ -3,6 +3,7 @@
 from tidemark.plans import (  # noqa: F401
     calendar_queries,
     series_queries,
+    stream_queries,
     cleaning_queries,
     merge_queries,
     gate_queries,

@@ -76,7 +76,7 @@ dated AS (SELECT *, regexp_extract_all(etiqueta, '\b(\d{2}/\d{2}/\d{4})\b', 1)[-
 """
 
 
-def labels(spark, sf_dir):
+def labels(spark, sf_dir, orders=None):
     day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 6
     shown, before = (F.date_format(d, "dd/MM/yyyy") for d in (day, F.date_sub(day, 1)))
     text = (
@@ -86,9 +86,8 @@ def labels(spark, sf_dir):
         .when(kind == 3, "Moneda Extranjera sin fecha")
         .when(kind == 4, F.concat(shown, F.lit(" y 123/01/20001")))
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", day.cast("date").alias("pedida"), text.alias("etiqueta")
-    )
+    source = table(spark, sf_dir, "orders") if orders is None else orders
+    return source.select("o_orderkey", day.cast("date").alias("pedida"), text.alias("etiqueta"))
 
 
 @query("effective_date", f"WITH {LABEL_SQL} SELECT o_orderkey, eff AS vigente_al FROM dated")

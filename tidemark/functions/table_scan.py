@@ -21,6 +21,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SECTIONS = ("thead", "tbody", "tfoot")
 CELLS = ("td", "th")
+TRACKED = frozenset((*SECTIONS, *CELLS, "table", "tr", "div"))
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -71,29 +72,30 @@ class PageTables:
     def __init__(self, html: str):
         self.tables: list[Table] = []
         self.open: list[tuple[str, object]] = []
+        self.cells: list[Cell] = []
         self.cell_count = 0
         at = 0
         for token in TOKEN.finditer(html):
-            self.text(html, at, token.start())
-            at = token.end()
-            tag = token.group("tag")
+            start, end = token.span()
+            if self.cells and start > at:
+                self.text(html[at:start])
+            at = end
+            _, close, tag, raw = token.groups()
             if tag:
                 tag = tag.lower()
-                if token.group("close"):
-                    self.end(tag)
-                else:
-                    self.start(tag, token.group("attrs"))
-        self.text(html, at, len(html))
-
-    def text(self, html: str, start: int, end: int) -> None:
-        if start == end or not self.open:
-            return
-        cells = [node for kind, node in self.open if kind in CELLS]
-        if cells:
-            piece = unescape(html[start:end]).strip()
-            if piece:
-                for cell in cells:
-                    cell.pieces.append(piece)
+                if tag in TRACKED:
+                    if close:
+                        self.end(tag)
+                    else:
+                        self.start(tag, raw)
+        if self.cells:
+            self.text(html[at:])
+
+    def text(self, text: str) -> None:
+        piece = (unescape(text) if "&" in text else text).strip()
+        if piece:
+            for cell in self.cells:
+                cell.pieces.append(piece)
 
     def close_down_to(self, kinds: tuple[str, ...], stop: tuple[str, ...]) -> None:
         """Close the innermost open node of these kinds, unless ``stop`` comes first."""
@@ -101,6 +103,7 @@ class PageTables:
             kind = self.open[depth][0]
             if kind in kinds:
                 del self.open[depth:]
+                self.cells = [node for kind, node in self.open if kind in CELLS]
                 return
             if kind in stop:
                 return
@@ -140,6 +143,7 @@ class PageTables:
                 if kind == "tr":
                     node.cells.append(cell)
             self.open.append((tag, cell))
+            self.cells.append(cell)
 
     def end(self, tag: str) -> None:
         if tag == "div":

@@ -82,44 +82,67 @@ def label_first(df: DataFrame) -> DataFrame:
     return df.select(f"`{fixed.BANK}`", *[f"`{c}`" for c in df.columns if c != fixed.BANK])
 
 
-def _cell_of(target: str) -> Column:
-    """Text of the cell the mapping gives a target; ``columnas`` and ``celdas`` align."""
-    source = F.get(F.filter("mapa", lambda m: m["destino"] == target), F.lit(0))["origen"]
-    place = F.array_position("columnas", source).cast("int")
-    return F.when(place > 0, F.get("celdas", place - 1))
+def _places(tables: DataFrame, measures: list[str]) -> DataFrame:
+    """Add ``lugares``: for each measure the position of its cell in a row.
+
+    ``indices`` gives the place in a row of each of the ``columnas``.
+    """
+    mapped = map_columns(
+        tables.withColumn("_todas", with_bank_first(F.col("columnas"))), names="_todas"
+    )
+    wanted = F.array(*[F.lit(m) for m in measures])
+    sources = F.transform(
+        wanted, lambda t: F.get(F.filter("mapa", lambda m: m["destino"] == t), F.lit(0))["origen"]
+    )
+    return mapped.withColumn(
+        "lugares",
+        F.transform(
+            sources,
+            lambda s: F.when(
+                F.array_position("columnas", s) > 0,
+                F.get("indices", F.array_position("columnas", s).cast("int") - 1),
+            ),
+        ),
+    ).drop("_todas")
 
 
-def harmonise(rows: DataFrame, keep: list[str], measures: list[str] = fixed.MEASURES) -> DataFrame:
+def harmonise(tables: DataFrame, keep: list[str], measures: list[str] = fixed.MEASURES) -> DataFrame:
     """Long facts ``banco, bucket, valor, valor_raw`` for every target measure.
 
-    ``rows`` has ``banco``, ``columnas`` and ``celdas`` (same length). Both the number and,
+    ``tables`` has ``columnas``, ``filas`` and ``bancos``, one row per table, so columns are
+    matched once per table and each bank only picks cells by position. Both the number and,
     where a text is not one, the text itself are kept.
     """
-    mapped = map_columns(
-        rows.withColumn("_todas", with_bank_first(F.col("columnas"))), names="_todas"
-    )
-    cells = F.array(
-        *[
-            F.struct(F.lit(t).alias("bucket"), clean.clean_rate(_cell_of(t)).alias("r"))
-            for t in measures
-        ]
+    if "indices" not in tables.columns:
+        tables = tables.withColumn("indices", F.transform("columnas", lambda c, i: i))
+    placed = _places(tables, measures)
+    names = F.array(*[F.lit(m) for m in measures])
+    rows = F.transform(
+        "filas",
+        lambda r, i: F.struct(
+            F.get("bancos", i).alias("banco"),
+            F.transform("lugares", lambda p: F.get(r, p)).alias("textos"),
+        ),
     )
-    return mapped.select(*keep, "banco", F.explode(cells).alias("c")).select(
-        *keep, "banco", "c.bucket", "c.r.valor", "c.r.valor_raw"
+    # The outer forms keep the optimiser from repeating the extraction in a size filter.
+    banks = placed.select(*keep, F.explode_outer(rows).alias("f")).filter(F.col("f").isNotNull())
+    cells = banks.select(*keep, "f.banco", F.posexplode_outer("f.textos").alias("n", "texto"))
+    rate = clean.clean_rate(F.col("texto"))
+    return cells.select(
+        *keep, "banco", F.get(names, F.col("n")).alias("bucket"),
+        rate["valor"].alias("valor"), rate["valor_raw"].alias("valor_raw"),
     )
 
 
-def split_person(rows: DataFrame) -> DataFrame:
+def split_person(tables: DataFrame) -> DataFrame:
     """Columns of a person-type table by person, names cut to their term bucket.
 
-    Gives up to two rows per input row, with ``tipo_persona`` and the columns and cells of
-    that person. Columns naming neither person are halved by position, the odd one going
-    to the second half.
+    Gives up to two rows per table, with ``tipo_persona``, the ``columnas`` of that person
+    and their ``indices`` in the table's rows, which stay as they are. Columns naming
+    neither person are halved by position, the odd one going to the second half.
     """
-    pairs = F.transform(
-        "columnas", lambda n, i: F.struct(n.alias("n"), F.get("celdas", i).alias("x"), i.alias("i"))
-    )
-    with_pairs = rows.withColumn("_pares", pairs)
+    pairs = F.transform("columnas", lambda n, i: F.struct(n.alias("n"), i.alias("i")))
+    with_pairs = tables.withColumn("_pares", pairs)
     natural = F.filter("_pares", lambda p: p["n"].rlike(fixed.NATURAL_PATTERN))
     legal = F.filter("_pares", lambda p: p["n"].rlike(fixed.LEGAL_PATTERN))
     neither = (F.size(natural) == 0) & (F.size(legal) == 0)
@@ -134,30 +157,29 @@ def split_person(rows: DataFrame) -> DataFrame:
             F.when(neither, F.filter("_pares", lambda p: p["i"] >= half)).otherwise(legal).alias("p"),
         ),
     )
-    others = [c for c in rows.columns if c not in ("columnas", "celdas")]
+    others = [c for c in tables.columns if c != "columnas"]
     return (
-        with_pairs.select(*others, F.explode(parts).alias("t"))
+        with_pairs.select(*others, F.explode_outer(parts).alias("t"))
         .filter(F.size("t.p") > 0)
         .select(
             *others,
             "t.tipo_persona",
             F.transform("t.p", lambda p: clean.bucket_name(p["n"])).alias("columnas"),
-            F.transform("t.p", lambda p: p["x"]).alias("celdas"),
+            F.transform("t.p", lambda p: p["i"]).alias("indices"),
         )
     )
 
 
-def general_rates(rows: DataFrame, keep: list[str]) -> DataFrame:
+def general_rates(tables: DataFrame, keep: list[str]) -> DataFrame:
     """General rates of both currency types, long form."""
-    general = rows.filter(~F.col("por_persona"))
-    return harmonise(general, [*keep, "tipo_moneda"])
+    return harmonise(tables.filter(~F.col("por_persona")), [*keep, "tipo_moneda"])
 
 
 def person_rates(
-    rows: DataFrame, keep: list[str], natural: bool = True, legal: bool = True
+    tables: DataFrame, keep: list[str], natural: bool = True, legal: bool = True
 ) -> DataFrame:
     """Term rates by person type, long form; either person can be left out."""
-    parts = split_person(rows.filter("por_persona"))
+    parts = split_person(tables.filter("por_persona"))
     chosen = parts.filter(gates.person_kept(F.col("tipo_persona"), natural, legal))
     return harmonise(chosen, [*keep, "tipo_moneda", "tipo_persona"], fixed.TERM_BUCKETS)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.plans.registry import table
+from tidemark.session import spread
 
 
 def text(*parts: str | Column) -> Column:
@@ -41,7 +42,7 @@ def flat_responses(spark, sf_dir) -> DataFrame:
         tr("total", F.col("o_orderstatus"), "1"),
         "</TABLE><!-- ", F.repeat(F.lit("relleno "), 30), "-->",
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         key.alias("doc_id"), day.cast("date").alias("dia"), html.alias("html")
     )
 
@@ -61,7 +62,7 @@ def grid_pages(spark, sf_dir) -> DataFrame:
         tr("pie", "1", "2", attrs=" class='rgFooter'"),
         "</tbody></table></div></div></body></html>",
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         key.alias("doc_id"), F.col("o_orderdate").cast("date").alias("dia"), html.alias("html")
     )
 
@@ -119,7 +120,7 @@ def pivot_pages(spark, sf_dir) -> DataFrame:
         f"<table id='{fixed.FOREIGN_IDS[0]}'><tr><td>", bank_b, "</td></tr>",
         "<tr><td>1.25</td><td>", amount(bal), "</td><td>x</td></tr></table>",
     )
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer"), "c_custkey").select(
         key.alias("doc_id"),
         text("<html><body>", general, person, foreign, "</body></html>").alias("html"),
     )

@@ -234,7 +234,7 @@ facts AS (
 
 @query("pivot_rows_roundtrip", f"WITH {GENERAL_SQL} SELECT * FROM facts")
 def pivot_rows_roundtrip(spark, sf_dir):
-    return reshape.general_rates(deposit_rows(spark, sf_dir), KEEP)
+    return reshape.general_rates(deposit_tables(spark, sf_dir), KEEP)
 
 
 @query(
@@ -250,7 +250,7 @@ def pivot_rows_roundtrip(spark, sf_dir):
     """,
 )
 def harmonised_wide(spark, sf_dir):
-    long = reshape.general_rates(deposit_rows(spark, sf_dir), KEEP)
+    long = reshape.general_rates(deposit_tables(spark, sf_dir), KEEP)
     return reshape.to_wide(long, ["doc_id", "tipo_moneda", "banco"]).select(
         "doc_id", "tipo_moneda", "banco",
         F.col("Depósitos de Ahorro").alias("ahorro"), F.col("Hasta 30 días").alias("hasta_30"),
@@ -275,12 +275,12 @@ SELECT doc_id, tipo_moneda, tipo_persona, banco, x.bucket, x.valor, NULL::VARCHA
 
 @query("stack_person", f"WITH {PERSON_SQL} {PERSON_LONG_SQL}")
 def stack_person(spark, sf_dir):
-    return reshape.person_rates(deposit_rows(spark, sf_dir), KEEP)
+    return reshape.person_rates(deposit_tables(spark, sf_dir), KEEP)
 
 
 @query("person_filter", f"WITH {PERSON_SQL} {PERSON_LONG_SQL} WHERE tipo_persona <> 'Natural'")
 def person_filter(spark, sf_dir):
-    return reshape.person_rates(deposit_rows(spark, sf_dir), KEEP, natural=False)
+    return reshape.person_rates(deposit_tables(spark, sf_dir), KEEP, natural=False)
 
 
 @query(
@@ -294,9 +294,11 @@ def person_filter(spark, sf_dir):
     """,
 )
 def split_person(spark, sf_dir):
-    return reshape.split_person(deposit_rows(spark, sf_dir).filter("por_persona")).select(
-        "doc_id", "tipo_persona",
-        F.array_join("columnas", "|").alias("columnas"), F.array_join("celdas", "|").alias("celdas"),
+    parts = reshape.split_person(deposit_tables(spark, sf_dir).filter("por_persona"))
+    first_row = F.get("filas", F.lit(0))
+    return parts.select(
+        "doc_id", "tipo_persona", F.array_join("columnas", "|").alias("columnas"),
+        F.array_join(F.transform("indices", lambda i: F.get(first_row, i)), "|").alias("celdas"),
     )
 
 
@@ -311,7 +313,7 @@ def split_person(spark, sf_dir):
 )
 def stack_general(spark, sf_dir):
     """National and foreign general rates together, summed up per measure."""
-    long = reshape.general_rates(deposit_rows(spark, sf_dir), KEEP)
+    long = reshape.general_rates(deposit_tables(spark, sf_dir), KEEP)
     return long.groupBy("tipo_moneda", "bucket").agg(
         F.count(F.lit(1)).alias("filas"), F.count("valor").alias("con_valor"),
         F.count("valor_raw").alias("con_texto"), F.max("valor").alias("maximo"),
@@ -374,7 +376,7 @@ def positional_fallback(spark, sf_dir):
 def unpivot_rates(spark, sf_dir):
     """Long to wide and back again."""
     keys, measures = ["doc_id", "tipo_persona", "banco"], ["Hasta 30 días", "Más de 360 días"]
-    long = reshape.person_rates(deposit_rows(spark, sf_dir), KEEP)
+    long = reshape.person_rates(deposit_tables(spark, sf_dir), KEEP)
     return reshape.to_long(reshape.to_wide(long, keys, measures), keys, measures)
 
 
@@ -389,6 +391,6 @@ def canonical_projection(spark, sf_dir):
     """Fixed output columns: absent ones are empty, a constant tag goes first."""
     keys = ["doc_id", "tipo_persona", "banco"]
     wide = reshape.to_wide(
-        reshape.person_rates(deposit_rows(spark, sf_dir), KEEP), keys, ["Hasta 30 días"]
+        reshape.person_rates(deposit_tables(spark, sf_dir), KEEP), keys, ["Hasta 30 días"]
     ).withColumnRenamed("Hasta 30 días", "h30")
     return reshape.tagged(reshape.canonical(wide, [*keys, "h30", "plazo"]), origen="captura")

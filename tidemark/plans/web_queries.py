@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.operators import references, weblog
 from tidemark.plans.registry import query, table
+from tidemark.session import materialise, spread
 from tidemark.sources import network_log
 
 # Events as a network log: view = request, click = response, purchase = finished,
@@ -74,7 +75,7 @@ def event_log(spark, sf_dir):
         F.when(kind == "error", k % 2 == 0).alias("canceled"),
     )
     message = F.to_json(F.struct(F.struct(method.alias("method"), params.alias("params")).alias("message")))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.col("user_id").alias("capture_id"), F.col("event_id").alias("seq"), "ts",
         F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("{cut"), message)).otherwise(message).alias("message"),
     )
@@ -197,6 +198,11 @@ def found_resources(spark, sf_dir):
     )
 
 
+def kept_resources(spark, sf_dir):
+    """The inventory written once, for queries that start several branches from it."""
+    return materialise(found_resources(spark, sf_dir), "resources")
+
+
 @query(
     "resource_inventory",
     f"""
@@ -242,7 +248,7 @@ def missing_css(found):
     f"WITH {RESOURCE_SQL}, {SHEET_SQL} SELECT capture_id, url FROM missing",
 )
 def css_missing_refs(spark, sf_dir):
-    return missing_css(found_resources(spark, sf_dir))
+    return missing_css(kept_resources(spark, sf_dir))
 
 
 @query(
@@ -256,7 +262,7 @@ def css_missing_refs(spark, sf_dir):
     """,
 )
 def capture_warnings(spark, sf_dir):
-    found = found_resources(spark, sf_dir)
+    found = kept_resources(spark, sf_dir)
     return weblog.body_warnings(found).unionByName(
         weblog.missing_css_warnings(missing_css(found))
     )
@@ -274,7 +280,7 @@ def capture_warnings(spark, sf_dir):
     """,
 )
 def capture_summary(spark, sf_dir):
-    found = found_resources(spark, sf_dir)
+    found = kept_resources(spark, sf_dir)
     missing = missing_css(found)
     warnings = weblog.body_warnings(found).unionByName(weblog.missing_css_warnings(missing))
     return weblog.capture_summary(found, warnings, missing)
@@ -291,7 +297,7 @@ def capture_summary(spark, sf_dir):
     """,
 )
 def tree_listing(spark, sf_dir):
-    return weblog.tree(found_resources(spark, sf_dir))
+    return weblog.tree(kept_resources(spark, sf_dir))
 
 
 IDLE_GAP = 7200
@@ -329,7 +335,7 @@ def idle_sessions_batch(spark, sf_dir):
 
 
 def pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
 @query("normalise_url", "SELECT page_id, regexp_replace(url, '#.*$', '') AS url FROM pages")
@@ -439,9 +445,9 @@ def resolved_refs(spark, sf_dir):
     return resolved_rich(spark, sf_dir).select("page_id", "kind", "raw", "url")
 
 
-def saved_map(spark, sf_dir):
-    """Of the URLs linked from even pages, all count as saved."""
-    even = resolved_rich(spark, sf_dir).filter(F.col("page_id") % 2 == 0).select("url").distinct()
+def saved_map(resolved):
+    """The URLs linked from even pages count as saved, those only odd pages link as missing."""
+    even = resolved.filter(F.col("page_id") % 2 == 0).select("url").distinct()
     return even.withColumn(
         "local", F.concat(F.lit("/"), urls.safe_relpath(F.col("url"), F.lit("text/html")))
     )
@@ -456,8 +462,8 @@ def saved_map(spark, sf_dir):
     """,
 )
 def missing_refs(spark, sf_dir):
-    resolved = resolved_rich(spark, sf_dir).select("page_id", "url")
-    return references.missing_refs(resolved, saved_map(spark, sf_dir), ["page_id"])
+    resolved = materialise(resolved_rich(spark, sf_dir).select("page_id", "url"), "refs")
+    return references.missing_refs(resolved, saved_map(resolved), ["page_id"])
 
 
 @query(
@@ -469,7 +475,8 @@ def missing_refs(spark, sf_dir):
     """,
 )
 def missing_urls(spark, sf_dir):
-    return references.missing_urls(resolved_rich(spark, sf_dir), saved_map(spark, sf_dir))
+    resolved = materialise(resolved_rich(spark, sf_dir).select("page_id", "url"), "refs")
+    return references.missing_urls(resolved, saved_map(resolved))
 
 
 @query(
@@ -494,11 +501,11 @@ def iframe_manifest(spark, sf_dir):
 
 @query("rewritten_pages")
 def rewritten_pages(spark, sf_dir):
-    return references.rewrite(rich_pages(spark, sf_dir), saved_map(spark, sf_dir))
+    return references.rewrite(rich_pages(spark, sf_dir), saved_map(resolved_rich(spark, sf_dir)))
 
 
 @query("rewritten_sheets")
 def rewritten_sheets(spark, sf_dir):
     css = F.concat(F.lit("a{b:url(/The)} c{d:url( '/and' )} e{f:url(/u"), "page_id", F.lit(".png)}"))
     own = pages(spark, sf_dir).select("page_id", "url", css.alias("css"))
-    return references.rewrite_css(own, saved_map(spark, sf_dir), "page_id")
+    return references.rewrite_css(own, saved_map(resolved_rich(spark, sf_dir)), "page_id")

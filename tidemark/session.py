@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,3 +61,25 @@ def ship_package(spark: SparkSession) -> None:
     )
     context.addPyFile(archive)
     context._tidemark_shipped = True
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a result used several times to the shared folder and read it back.
+
+    Unlike a cache it outlives lost executors, and later branches start from it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a table that lies in fewer files than there are cores.
+
+    Meant for narrow rows in front of a step that costs much per row. A table of many files
+    is already spread and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *keys)

@@ -87,6 +87,6 @@ def deposit_rates(
     keep = ["fecha", "lado"]
     found = tables.logical_tables(tables.page_tables(pages), keep)
     # Each page only speaks for its own side.
-    rows = tables.table_rows(found.filter(F.col("tipo_moneda") == F.col("lado")), ["fecha"])
-    by_person = reshape.person_rates(rows, ["fecha"], natural, legal)
-    return (reshape.general_rates(rows, ["fecha"]) if general else None), by_person
+    own = found.filter(F.col("tipo_moneda") == F.col("lado"))
+    by_person = reshape.person_rates(own, ["fecha"], natural, legal)
+    return (reshape.general_rates(own, ["fecha"]) if general else None), by_person

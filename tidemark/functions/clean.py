@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import calendar, fixed
 
 # What counts as a number. Texts such as "nan", "inf" or "1_000" are not values.
+WHITE_SPACE = " \t\n\r\x0b\x0c\u00a0"
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def strip(text: Column) -> Column:
-    """Drop white space of any kind, no-break space included, from both ends."""
-    return F.regexp_replace(text, "^[\\s\u00a0]+|[\\s\u00a0]+$", "")
+    """Drop white space, no-break space included, from both ends."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def to_number(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions import calendar, fixed
+from tidemark.functions import calendar, clean, fixed
 
 TABLE_ID_PATTERN = "(?i)<table(?:\\s[^>]*?)?\\sid\\s*=\\s*[\"']([^\"']*)[\"']"
 
@@ -63,7 +63,7 @@ def http_ok(status: Column) -> Column:
 
 def any_text(cells: Column) -> Column:
     """At least one cell of the row is not blank."""
-    return F.exists(cells, lambda c: F.regexp_replace(c, "[\\s\u00a0]", "") != "")
+    return F.exists(cells, lambda c: clean.strip(c) != "")
 
 
 def selected(code: Column, codes: list[str]) -> Column:

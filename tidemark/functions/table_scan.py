@@ -45,9 +45,9 @@ class Table:
         self.divs = divs
         self.rows: list[Row] = []
         self.marks: list[tuple[bool, bool]] = []
+        self.cells: list[Cell] = []
         # First thead / tbody met anywhere inside, and whether it is still open.
         self.first: dict[str, object] = {}
-        self.section: object | None = None
 
 
 class Row:
@@ -140,7 +140,7 @@ class PageTables:
             cell = Cell(self.cell_count, tag, attributes(raw))
             self.cell_count += 1
             for kind, node in self.open:
-                if kind == "tr":
+                if kind == "tr" or kind == "table":
                     node.cells.append(cell)
             self.open.append((tag, cell))
             self.cells.append(cell)
@@ -180,34 +180,39 @@ def spanned_names(rows: list[Row]) -> list[str]:
     return names
 
 
+def scan(html: str | None) -> list[Table]:
+    return PageTables(html).tables if html and "<table" in html.lower() else []
+
+
+def text_of(cell: Cell) -> str:
+    return "".join(cell.pieces)
+
+
+def first_line(cell: Cell) -> str:
+    return cell.pieces[0].split("\n")[0].strip() if cell.pieces else ""
+
+
 def page_tables(html: str | None) -> list[tuple]:
     """Tables as nested tuples, in the field order of ``operators.tables.TABLES_TYPE``."""
-    if not html or "<table" not in html.lower():
-        return []
     out = []
-    for table in PageTables(html).tables:
+    for table in scan(html):
         head = [row for row, (in_head, _) in zip(table.rows, table.marks) if in_head]
-        rows = [
-            (
-                in_head,
-                in_body,
-                row.css,
-                [
-                    (
-                        cell.number,
-                        cell.tag,
-                        "".join(cell.pieces),
-                        cell.pieces[0].split("\n")[0].strip() if cell.pieces else "",
-                        cell.rowspan,
-                        cell.colspan,
-                        cell.css,
-                    )
-                    for cell in row.cells
-                ],
+        rows = []
+        n_td = 0
+        for row, (in_head, in_body) in zip(table.rows, table.marks):
+            data = [cell for cell in row.cells if cell.tag == "td"]
+            n_td += len(data)
+            rows.append(
+                (
+                    in_head,
+                    in_body,
+                    row.css,
+                    [text_of(cell) for cell in row.cells if cell.tag == "th"],
+                    [text_of(cell) for cell in data],
+                    [first_line(cell) for cell in data],
+                )
             )
-            for row, (in_head, in_body) in zip(table.rows, table.marks)
-        ]
-        n_td = sum(cell.tag == "td" for row in table.rows for cell in row.cells)
+        classed = [(c.css, text_of(c)) for c in table.cells if c.css and c.tag == "td"]
         out.append(
             (
                 table.number,
@@ -219,7 +224,22 @@ def page_tables(html: str | None) -> list[tuple]:
                 "tbody" in table.first,
                 n_td,
                 spanned_names(head) if "thead" in table.first else None,
+                classed,
                 rows,
             )
         )
     return out
+
+
+def page_cells(html: str | None) -> list[tuple]:
+    """Every cell of every table, in the field order of ``operators.tables.CELL_TYPE``."""
+    return [
+        (
+            table.number, table.id, len(table.ancestors), r,
+            "thead" if in_head else "tbody" if in_body else None,
+            c, cell.tag, text_of(cell), cell.rowspan, cell.colspan, cell.css,
+        )
+        for table in scan(html)
+        for r, (row, (in_head, in_body)) in enumerate(zip(table.rows, table.marks))
+        for c, cell in enumerate(row.cells)
+    ]

@@ -14,16 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import calendar, clean, fixed, gates
+from tidemark.functions import calendar, clean, fixed
 
-CELL = (
-    "struct<pos:int,tag:string,text:string,first_line:string,rowspan:int,colspan:int,css:string>"
+ROW = (
+    "struct<in_head:boolean,in_body:boolean,css:string,"
+    "th:array<string>,td:array<string>,lines:array<string>>"
 )
-ROW = f"struct<in_head:boolean,in_body:boolean,css:string,cells:array<{CELL}>>"
 TABLES_TYPE = (
     "array<struct<table_no:int,table_id:string,css:string,ancestors:array<int>,"
     "div_ids:array<string>,has_head:boolean,has_body:boolean,n_td:int,"
-    f"header_names:array<string>,rows:array<{ROW}>>>"
+    "header_names:array<string>,classed:array<struct<css:string,text:string>>,"
+    f"rows:array<{ROW}>>>"
+)
+CELL_TYPE = (
+    "array<struct<table_no:int,table_id:string,depth:int,row:int,section:string,col:int,"
+    "tag:string,text:string,rowspan:int,colspan:int,css:string>>"
 )
 
 # Output batches stay small, however large the pages are.
@@ -38,44 +43,37 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}[kind.simpleString()]
 
 
-def page_tables(captures: DataFrame, html_col: str = "html", out: str = "tables") -> DataFrame:
-    """Replace the HTML column by the array of its tables; other columns pass through."""
+def _scan_pages(captures: DataFrame, html_col: str, out: str, kind: str, reader: str) -> DataFrame:
     kept = [f for f in captures.schema.fields if f.name not in (html_col, out)]
     names = [f.name for f in kept]
-    element = T._parse_datatype_string(f"t {TABLES_TYPE}").fields[0].dataType
-    schema = T.StructType([*kept, T.StructField(out, element)])
-    tables_type = _arrow(element)
+    found_type = T._parse_datatype_string(f"t {kind}").fields[0].dataType
+    schema = T.StructType([*kept, T.StructField(out, found_type)])
+    arrow_type = _arrow(found_type)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tidemark.functions.table_scan import page_tables as scan_page
+        from tidemark.functions import table_scan
 
+        read = getattr(table_scan, reader)
         for batch in batches:
             for at in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(at, PAGES_PER_BATCH)
                 pages = part.column(part.schema.get_field_index(html_col))
-                found = pa.array([scan_page(p.as_py()) for p in pages], type=tables_type)
+                found = pa.array([read(p.as_py()) for p in pages], type=arrow_type)
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
 
     return captures.select(*names, html_col).mapInArrow(scan, schema)
 
 
-def html_cells(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """Long cell table: one row per cell of each table, nested tables' cells included."""
-    tables = pages.select(*keep, F.explode("tables").alias("t"))
-    rows = tables.select(
-        *keep, F.col("t.table_no"), F.col("t.table_id"), F.size("t.ancestors").alias("depth"),
-        F.posexplode("t.rows").alias("row", "r"),
-    )
-    return rows.select(
-        *keep, "table_no", "table_id", "depth", "row",
-        F.when(F.col("r.in_head"), "thead").when(F.col("r.in_body"), "tbody").alias("section"),
-        F.posexplode("r.cells").alias("col", "c"),
-    ).select(*keep, "table_no", "table_id", "depth", "row", "section", "col", "c.*")
+def page_tables(captures: DataFrame, html_col: str = "html", out: str = "tables") -> DataFrame:
+    """Replace the HTML column by the array of its tables; other columns pass through."""
+    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables")
 
 
-def texts(cells: Column, tag: str, field: str = "text") -> Column:
-    return F.transform(F.filter(cells, lambda c: c["tag"] == tag), lambda c: c[field])
+def html_cells(captures: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
+    """Long cell table: one row per cell of each table, nested tables' cells included."""
+    cells = _scan_pages(captures.select(*keep, html_col), html_col, "cells", CELL_TYPE, "page_cells")
+    return cells.select(*keep, F.inline("cells"))
 
 
 def flat_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
@@ -86,7 +84,7 @@ def flat_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
     rows = F.try_element_at("tables", F.lit(1))["rows"]
     body = F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))
     values = pages.select(*keep, F.posexplode(body).alias("fila", "r")).select(
-        *keep, "fila", texts(F.col("r.cells"), "td").alias("v")
+        *keep, "fila", F.col("r.td").alias("v")
     )
     cell = [F.try_element_at("v", F.lit(i)) for i in range(1, 5)]
     return (
@@ -114,22 +112,16 @@ def class_grid(
     grid_class: str = fixed.GRID_CLASS,
     row_classes: list[str] = fixed.GRID_ROW_CLASSES,
 ) -> DataFrame:
-    """Rows of the grid inside a div, as ``fila`` and the map ``campos`` heading -> text.
+    """Rows of the grid inside a div: ``fila``, its headings ``titulos`` and cells ``valores``.
 
-    Rows whose cell count differs from the number of headings, and blank rows, are left
-    out. Of two equal headings the later one gives the value.
+    Rows whose cell count differs from the number of headings, and blank rows, are left out.
     """
     grids = F.filter(
         "tables",
         lambda t: F.array_contains(t["div_ids"], grid_id) & has_class(t["css"], grid_class),
     )
     grid = pages.select(*keep, F.try_element_at(grids, F.lit(1)).alias("g")).filter("g.has_head")
-    head_cells = F.flatten(
-        F.transform(F.filter("g.rows", lambda r: r["in_head"]), lambda r: r["cells"])
-    )
-    heads = grid.select(
-        *keep, "g.rows", F.filter(texts(head_cells, "th"), lambda h: h != "").alias("heads")
-    ).filter(F.size("heads") > 0)
+    heads = F.flatten(F.transform(F.filter("g.rows", lambda r: r["in_head"]), lambda r: r["th"]))
 
     def is_data(row: Column) -> Column:
         found = F.lit(False)
@@ -137,28 +129,42 @@ def class_grid(
             found = found | row["css"].contains(name)
         return found
 
-    rows = heads.select(
-        *keep, "heads", F.posexplode(F.filter("rows", is_data)).alias("fila", "r")
-    ).select(*keep, "heads", "fila", texts(F.col("r.cells"), "td").alias("v"))
-    full = rows.filter((F.size("v") == F.size("heads")) & gates.any_text(F.col("v")))
-    backwards = F.reverse("heads")
-    pairs = F.transform(
-        "heads",
-        lambda h, i: F.struct(
-            h.alias("k"),
-            F.get("v", i).alias("x"),
-            (F.array_position(backwards, h) == F.size("heads") - i).alias("last"),
-        ),
+    rows = grid.select(
+        *keep,
+        F.filter(heads, lambda h: h != "").alias("titulos"),
+        F.posexplode(F.filter("g.rows", is_data)).alias("fila", "r"),
+    ).select(*keep, "fila", "titulos", F.col("r.td").alias("valores"))
+    return rows.filter(
+        (F.size("titulos") > 0)
+        & (F.size("valores") == F.size("titulos"))
+        & F.exists("valores", lambda v: v != "")
     )
-    entries = F.transform(F.filter(pairs, lambda p: p["last"]), lambda p: F.struct(p["k"], p["x"]))
-    return full.select(*keep, "fila", F.map_from_entries(entries).alias("campos"))
+
+
+def grid_value(name: str) -> Column:
+    """Cell under a heading; of two equal headings the later one counts."""
+    place = F.size("titulos") - F.array_position(F.reverse("titulos"), name).cast("int")
+    return F.get("valores", F.when(place < F.size("titulos"), place))
+
+
+def grid_fields(grid: DataFrame, keep: list[str]) -> DataFrame:
+    """``campos``: heading -> text of every grid row, as a map."""
+    last = F.transform(
+        "titulos", lambda h, i: F.array_position(F.reverse("titulos"), h) == F.size("titulos") - i
+    )
+    pairs = F.filter(
+        F.arrays_zip(F.col("titulos").alias("k"), F.col("valores").alias("x"), last.alias("u")),
+        lambda p: p["u"],
+    )
+    entries = F.transform(pairs, lambda p: F.struct(p["k"], p["x"]))
+    return grid.select(*keep, "fila", F.map_from_entries(entries).alias("campos"))
 
 
 def grid_quotes(
     grid: DataFrame, keep: list[str], columns: tuple[str, str, str] = fixed.GRID_COLUMNS
 ) -> DataFrame:
     """Currency, buy and sell columns of a grid as a quote."""
-    name, buy, sell = (F.try_element_at("campos", F.lit(c)) for c in columns)
+    name, buy, sell = (grid_value(c) for c in columns)
     return grid.select(
         *keep,
         "fila",
@@ -183,31 +189,23 @@ def body_rows(table: Column) -> Column:
     rows = F.when(
         table["has_body"], F.filter(table["rows"], lambda r: r["in_body"])
     ).otherwise(after_head)
-    plain = F.transform(rows, lambda r: texts(r["cells"], "td", "first_line"))
-    return F.filter(plain, gates.any_text)
+    return F.filter(
+        F.transform(rows, lambda r: r["lines"]), lambda cells: F.exists(cells, lambda c: c != "")
+    )
 
 
 def row_labels(outer: Column) -> Column:
-    """Label cells of the outer table; single-cell rows when it has none."""
-    cells = F.flatten(F.transform(outer["rows"], lambda r: r["cells"]))
-    # A cell of a nested table is listed by every row around it: keep it once, in page order.
-    marked = F.filter(
-        cells,
-        lambda c: (c["tag"] == "td") & (c["text"] != "") & has_class(c["css"], fixed.ROW_LABEL_CLASS),
-    )
+    """Label cells of the outer table, in page order; single-cell rows when it has none."""
     labels = F.transform(
-        F.array_sort(F.array_distinct(F.transform(marked, lambda c: F.struct(c["pos"], c["text"])))),
-        lambda s: s["text"],
+        F.filter(
+            outer["classed"], lambda c: (c["text"] != "") & has_class(c["css"], fixed.ROW_LABEL_CLASS)
+        ),
+        lambda c: c["text"],
     )
-    single = F.flatten(
-        F.transform(
-            outer["rows"],
-            lambda r: F.when(F.size(texts(r["cells"], "td")) == 1, texts(r["cells"], "td")).otherwise(
-                F.array().cast("array<string>")
-            ),
-        )
+    single = F.filter(outer["rows"], lambda r: (F.size(r["td"]) == 1) & (F.get(r["td"], F.lit(0)) != ""))
+    return F.when(F.size(labels) > 0, labels).otherwise(
+        F.transform(single, lambda r: F.get(r["td"], F.lit(0)))
     )
-    return F.when(F.size(labels) > 0, labels).otherwise(F.filter(single, lambda s: s != ""))
 
 
 def align(df: DataFrame, names: str = "columnas", rows: str = "filas") -> DataFrame:

@@ -70,7 +70,7 @@ def class_grid_roundtrip(spark, sf_dir):
 )
 def html_cells(spark, sf_dir):
     """Heading and last row of every response, as long cells."""
-    cells = tables.html_cells(flat_pages(spark, sf_dir), KEEP)
+    cells = tables.html_cells(rendering.flat_responses(spark, sf_dir), KEEP)
     return cells.filter(F.col("row").isin(0, 4)).select(
         "doc_id", "row", "col", F.col("text").alias("texto")
     )

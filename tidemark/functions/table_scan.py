@@ -24,6 +24,9 @@ CELLS = ("td", "th")
 TRACKED = frozenset((*SECTIONS, *CELLS, "table", "tr", "div"))
 
 
+NO_ATTRIBUTES: dict[str, str] = {}
+
+
 def attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     if "=" in text:
@@ -32,8 +35,8 @@ def attributes(text: str) -> dict[str, str]:
     return found
 
 
-def span(value: str | None) -> int:
-    return int(value) if value and value.strip().isdigit() else 1
+def span(value: str) -> int:
+    return int(value) if value.strip().isdigit() else 1
 
 
 class Table:
@@ -61,8 +64,8 @@ class Cell:
         self.number = number
         self.tag = tag
         self.css = attrs.get("class", "")
-        self.rowspan = span(attrs.get("rowspan"))
-        self.colspan = span(attrs.get("colspan"))
+        self.rowspan = span(attrs["rowspan"]) if "rowspan" in attrs else 1
+        self.colspan = span(attrs["colspan"]) if "colspan" in attrs else 1
         self.pieces: list[str] = []
 
 
@@ -109,7 +112,31 @@ class PageTables:
                 return
 
     def start(self, tag: str, raw: str) -> None:
-        if tag == "div":
+        top = self.open[-1][0] if self.open else ""
+        if tag in CELLS:
+            if top != "tr":
+                self.close_down_to(CELLS, ("table", "tr"))
+            cell = Cell(self.cell_count, tag, attributes(raw) if "=" in raw else NO_ATTRIBUTES)
+            self.cell_count += 1
+            for kind, node in self.open:
+                if kind == "tr" or kind == "table":
+                    node.cells.append(cell)
+            self.open.append((tag, cell))
+            self.cells.append(cell)
+        elif tag == "tr":
+            if top != "table" and top not in SECTIONS:
+                self.close_down_to(("tr",), ("table", *SECTIONS))
+            row = Row(attributes(raw).get("class", ""))
+            inside = {id(node) for kind, node in self.open if kind in SECTIONS}
+            for kind, node in self.open:
+                if kind == "table":
+                    first = node.first
+                    node.rows.append(row)
+                    node.marks.append(
+                        (id(first.get("thead")) in inside, id(first.get("tbody")) in inside)
+                    )
+            self.open.append((tag, row))
+        elif tag == "div":
             self.open.append((tag, attributes(raw).get("id", "")))
         elif tag == "table":
             outer = [node for kind, node in self.open if kind == "table"]
@@ -117,40 +144,24 @@ class PageTables:
             table = Table(len(self.tables), attributes(raw), outer, divs)
             self.tables.append(table)
             self.open.append((tag, table))
-        elif tag in SECTIONS:
+        else:
             self.close_down_to(SECTIONS, ("table",))
             section = object()
             for kind, node in self.open:
                 if kind == "table":
                     node.first.setdefault(tag, section)
             self.open.append((tag, section))
-        elif tag == "tr":
-            self.close_down_to(("tr",), ("table", *SECTIONS))
-            row = Row(attributes(raw).get("class", ""))
-            inside = {id(node) for kind, node in self.open if kind in SECTIONS}
-            for kind, node in self.open:
-                if kind == "table":
-                    node.rows.append(row)
-                    node.marks.append(
-                        tuple(id(node.first.get(s)) in inside for s in ("thead", "tbody"))
-                    )
-            self.open.append((tag, row))
-        elif tag in CELLS:
-            self.close_down_to(CELLS, ("table", "tr"))
-            cell = Cell(self.cell_count, tag, attributes(raw))
-            self.cell_count += 1
-            for kind, node in self.open:
-                if kind == "tr" or kind == "table":
-                    node.cells.append(cell)
-            self.open.append((tag, cell))
-            self.cells.append(cell)
 
     def end(self, tag: str) -> None:
-        if tag == "div":
+        if self.open and self.open[-1][0] == tag:
+            self.open.pop()
+            if tag in CELLS:
+                self.cells.pop()
+        elif tag == "div":
             self.close_down_to(("div",), ("table", "tr", *CELLS, *SECTIONS))
         elif tag == "table":
             self.close_down_to(("table",), ())
-        elif tag in SECTIONS or tag == "tr" or tag in CELLS:
+        else:
             self.close_down_to((tag,), ("table",))
 
 

@@ -62,7 +62,9 @@ def _scan_pages(captures: DataFrame, html_col: str, out: str, kind: str, reader:
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
 
-    return captures.select(*names, html_col).mapInArrow(scan, schema)
+    # Pages without any table stay out of the transfer to Python.
+    page = F.when(F.lower(html_col).contains("<table"), F.col(html_col)).alias(html_col)
+    return captures.select(*names, page).mapInArrow(scan, schema)
 
 
 def page_tables(captures: DataFrame, html_col: str = "html", out: str = "tables") -> DataFrame:

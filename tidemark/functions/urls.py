@@ -90,6 +90,10 @@ def _resolve_any(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.
         yield pd.Series([resolve(r, b) for r, b in zip(raws, bases)], dtype=object)
 
 
+# Marked so that a filter on the result is not pushed below it, which would run it twice.
+_resolve_any = _resolve_any.asNondeterministic()
+
+
 def resolve(raw: Column, base: Column) -> Column:
     """Absolute URL of a reference on a page, without fragment; NULL for skipped ones.
 

@@ -8,6 +8,7 @@ from tidemark.functions import gates
 from tidemark.operators import merge
 from tidemark.plans.gate_queries import LABEL_SQL, labels
 from tidemark.plans.registry import query, table
+from tidemark.plans.web_queries import SESSIONS_SQL
 from tidemark.session import scratch_path
 from tidemark.sources import accumulated
 from tidemark.streaming import events as streams
@@ -18,7 +19,13 @@ def stream_of(spark, sf_dir, name):
     return streams.read_stream(spark, sf_dir, schema, f"{name}.parquet")
 
 
-@query("idle_sessions_stream")
+@query(
+    "idle_sessions_stream",
+    f"""
+    SELECT * FROM ({SESSIONS_SQL}) s
+    WHERE fin <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)
+    """,
+)
 def idle_sessions_stream(spark, sf_dir):
     """As the batch query, but the sessions still open at the end are not shown."""
     sessions = streams.idle_sessions(

@@ -57,7 +57,8 @@ def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
         merged.write.parquet(staged)
         merged = spark.read.parquet(staged)
     (
-        merged.repartition(MONTH, *_spread(merged, keys))
+        # Even output files: small months are put together, a busy month is split.
+        merged.hint("rebalance", F.col(MONTH))
         .sortWithinPartitions(MONTH, "fecha")
         .write.partitionBy(MONTH)
         .option("partitionOverwriteMode", "dynamic")
@@ -67,12 +68,6 @@ def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
     return "written"
 
 
-def _spread(df: DataFrame, keys: list[str]) -> list:
-    """Second partitioning key: a busy month is written by several tasks."""
-    present = [k for k in keys if k in df.columns]
-    return [F.pmod(F.xxhash64(*present), F.lit(8))] if present else []
-
-
 def export_name(kind: str, start: date, end: date) -> str:
     """Fixed output names, the date range as ddmmyyyy."""
     first, last = f"{start:%d%m%Y}", f"{end:%d%m%Y}"

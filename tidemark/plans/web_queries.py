@@ -499,13 +499,60 @@ def iframe_manifest(spark, sf_dir):
     return references.iframe_manifest(frames)
 
 
-@query("rewritten_pages")
+KNOWN_SQL = """
+known AS (SELECT DISTINCT url, '/l/' || substr(sha256(url), 1, 16) AS local FROM resolved WHERE page_id % 2 = 0)
+"""
+# What each kind of reference looks like in the page, before and after.
+SUBSTITUTION_SQL = """
+subs AS (SELECT page_id, CASE kind WHEN 'href' THEN 'href="' || raw || '"' WHEN 'src' THEN ' src="' || raw || '"'
+      WHEN 'data-src' THEN 'data-src=''' || raw || '''' WHEN 'poster' THEN 'poster="' || raw || '"'
+      WHEN 'srcset' THEN raw || ' ' WHEN 'style' THEN 'url(' || raw || ')'
+      WHEN 'style_block' THEN 'url(''' || raw || ''')' ELSE 'url=' || raw || '"' END AS de,
+    CASE kind WHEN 'href' THEN 'href="' || local || '"' WHEN 'src' THEN ' src="' || local || '"'
+      WHEN 'data-src' THEN 'data-src=''' || local || '''' WHEN 'poster' THEN 'poster="' || local || '"'
+      WHEN 'srcset' THEN local || ' ' WHEN 'style' THEN 'url("' || local || '")'
+      WHEN 'style_block' THEN 'url("' || local || '")' ELSE 'url=' || local || '"' END AS a
+  FROM (SELECT DISTINCT page_id, kind, raw, url FROM resolved) JOIN known USING (url)),
+lists AS (SELECT page_id, list(de || chr(1) || a) AS l FROM subs GROUP BY 1)
+"""
+EXTRA_SQL = EXTRA.replace("'", "''")
+
+
+def local_names(resolved):
+    """The saved URLs under short local names."""
+    name = F.concat(F.lit("/l/"), F.substring(F.sha2("url", 256), 1, 16))
+    return saved_map(resolved).select("url", name.alias("local"))
+
+
+@query(
+    "rewritten_pages",
+    rf"""
+    WITH {REFS_SQL}, {KNOWN_SQL}, {SUBSTITUTION_SQL},
+    rich AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host,
+      replace(html, '</body>', '{EXTRA_SQL}</body>') AS html FROM pages)
+    SELECT page_id, url, regexp_replace(
+        list_reduce([html] || coalesce(l, []),
+          lambda x, y: replace(x, split_part(y, chr(1), 1), split_part(y, chr(1), 2))),
+        '(?i)(<head[^>]*>\s*)', '\1<base href="/' || host || '/">' || chr(10)) AS html
+    FROM rich LEFT JOIN lists USING (page_id)
+    """,
+)
 def rewritten_pages(spark, sf_dir):
-    return references.rewrite(rich_pages(spark, sf_dir), saved_map(resolved_rich(spark, sf_dir)))
+    return references.rewrite(rich_pages(spark, sf_dir), local_names(resolved_rich(spark, sf_dir)))
 
 
-@query("rewritten_sheets")
+@query(
+    "rewritten_sheets",
+    f"""
+    WITH {REFS_SQL}, {KNOWN_SQL},
+    p AS (SELECT page_id, url, regexp_extract(url, '^https?://[^/?#]+') AS o FROM pages)
+    SELECT page_id, p.url, 'a{{b:' || coalesce('url("' || k1.local || '")', 'url(/The)')
+      || '}} c{{d:' || coalesce('url("' || k2.local || '")', 'url( ''/and'' )')
+      || '}} e{{f:url(/u' || page_id || '.png)}}' AS css
+    FROM p LEFT JOIN known k1 ON k1.url = o || '/The' LEFT JOIN known k2 ON k2.url = o || '/and'
+    """,
+)
 def rewritten_sheets(spark, sf_dir):
     css = F.concat(F.lit("a{b:url(/The)} c{d:url( '/and' )} e{f:url(/u"), "page_id", F.lit(".png)}"))
     own = pages(spark, sf_dir).select("page_id", "url", css.alias("css"))
-    return references.rewrite_css(own, saved_map(resolved_rich(spark, sf_dir)), "page_id")
+    return references.rewrite_css(own, local_names(resolved_rich(spark, sf_dir)), "page_id")

@@ -66,6 +66,19 @@ def test_accumulated_table(spark):
     assert sorted(Path(path, "mes=2025-03").glob("*.parquet")) == untouched
 
 
+def test_accumulated_table_takes_a_new_column(spark):
+    path = scratch_path(spark, "acc")
+    accumulated.write_accumulated(frame(spark, [(D1, "MN", "A", 1.0), (D3, "MN", "A", 3.0)]), path, KEYS)
+    extra = frame(spark, [(D1, "MN", "B", 2.0, "x")], SCHEMA + ", nota string")
+    accumulated.write_accumulated(extra, path, KEYS)
+    later = frame(spark, [(D1, "MN", "C", 5.0), (D3, "MN", "A", 4.0)])
+    accumulated.write_accumulated(later, path, KEYS)
+    got = {(r.fecha, r.banco): (r.v, r.nota) for r in accumulated.read_accumulated(spark, path).collect()}
+    assert got == {
+        (D1, "A"): (1.0, None), (D1, "B"): (2.0, "x"), (D1, "C"): (5.0, None), (D3, "A"): (4.0, None),
+    }
+
+
 def test_latest_per_key_with_one_hot_key(spark):
     df = spark.range(5000).selectExpr(
         "if(id % 3 > 0, 'hot', cast(id as string)) AS k", "id AS llegada", "id * 2 AS v"

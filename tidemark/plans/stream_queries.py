@@ -31,7 +31,11 @@ def idle_sessions_stream(spark, sf_dir):
     sessions = streams.idle_sessions(
         stream_of(spark, sf_dir, "events").select("user_id", "ts"), "user_id", gap="2 hours", late="1 hour"
     )
-    return spark.read.parquet(streams.run_to_files(sessions, "idle-sessions"))
+    closed = spark.read.parquet(streams.run_to_files(sessions, "idle-sessions"))
+    # Back to times without zone, as the events have them.
+    return closed.select(
+        "user_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("inicio", "fin")], "eventos"
+    )
 
 
 @query(

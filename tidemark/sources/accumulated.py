@@ -26,7 +26,8 @@ def read_accumulated(spark: SparkSession, path: str) -> DataFrame | None:
     """The table so far, month column left out; None when there is none yet."""
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path).drop(MONTH)
+    # Months written before a column came up do not have it.
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(MONTH)
 
 
 def _with_month(df: DataFrame) -> DataFrame:
@@ -49,9 +50,11 @@ def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
     if not months:
         return "no_rows"
     merged = incoming
-    if path_exists(spark, path):
-        touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months))
-        merged = merge.upsert(touched.drop(MONTH), incoming.drop(MONTH), keys)
+    # Only the folders of these months are listed and read.
+    touched = [p for p in (f"{path}/{MONTH}={m}" for m in months) if path_exists(spark, p)]
+    if touched:
+        existing = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*touched)
+        merged = merge.upsert(existing.drop(MONTH), incoming.drop(MONTH), keys)
         merged = _with_month(merged)
         staged = scratch_path(spark, "merge")
         merged.write.parquet(staged)

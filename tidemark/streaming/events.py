@@ -32,7 +32,14 @@ def event_time(stream: DataFrame, column: str = "ts") -> DataFrame:
 def idle_sessions(
     stream: DataFrame, key: str, ts: str = "ts", gap: str = "2 seconds", late: str = "1 minute"
 ) -> DataFrame:
-    """Sessions closed by a gap. In append mode a session shows once the watermark is past it."""
+    """Sessions closed by a gap. In append mode a session shows once the watermark is past it.
+
+    Sessions are merged inside each input task before the shuffle, so a key with very many
+    events sends its sessions, not its events.
+    """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return (
         event_time(stream, ts)
         .withWatermark(ts, late)
@@ -42,9 +49,19 @@ def idle_sessions(
     )
 
 
-def first_per_url(stream: DataFrame, keys: list[str], ts: str = "ts", late: str = "2 minutes") -> DataFrame:
-    """First event per key; a key is remembered until the watermark has passed it."""
-    return event_time(stream, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+def first_per_url(
+    stream: DataFrame, keys: list[str], ts: str = "ts", late: str = "2 minutes", salts: int = 16
+) -> DataFrame:
+    """First event per key; a key is remembered until the watermark has passed it.
+
+    Duplicates are first dropped within ``salts`` shares of each key, so a hot key is
+    worked off by several tasks and the last step gets at most ``salts`` rows of it.
+    """
+    timed = event_time(stream, ts).withWatermark(ts, late)
+    if salts > 1:
+        share = F.pmod(F.xxhash64(*[F.col(c) for c in timed.columns]), F.lit(salts))
+        timed = timed.withColumn("_parte", share).dropDuplicatesWithinWatermark([*keys, "_parte"]).drop("_parte")
+    return timed.dropDuplicatesWithinWatermark(keys)
 
 
 def in_force_captures(stream: DataFrame) -> DataFrame:

@@ -164,14 +164,15 @@ def nonblank_rows(spark, sf_dir):
 @query(
     "gated_quotes",
     """
-    SELECT o_orderkey AS doc_id, o_orderdate::date AS fecha,
+    WITH q AS (SELECT o_orderkey AS doc_id, o_orderdate::date AS fecha,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Dólar Estadounidense' ELSE o_orderpriority END AS moneda,
-      CASE WHEN o_orderkey % 3 = 0 THEN 'USD' ELSE '???' END AS codigo, o_totalprice AS compra
-    FROM orders WHERE o_orderkey % 7 NOT IN (1, 2, 3)
+      CASE WHEN o_orderkey % 3 = 0 THEN 'USD' ELSE '???' END AS codigo, o_totalprice AS precio
+      FROM orders WHERE o_orderkey % 7 NOT IN (1, 2, 3))
+    SELECT doc_id, 0 AS fila, fecha, moneda, codigo, precio AS compra, NULL::DOUBLE AS venta FROM q
+    UNION ALL
+    SELECT doc_id, 1, fecha, moneda, codigo, NULL, round(precio + 1, 2) FROM q
     """,
 )
 def gated_quotes(spark, sf_dir):
     """Gate, decode, extract and code: captured bytes to quotes in one job."""
-    return captures.weighted_quotes(responses(spark, sf_dir), ["doc_id"]).filter(
-        F.col("fila") == 0
-    ).select("doc_id", "fecha", "moneda", "codigo", "compra")
+    return captures.weighted_quotes(responses(spark, sf_dir), ["doc_id"])

@@ -86,12 +86,11 @@ def log_events(spark, sf_dir):
 
 
 def bodies(spark, sf_dir):
-    """One body per request with a click on an even day; half of them base64."""
-    day = F.dayofmonth("ts")
+    """One body per request with a click worth more than five; half of them base64."""
     text = F.concat(F.lit("cuerpo é "), F.col("n"))
     return (
         table(spark, sf_dir, "events")
-        .filter((F.col("event_type") == "click") & (day % 2 == 0))
+        .filter((F.col("event_type") == "click") & (F.col("value") > 5))
         .groupBy(
             F.col("user_id").alias("capture_id"),
             F.concat_ws("-", "user_id", F.date_format("ts", "yyyyMMdd")).alias("request_id"),
@@ -107,7 +106,7 @@ def bodies(spark, sf_dir):
 BODIES_SQL = """
 bodies AS (SELECT user_id AS capture_id, user_id || '-' || strftime(ts, '%Y%m%d') AS request_id,
     octet_length(encode('cuerpo é ' || max(event_id)))::INTEGER AS bytes
-  FROM events WHERE event_type = 'click' AND day(ts) % 2 = 0 GROUP BY ALL)
+  FROM events WHERE event_type = 'click' AND value > 5 GROUP BY ALL)
 """
 
 
@@ -446,9 +445,9 @@ def resolved_refs(spark, sf_dir):
 
 
 def saved_map(resolved):
-    """The URLs linked from even pages count as saved, those only odd pages link as missing."""
-    even = resolved.filter(F.col("page_id") % 2 == 0).select("url").distinct()
-    return even.withColumn(
+    """Secure URLs count as saved, the others as missing."""
+    secure = resolved.filter(F.col("url").startswith("https:")).select("url").distinct()
+    return secure.withColumn(
         "local", F.concat(F.lit("/"), urls.safe_relpath(F.col("url"), F.lit("text/html")))
     )
 
@@ -458,7 +457,7 @@ def saved_map(resolved):
     f"""
     WITH {REFS_SQL}
     SELECT DISTINCT page_id, url FROM resolved r
-    WHERE NOT EXISTS (SELECT 1 FROM resolved s WHERE s.page_id % 2 = 0 AND s.url = r.url)
+    WHERE NOT EXISTS (SELECT 1 FROM resolved s WHERE s.url LIKE 'https:%' AND s.url = r.url)
     """,
 )
 def missing_refs(spark, sf_dir):
@@ -471,7 +470,7 @@ def missing_refs(spark, sf_dir):
     f"""
     WITH {REFS_SQL}
     SELECT url, count(*) AS referencias FROM resolved r
-    WHERE NOT EXISTS (SELECT 1 FROM resolved s WHERE s.page_id % 2 = 0 AND s.url = r.url) GROUP BY 1
+    WHERE NOT EXISTS (SELECT 1 FROM resolved s WHERE s.url LIKE 'https:%' AND s.url = r.url) GROUP BY 1
     """,
 )
 def missing_urls(spark, sf_dir):
@@ -500,7 +499,7 @@ def iframe_manifest(spark, sf_dir):
 
 
 KNOWN_SQL = """
-known AS (SELECT DISTINCT url, '/l/' || substr(sha256(url), 1, 16) AS local FROM resolved WHERE page_id % 2 = 0)
+known AS (SELECT DISTINCT url, '/l/' || substr(sha256(url), 1, 16) AS local FROM resolved WHERE url LIKE 'https:%')
 """
 # What each kind of reference looks like in the page, before and after.
 SUBSTITUTION_SQL = """

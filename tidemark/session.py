@@ -43,8 +43,18 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared root; never reused between runs."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared root, removed when the application ends."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def scratch_uri(spark: SparkSession, label: str) -> str:
+    """The same as a URI, for code in tasks that opens files itself."""
+    path = scratch_path(spark, label)
+    scheme, colon, rest = path.partition(":")
+    return path if colon and rest.startswith("//") else f"file://{rest if colon else path}"
 
 
 def ship_package(spark: SparkSession) -> None:

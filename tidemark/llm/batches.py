@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 #: A word is a run of characters other than these six (space, tab, line feed, vertical tab, form feed, return).
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows are handed to Python in parts of about this many bytes, so that a batch of long texts stays small.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -18,13 +18,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterator[pa.RecordBatch], size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each part has few bytes; a single row is never cut."""
     for batch in batches:
         rows = batch.num_rows
         if not rows:
             continue
-        step = max(1, min(rows, rows * PART_BYTES // max(batch.nbytes, 1)))
+        step = max(1, min(rows, rows * size // max(batch.nbytes, 1)))
         for start in range(0, rows, step):
             yield batch.slice(start, step)
 

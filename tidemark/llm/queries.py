@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, mixing, quality, recompression, simhash, warc
+from tidemark.llm import bpe, chat, mixing, quality, recompression, simhash, suffixes, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,9 @@ def op10(spark, sf_dir):
 def op7(spark, sf_dir):
     made = recompression.without_repeats(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_array")
+def op5(spark, sf_dir):
+    made = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.session import materialise, scratch_path
+from tidemark.session import materialise, scratch_uri
 
 CHUNK = 1 << 20
 SALTS = 32
@@ -227,8 +227,6 @@ def round_trip(pages: DataFrame, at_least: int = 0) -> DataFrame:
     empty table gives no archive and no row.
     """
     spark = pages.sparkSession
-    folder = scratch_path(spark, "archives")
-    folder = folder if folder.partition("/")[0].endswith(":") else f"file://{folder}"
-    folder = folder.replace("file:///", "file:/").replace("file:/", "file:///")
+    folder = scratch_uri(spark, "archives")
     written = materialise(write_archives(chunk_rows(planned(pages, at_least)), folder), "manifest")
     return read_archives(written.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), folder)

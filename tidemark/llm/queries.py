@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, mixing, quality, recompression, simhash, suffixes, warc
+from tidemark.llm import bpe, chat, embeddings, mixing, quality, recompression, simhash, suffixes, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,8 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     made = suffixes.without_repeats(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_embeddings")
+def op9(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))

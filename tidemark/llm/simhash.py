@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.batches import map_batches
+from tidemark.llm.batches import map_batches, pointed, runs_of, spanning
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -122,25 +122,6 @@ class Tree:
         return which, node - len(self.vantage), visiting
 
 
-def roots(parent: np.ndarray) -> np.ndarray:
-    while True:
-        up = parent[parent]
-        if (up == parent).all():
-            return parent
-        parent = up
-
-
-def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Merge the classes of a[i] and b[i] in an array of parents that point to the least member."""
-    while len(a):
-        parent = roots(parent)
-        a, b = parent[a], parent[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
-        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-    return roots(parent)
-
-
 def linked(home: np.ndarray, guests: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest (u, v) of all links home-home and guest-home of one shard."""
     everyone = np.concatenate([home, guests])
@@ -153,7 +134,7 @@ def linked(home: np.ndarray, guests: np.ndarray, reach: int) -> tuple[np.ndarray
     count = np.diff(first)
     for at in range(0, len(everyone), FRONTIER // 64):
         asked = everyone[at : at + FRONTIER // 64]
-        which, leaf, _ = search(tree, asked, reach)
+        which, leaf = search(tree, asked, reach)
         for cut in range(0, len(which), FRONTIER // 8):
             w, low = which[cut : cut + FRONTIER // 8], leaf[cut : cut + FRONTIER // 8]
             # Members of the leaves side by side, in blocks; a leaf of alike points may be large.
@@ -166,15 +147,15 @@ def linked(home: np.ndarray, guests: np.ndarray, reach: int) -> tuple[np.ndarray
                 member = order[first[low[rep]] + done[rep] + step]
                 near = (distance(asked[w[rep]], home[member]) <= reach) & (w[rep] + at != member)
                 if near.any():
-                    parent = unite(parent, w[rep][near] + at, member[near])
+                    parent = spanning(parent, w[rep][near] + at, member[near])
                 done[live] += take
                 live = live[done[live] < count[low[live]]]
-    top = roots(parent)
+    top = pointed(parent)
     moved = np.flatnonzero(top != np.arange(len(top)))
     return everyone[moved], everyone[top[moved]]
 
 
-def search(tree: Tree, asked: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, None]:
+def search(tree: Tree, asked: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     """(which query, leaf) for all leaves that can hold a point within reach."""
     which, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
     for _ in range(tree.depth):
@@ -182,7 +163,7 @@ def search(tree: Tree, asked: np.ndarray, reach: int) -> tuple[np.ndarray, np.nd
         inner, outer = d - reach <= r, d + reach > r
         node = np.concatenate([2 * node[inner] + 1, 2 * node[outer] + 2])
         which = np.concatenate([which[inner], which[outer]])
-    return which, node - len(tree.vantage), None
+    return which, node - len(tree.vantage)
 
 
 def links(distinct: DataFrame, reach: int) -> DataFrame:
@@ -200,28 +181,11 @@ def links(distinct: DataFrame, reach: int) -> DataFrame:
         )
 
     def search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by shard, so that one shard is held at a time.
-        held: list[pa.RecordBatch] = []
-
-        def finish() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held)
+        for rows in runs_of(batches):
             fp = rows.column("fp").to_numpy().view(np.uint64)
             guest = rows.column("visiting").to_numpy()
             u, v = linked(fp[~guest], fp[guest], reach)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
-
-        for batch in batches:
-            shard = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if held and held[0].column(0)[0].as_py() != shard[a]:
-                    yield finish()
-                    held = []
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield finish()
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     routed = map_batches(distinct, route, "shard long, visiting boolean, fp long")
     dealt = routed.repartition(1 << depth, "shard").sortWithinPartitions("shard")

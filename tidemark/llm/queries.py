@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, embeddings, mixing, quality, recompression, simhash, suffixes, warc
+from tidemark.llm import bpe, chat, embeddings, lines, mixing, quality, recompression, simhash, suffixes, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SQL_WORD = r"[^\x20\x09-\x0D]+"
 SQL_SPACES = r"[\x20\x09-\x0D]+"
 
+# Two lines one word apart have their first or last words, up to half of the shorter one, in common.
+LINES_SQL = rf"""
+WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
+w AS (SELECT doc_id, no, regexp_extract_all(line, '{SQL_WORD}') AS words FROM l),
+first AS (SELECT words, len(words) AS n, min((doc_id, no)) AS place FROM w WHERE len(words) > 0 GROUP BY words),
+halves AS (SELECT *, unnest(list_distinct([(m // 2, words[1:m // 2], true) FOR m IN [n, n - 1]]
+    || [(m // 2, words[n - m // 2 + 1:n], false) FOR m IN [n, n - 1]])) AS half FROM first WHERE n >= {lines.LEAST_WORDS}),
+pairs AS (SELECT DISTINCT a.words AS x, b.words AS y, a.n AS p, b.n AS q, a.place FROM halves a JOIN halves b
+    ON a.half = b.half AND b.place < a.place AND abs(a.n - b.n) <= 1),
+near AS (SELECT DISTINCT place FROM pairs WHERE
+    coalesce(list_position([x[i] <> y[i] FOR i IN range(1, least(p, q) + 1)], true) - 1, least(p, q))
+    + coalesce(list_position([x[p - i] <> y[q - i] FOR i IN range(0, least(p, q))], true) - 1, least(p, q))
+    >= greatest(p, q) - 1),
+gone AS (SELECT doc_id, no FROM w JOIN first USING (words) WHERE (doc_id, no) > place OR place IN (SELECT place FROM near)),
+kept AS (SELECT doc_id, count(*) AS n_left, string_agg(line, chr(10) ORDER BY no) AS text FROM l
+    WHERE (doc_id, no) NOT IN (SELECT (doc_id, no) FROM gone) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
+    (coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(n_left, 0))::BIGINT AS n_removed,
+    CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op1_line_dedup", LINES_SQL)
+def op1(spark, sf_dir):
+    made = lines.without_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 CHAT_SQL = r"""
 WITH given AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -4,8 +4,9 @@ In each round neighbouring symbols get a common name: runs of one word in the fi
 symbols pair follows from their names alone, and a name is a hash of what it stands for, so it is the
 same in every document without a table of names. Each symbol knows which words have decided on it.
 A window of words holds all symbols that only its own words have decided on: in every other place where the same
-words stand, the same symbols arise. The key of a window is the least of its symbols of the highest level,
-so equal windows meet under equal keys, whatever surrounds them.
+words stand, the same symbols arise. The key of a window is the least of its symbols of the highest level, each
+taken with the words that have decided on it, so equal windows meet under equal keys, whatever surrounds them, and
+few others do.
 """
 
 from __future__ import annotations
@@ -89,13 +90,13 @@ def window_keys(words: np.ndarray, edge: np.ndarray, window: int, rounds: int) -
             sym, low, high, edge = runs(sym, low, high, edge)
         sym, low, high, edge = pairs(sym, low, high, edge)
         levels.append((sym, low, high, edge))
-    key, left = np.full(n, NONE), np.zeros(n + 1, bool)
+    key, left, said = np.full(n, NONE), np.zeros(n + 1, bool), Rolling(words, BASES[0])
     for level in range(rounds, -1, -1):
         sym, low, high, edge = levels[level]
         fits = ~edge & (high - low <= window)
         if not fits.any():
             continue
-        value = stirred(sym[fits] ^ np.uint64(level + 1))
+        value = named(sym[fits] ^ np.uint64(level + 1), said.of(low[fits], high[fits]))
         least = spread_least(n, np.maximum(high[fits] - window, 0), low[fits], value)
         key = np.where(key == NONE, least, key)
         gave = value == key[low[fits]]

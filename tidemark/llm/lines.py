@@ -1,30 +1,36 @@
 """Line deduplication over a corpus: equal lines, and lines one word apart, by deletion neighbourhoods.
 
-Expressions only. Lines are compared by their words.
-
-1. Every line becomes a narrow row of hashes: of all its words, and of its first and last halves. Of equal lines
-   the earliest is found with a map-side aggregate.
-2. Two lines one word apart have a whole half in common. Distinct lines whose halves occur nowhere
-   else are settled; only the others are fetched from their texts.
-3. These emit the hash of the line and of every variant with one word deleted, with the place of the deletion. Lines
-   that differ in a word share the variant without it at the same place; a line that has a word more shares
-   a variant with the other line itself. Groups are only aggregated to their earliest line, never paired.
+Expressions only.
+
+1. Every line becomes a narrow row of hashes: of the whole line, and of its first and its last words. Of equal
+   lines the earliest is found with a map-side aggregate.
+2. Two lines one word apart have their first or their last words in common, up to half of a line. A distinct line that
+   shares neither with another one is settled; only the rest is fetched from the texts.
+3. These emit the hash of the line and of its variants with one word deleted, with the place of the deletion, on the side
+   that is not known to be shared. Lines that differ in a word share the variant without it at the same place; a
+   line that has a word more shares a variant with the other line itself. Each is held against the earliest line
+   of its group; a group is never paired.
 4. A line and the earliest one it met are verified by their edit distance.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import materialise
 
 #: Lines of fewer words are only removed if they are equal to an earlier one.
 LEAST_WORDS = 8
 NO_ID = -(1 << 63)
+SPACES = " \t\r\f\v"
 
 
-def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(line, r"[\x20\x09-\x0D]+"), "")
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACES))
+
+
+def word_count(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def half(n: Column) -> Column:
@@ -32,12 +38,16 @@ def half(n: Column) -> Column:
     return F.pow(F.lit(2), F.floor(F.log2(n / 2))).cast("int")
 
 
-def half_keys(words: Column, n: Column) -> Column:
-    """Keys of the first and of the last words, for this length and for one word less."""
+def side_keys(line: Column, n: Column) -> Column:
+    """(last, key) of the first and the last words of a line, as many as a line of this or one word less shares."""
 
     def both(k: Column) -> Column:
+        def key(last: bool, words: Column) -> Column:
+            return F.struct(F.lit(last).alias("last"), F.xxhash64(F.lit(last), k, words).alias("key"))
+
         return F.array(
-            F.xxhash64(F.lit("first"), k, F.slice(words, 1, k)), F.xxhash64(F.lit("last"), k, F.slice(words, -k, k))
+            key(False, F.call_function("substring_index", line, F.lit(" "), k)),
+            key(True, F.call_function("substring_index", line, F.lit(" "), -k)),
         )
 
     here, less = half(n), half(n - 1)
@@ -45,54 +55,65 @@ def half_keys(words: Column, n: Column) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc, no, h, g, keys) of every line that has a word; h and g are hashes of its words."""
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    worded = texts.select("doc", "no", words_of(F.col("line")).alias("words")).where(F.size("words") > 0)
-    n = F.size("words")
-    return worded.select(
-        "doc", "no", F.xxhash64("words").alias("h"), F.xxhash64(F.lit("again"), "words").alias("g"),
-        F.when(n >= LEAST_WORDS, half_keys(F.col("words"), n)).alias("keys"),
+    """(doc, no, h, g, keys) of every line; h and g are hashes of the trimmed line, NULL if it is blank."""
+    own = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
+    lines = docs.select(own, F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    plain = lines.select("doc", "no", trimmed(F.col("line")).alias("line"))
+    counted = plain.withColumn("n", word_count(F.col("line")))
+    return counted.select(
+        "doc", "no",
+        F.when(F.col("line") != "", F.xxhash64("line")).alias("h"),
+        F.when(F.col("line") != "", F.xxhash64(F.lit("again"), "line")).alias("g"),
+        F.when(F.col("n") >= LEAST_WORDS, side_keys(F.col("line"), F.col("n"))).alias("keys"),
     )
 
 
-def sequence_hash(words: Column) -> Column:
-    """Hash of a sequence by blocks of the root of its length, so that it can be renewed around one place."""
-    n = F.size(words)
-    block = F.ceil(F.sqrt(n)).cast("int")
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.ceil(n / block).cast("int") - 1), lambda b: F.xxhash64(F.slice(words, b * block + 1, block))
-    )
-    return F.xxhash64(hashes)
+def prepared(lines: DataFrame) -> DataFrame:
+    """``lines(line, ...)`` with words and block hashes in its place, to be written before use.
+
+    A sequence is hashed by blocks of the root of its length: ``plain`` has those of the line without its last word,
+    ``moved`` those of the line without its first.
+    """
+    words = F.split("line", " ", -1)
+    block = F.ceil(F.sqrt(F.size(words) - 1)).cast("int")
+    numbers = F.sequence(F.lit(0), F.ceil((F.size(words) - 1) / block).cast("int") - 1)
+
+    def hashes(shift: int) -> Column:
+        return F.transform(numbers, lambda b: F.xxhash64(F.slice(words, b * block + shift, block)))
+
+    return lines.select("*", words.alias("words"), hashes(1).alias("plain"), hashes(2).alias("moved")).drop("line")
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """(v, at, doc, no) of ``lines(doc, no, words)``: the line itself (at -1) and the line without its word ``at``.
+    """(v, at, doc, no) of ``lines``, as ``prepared`` has them: the line (at -1) and the line without word ``at``.
 
-    A variant's hash is put together from blocks before the deletion, the block around it, and blocks moved by one
-    after it: about twice the root of the length for each, instead of the length.
+    ``first`` and ``last`` say which end is shared with another line; words of a shared end are only deleted
+    if both are. A variant's hash is put together from blocks before the deletion, the block around it, and
+    blocks moved by one after it: about twice the root of the length for each, instead of the length.
     """
-    words, block, count = F.col("words"), F.col("block"), F.col("count")
-    sized = lines.withColumn("block", F.ceil(F.sqrt(F.size("words") - 1)).cast("int"))
-    sized = sized.withColumn("count", F.ceil((F.size("words") - 1) / block).cast("int"))
-    numbers = F.sequence(F.lit(0), count - 1)
-    blocked = sized.withColumn("plain", F.transform(numbers, lambda b: F.xxhash64(F.slice(words, b * block + 1, block))))
-    blocked = blocked.withColumn("moved", F.transform(numbers, lambda b: F.xxhash64(F.slice(words, b * block + 2, block))))
+    words, n = F.col("words"), F.size("words")
+    start = F.when(F.col("last"), F.lit(0)).otherwise(half(n - 1))
+    end = F.when(F.col("first"), n - 1).otherwise(n - 1 - half(n - 1))
+
+    whole_block = F.ceil(F.sqrt(n)).cast("int")
+    whole_numbers = F.sequence(F.lit(0), F.ceil(n / whole_block).cast("int") - 1)
+    whole = F.xxhash64(F.transform(whole_numbers, lambda b: F.xxhash64(F.slice(words, b * whole_block + 1, whole_block))))
+
+    block = F.ceil(F.sqrt(n - 1)).cast("int")
+    count = F.size("plain")
 
     def without(i: Column) -> Column:
         b = F.floor(i / block).cast("int")
         inside = i - b * block
-        around = F.xxhash64(
-            F.concat(F.slice(words, b * block + 1, inside), F.slice(words, i + 2, F.greatest(block - inside, F.lit(0))))
-        )
-        joined = F.concat(
-            F.slice(F.col("plain"), 1, b), F.array(around), F.slice(F.col("moved"), b + 2, F.greatest(count - b - 1, F.lit(0)))
-        )
+        around = F.concat(F.slice(words, b * block + 1, inside), F.slice(words, i + 2, F.greatest(block - inside, F.lit(0))))
+        after = F.slice(F.col("moved"), b + 2, F.greatest(count - b - 1, F.lit(0)))
+        joined = F.concat(F.slice(F.col("plain"), 1, b), F.array(F.xxhash64(around)), after)
         return F.when(b < count, F.xxhash64(joined)).otherwise(F.xxhash64(F.col("plain")))
 
-    places = F.sequence(F.lit(0), F.size("words") - 1)
-    hashes = F.concat(F.array(sequence_hash(words)), F.transform(places, without))
-    spread = blocked.select("doc", "no", F.posexplode(hashes).alias("place", "v"))
-    return spread.select("v", (F.col("place") - 1).alias("at"), "doc", "no")
+    hashes = F.concat(F.array(whole), F.transform(F.sequence(start, end), without))
+    spread = lines.select("doc", "no", start.alias("start"), F.posexplode(hashes).alias("place", "v"))
+    at = F.when(F.col("place") == 0, F.lit(-1)).otherwise(F.col("start") + F.col("place") - 1)
+    return spread.select("v", at.alias("at"), "doc", "no")
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -106,42 +127,37 @@ def within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= most - 1)
 
 
-def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def near_lines(docs: DataFrame, rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """(doc, no) of the distinct lines that have an earlier line one word apart."""
-    keyed = distinct.where("keys IS NOT NULL").select("first", "h", F.explode("keys").alias("key"))
-    met = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key")
+    keyed = rows.where("keys IS NOT NULL").select("h", F.explode("keys").alias("k")).select("h", "k.last", "k.key")
+    shared = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key")
+    hits = keyed.join(shared, "key").groupBy("h").agg(
+        F.bool_or(~F.col("last")).alias("first"), F.bool_or("last").alias("last")
+    )
     wanted = (
-        keyed.join(met, "key").select("first", "h").distinct()
-        .groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("first.no").alias("no"), "h")).alias("wanted"))
+        firsts.join(hits, "h")
+        .groupBy(F.col("place.doc").alias("doc"))
+        .agg(F.collect_list(F.struct(F.col("place.no").alias("no"), "h", "first", "last")).alias("wanted"))
     )
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text").join(wanted, "doc")
     split = texts.select("doc", F.split("text", "\n", -1).alias("lines"), "wanted")
     taken = split.select("doc", F.explode(F.transform("wanted", lambda w: F.struct(
-        w["no"].alias("no"), w["h"].alias("h"), words_of(F.try_element_at("lines", w["no"] + 1)).alias("words")
+        w["no"].alias("no"), w["h"].alias("h"), w["first"].alias("first"), w["last"].alias("last"),
+        trimmed(F.try_element_at("lines", w["no"] + 1)).alias("line"),
     ))).alias("l"))
-    lines = materialise(
-        taken.select("doc", "l.no", "l.h", "l.words").where(F.col("h") == F.xxhash64("words")), "lines"
-    )
+    found = taken.select("doc", "l.no", "l.h", "l.first", "l.last", "l.line").where(F.col("h") == F.xxhash64("line"))
+    lines = materialise(prepared(found), "lines")
     place = F.struct("doc", "no")
-    spread = materialise(variants(lines), "variants")
-    groups = spread.groupBy("v", "at").agg(F.min(place).alias("least"), F.count("*").alias("n"))
-    whole = groups.groupBy("v").agg(
-        F.min(F.when(F.col("at") < 0, F.col("least"))).alias("itself"),
-        F.min(F.when(F.col("at") >= 0, F.col("least"))).alias("shorter"),
-        F.sum("n").alias("n"),
-    ).where("n > 1")
-    several = groups.join(whole.drop("n"), "v").select(
-        F.col("v").alias("own_v"), F.col("at").alias("own_at"),
-        F.when(F.col("at") < 0, F.col("shorter")).otherwise(F.least("least", "itself")).alias("partner"),
-    )
-    links = (
-        spread.join(several, (F.col("v") == F.col("own_v")) & (F.col("at") == F.col("own_at")))
-        .where(F.col("partner") < place)
-        .select("doc", "no", "partner").distinct()
-    )
-    other = lines.select(F.struct("doc", "no").alias("partner"), F.col("words").alias("other"))
-    met = links.join(lines.select("doc", "no", "words"), ["doc", "no"]).join(other, "partner")
-    return met.where(within_one(F.col("words"), F.col("other"))).select("doc", "no").distinct()
+    same = Window.partitionBy("v", "at").orderBy("doc", "no")
+    group = Window.partitionBy("v").orderBy("doc", "no").rowsBetween(Window.unboundedPreceding, 0)
+    itself = F.min(F.when(F.col("at") < 0, place)).over(group)
+    shorter = F.min(F.when(F.col("at") >= 0, place)).over(group)
+    met = variants(lines).withColumn("alike", F.first(place).over(same)).withColumn("itself", itself).withColumn("shorter", shorter)
+    partner = F.when(F.col("at") < 0, F.col("shorter")).otherwise(F.least("alike", "itself"))
+    links = met.select("doc", "no", partner.alias("partner")).where(F.col("partner") < place).distinct()
+    other = lines.select(place.alias("partner"), F.col("words").alias("other"))
+    pairs = links.join(lines.select("doc", "no", "words"), ["doc", "no"]).join(other, "partner")
+    return pairs.where(within_one(F.col("words"), F.col("other"))).select("doc", "no").distinct()
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -149,27 +165,31 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     (lines of the whole text) and ``n_removed`` beside its columns, ``n_chars`` renewed if there is one.
 
     Earlier means in a document with a smaller ``doc_id`` (NULL before all) or earlier in the same one, whether or not
-    that line stays. Words decide: white space at the ends and between words does not. Lines without a word stay.
-    Lines of fewer than LEAST_WORDS words go only if they are equal. NULL texts stay NULL and have no lines. Rows
-    that share a ``doc_id`` are one document: their lines at one place are the same occurrence.
+    that line stays. White space at the ends of a line does not count; words are what single spaces separate.
+    Blank lines stay. Lines of fewer than LEAST_WORDS words go only if they are equal. NULL texts stay NULL and
+    have no lines. Rows that share a ``doc_id`` are one document: their lines at one place are one occurrence.
     """
     rows = materialise(line_rows(docs), "rows")
     place = F.struct("doc", "no")
-    distinct = materialise(
-        rows.groupBy("h", "g").agg(F.min(place).alias("first"), F.first("keys").alias("keys")), "distinct"
+    firsts = materialise(rows.where("h IS NOT NULL").groupBy("h", "g").agg(F.min(place).alias("place")).select("h", "place"), "firsts")
+    near = near_lines(docs, rows, firsts).select("doc", "no", F.lit(True).alias("gone"))
+    stay = firsts.select("place.doc", "place.no").union(rows.where("h IS NULL").select("doc", "no"))
+    judged = stay.withColumn("gone", F.lit(False)).union(near).groupBy(F.col("doc").alias("__doc")).agg(
+        F.collect_set(F.when(~F.col("gone"), F.col("no"))).alias("stay"), F.collect_set(F.when(F.col("gone"), F.col("no"))).alias("gone")
     )
-    again = rows.join(distinct.select("h", "g", "first"), ["h", "g"]).where(F.col("first") < place).select("doc", "no")
-    gone = again.union(near_lines(docs, distinct)).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("no").alias("__gone"))
-    met = docs.withColumn("__own", F.coalesce("doc_id", F.lit(NO_ID))).join(gone, F.col("__own") == F.col("__doc"), "left")
-    lines = F.split("text", "\n", -1)
-    met = met.withColumn("__lines", lines)
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    text = F.array_join(F.transform(kept, lambda i: F.element_at("__lines", i + 1)), "\n")
-    met = met.withColumn("__kept", F.when(F.col("__gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(text))
-    total = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("__lines")).cast("long")
-    left = F.when(F.col("__gone").isNull() | F.col("text").isNull(), total).otherwise(F.size(kept)).cast("long")
-    out = [F.col("__kept").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    judged = judged.select("__doc", F.sort_array(F.array_except("stay", "gone")).alias("__stay"))
+    met = docs.withColumn("__own", F.coalesce("doc_id", F.lit(NO_ID))).join(judged, F.col("__own") == F.col("__doc"), "left")
+    met = met.withColumn("__lines", F.split("text", "\n", -1))
+    # Rows that share an id may have fewer lines than the longest of them, and no line at all may stay.
+    stay = F.filter(F.coalesce("__stay", F.array().cast("array<int>")), lambda i: i < F.size("__lines"))
+    met = met.withColumn("__kept", stay)
+    text = F.array_join(F.transform("__kept", lambda i: F.element_at("__lines", i + 1)), "\n")
+    changed = F.col("text").isNotNull() & (F.size("__kept") < F.size("__lines"))
+    met = met.withColumn("__text", F.when(changed, text).otherwise(F.col("text")))
+    out = [F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
     if "n_chars" in docs.columns:
-        renewed = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("__kept"))
+        renewed = F.when(changed, F.length("__text")).otherwise(F.col("n_chars"))
         out[docs.columns.index("n_chars")] = renewed.cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return met.select(*out, total.alias("n_lines"), (total - left).alias("n_removed"))
+    total = F.when(F.col("text").isNotNull(), F.size("__lines")).otherwise(0).cast("long")
+    removed = F.when(F.col("text").isNotNull(), F.size("__lines") - F.size("__kept")).otherwise(0).cast("long")
+    return met.select(*out, total.alias("n_lines"), removed.alias("n_removed"))

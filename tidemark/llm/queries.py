@@ -42,8 +42,8 @@ SQL_SPACES = r"[\x20\x09-\x0D]+"
 LINES_SQL = rf"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
-w AS (SELECT doc_id, no, regexp_extract_all(line, '{SQL_WORD}') AS words FROM l),
-first AS (SELECT words, len(words) AS n, min((doc_id, no)) AS place FROM w WHERE len(words) > 0 GROUP BY words),
+w AS (SELECT doc_id, no, string_split(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), ' ') AS words FROM l),
+first AS (SELECT words, len(words) AS n, min((doc_id, no)) AS place FROM w WHERE words <> [''] GROUP BY words),
 halves AS (SELECT *, unnest(list_distinct([(m // 2, words[1:m // 2], true) FOR m IN [n, n - 1]]
     || [(m // 2, words[n - m // 2 + 1:n], false) FOR m IN [n, n - 1]])) AS half FROM first WHERE n >= {lines.LEAST_WORDS}),
 pairs AS (SELECT DISTINCT a.words AS x, b.words AS y, a.n AS p, b.n AS q, a.place FROM halves a JOIN halves b

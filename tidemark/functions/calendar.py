@@ -16,6 +16,13 @@ def parse_dmy(text: Column) -> Column:
     )
 
 
+def parse_day(text: Column) -> Column:
+    """A day-first date, else an ISO one (year first, never swapped); NULL when it is neither."""
+    tidy = F.trim(text)
+    iso = F.when(tidy.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(tidy, "y-M-d"))
+    return F.coalesce(parse_dmy(text), iso)
+
+
 def format_dmy(day: Column) -> Column:
     return F.date_format(day, "dd/MM/yyyy")
 

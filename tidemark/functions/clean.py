@@ -93,10 +93,10 @@ def bucket_name(column_name: Column) -> Column:
 
 
 def key_text(df: DataFrame, name: str) -> Column:
-    """Comparable form of a key: dates are read day-first, blank equals NULL."""
+    """Comparable form of a key: dates are read day-first or as ISO, blank equals NULL."""
     kind = dict(df.dtypes)[name]
     value = F.col(name)
     if name.lower() == "fecha":
-        day = calendar.parse_dmy(value) if kind == "string" else value.cast("date")
+        day = calendar.parse_day(value) if kind == "string" else value.cast("date")
         return day.cast("string")
     return F.nullif(value.cast("string"), F.lit(""))

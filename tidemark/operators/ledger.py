@@ -16,7 +16,7 @@ def capture_facts(captures: DataFrame) -> DataFrame:
     stale = ~gates.in_force(F.col("label_text"), F.col("requested_date"))
     return captures.groupBy(F.col("requested_date").alias("fecha")).agg(
         F.max("failed").alias("fallo"),
-        F.max(F.when(stale, effective)).alias("vigente_al"),
+        calendar.format_dmy(F.max(F.when(stale, calendar.parse_dmy(effective)))).alias("vigente_al"),
         F.sum("n_rows").alias("filas"),
     )
 

@@ -15,7 +15,7 @@ def _with_dates(df: DataFrame) -> DataFrame:
     if "fecha" not in df.columns:
         return df
     text = dict(df.dtypes)["fecha"] == "string"
-    day = calendar.parse_dmy(F.col("fecha")) if text else F.col("fecha").cast("date")
+    day = calendar.parse_day(F.col("fecha")) if text else F.col("fecha").cast("date")
     return df.withColumn("fecha", day)
 
 
@@ -53,9 +53,15 @@ def ordered(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], arrival: str) -> DataFrame:
-    """One row per key, the last to arrive; an aggregate, so hot keys combine map-side."""
+    """One row per key, the last to arrive; an aggregate, so hot keys combine map-side.
+
+    A NULL arrival is before all others, and blank text keys are the same as NULL ones.
+    """
     rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.col(arrival)).alias("_ultima")
+    # Inside a struct a NULL compares as the least value instead of dropping its row.
+    picked = F.max_by(F.struct(*rest), F.struct(F.col(arrival))).alias("_ultima")
+    text = [c for c, kind in df.dtypes if c in keys and kind == "string"]
+    df = df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text})
     return df.groupBy(*keys).agg(picked).select(
         *keys, *[F.col(f"_ultima.{c}").alias(c) for c in rest]
     )

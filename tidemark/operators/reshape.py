@@ -106,17 +106,11 @@ def _places(tables: DataFrame, measures: list[str]) -> DataFrame:
     ).drop("_todas")
 
 
-def harmonise(tables: DataFrame, keep: list[str], measures: list[str] = fixed.MEASURES) -> DataFrame:
-    """Long facts ``banco, bucket, valor, valor_raw`` for every target measure.
-
-    ``tables`` has ``columnas``, ``filas`` and ``bancos``, one row per table, so columns are
-    matched once per table and each bank only picks cells by position. Both the number and,
-    where a text is not one, the text itself are kept.
-    """
+def _bank_rows(tables: DataFrame, keep: list[str], measures: list[str]) -> DataFrame:
+    """One row per bank row of each table: ``keep`` and ``f`` (banco, textos by measure)."""
     if "indices" not in tables.columns:
         tables = tables.withColumn("indices", F.transform("columnas", lambda c, i: i))
     placed = _places(tables, measures)
-    names = F.array(*[F.lit(m) for m in measures])
     rows = F.transform(
         "filas",
         lambda r, i: F.struct(
@@ -125,7 +119,18 @@ def harmonise(tables: DataFrame, keep: list[str], measures: list[str] = fixed.ME
         ),
     )
     # The outer forms keep the optimiser from repeating the extraction in a size filter.
-    banks = placed.select(*keep, F.explode_outer(rows).alias("f")).filter(F.col("f").isNotNull())
+    return placed.select(*keep, F.explode_outer(rows).alias("f")).filter(F.col("f").isNotNull())
+
+
+def harmonise(tables: DataFrame, keep: list[str], measures: list[str] = fixed.MEASURES) -> DataFrame:
+    """Long facts ``banco, bucket, valor, valor_raw`` for every target measure.
+
+    ``tables`` has ``columnas``, ``filas`` and ``bancos``, one row per table, so columns are
+    matched once per table and each bank only picks cells by position. Both the number and,
+    where a text is not one, the text itself are kept.
+    """
+    banks = _bank_rows(tables, keep, measures)
+    names = F.array(*[F.lit(m) for m in measures])
     cells = banks.select(*keep, "f.banco", F.posexplode_outer("f.textos").alias("n", "texto"))
     rate = clean.clean_rate(F.col("texto"))
     return cells.select(
@@ -134,6 +139,18 @@ def harmonise(tables: DataFrame, keep: list[str], measures: list[str] = fixed.ME
     )
 
 
+def harmonise_wide(tables: DataFrame, keep: list[str], measures: list[str] = fixed.MEASURES) -> DataFrame:
+    """``banco`` and one column per measure, a row for every bank row of the tables.
+
+    Straight from the cells, without a shuffle: rows that share a name or have none stay apart.
+    """
+    banks = _bank_rows(tables, keep, measures)
+    values = [
+        clean.clean_rate(F.get("f.textos", F.lit(i)))["valor"].alias(m) for i, m in enumerate(measures)
+    ]
+    return banks.select(*keep, "f.banco", *values)
+
+
 def split_person(tables: DataFrame) -> DataFrame:
     """Columns of a person-type table by person, names cut to their term bucket.
 
@@ -175,6 +192,18 @@ def general_rates(tables: DataFrame, keep: list[str]) -> DataFrame:
     return harmonise(tables.filter(~F.col("por_persona")), [*keep, "tipo_moneda"])
 
 
+def general_wide(tables: DataFrame, keep: list[str]) -> DataFrame:
+    """General rates of both currency types, one row per bank row."""
+    return harmonise_wide(tables.filter(~F.col("por_persona")), [*keep, "tipo_moneda"])
+
+
+def person_wide(tables: DataFrame, keep: list[str]) -> DataFrame:
+    """Term rates by person type, one row per bank row and person."""
+    return harmonise_wide(
+        split_person(tables.filter("por_persona")), [*keep, "tipo_moneda", "tipo_persona"], fixed.TERM_BUCKETS
+    )
+
+
 def person_rates(
     tables: DataFrame, keep: list[str], natural: bool = True, legal: bool = True
 ) -> DataFrame:
@@ -187,7 +216,10 @@ def person_rates(
 def to_wide(
     long: DataFrame, keys: list[str], measures: list[str] = fixed.MEASURES, value: str = "valor"
 ) -> DataFrame:
-    """One column per measure. The value list is given, so one aggregate does it."""
+    """One column per measure, for long facts that have one value per key and bucket.
+
+    ``keys`` must tell rows apart; ``harmonise_wide`` does it without any for tables with unnamed banks.
+    """
     return long.groupBy(*keys).pivot("bucket", measures).agg(F.max(value)).select(*keys, *[f"`{m}`" for m in measures])
 
 

@@ -286,8 +286,11 @@ def network_idle(
     """When each capture went quiet: the first gap of at least ``gap_seconds``, capped.
 
     ``inicio`` is the first event; ``reposo`` the end of the gap's waiting time, or the
-    start plus ``cap_seconds`` when that comes first (``por_tope``).
+    start plus ``cap_seconds`` when that comes first (``por_tope``). Where events name their
+    ``method``, only those of the network domain count.
     """
+    if "method" in events.columns:
+        events = events.filter(F.col("method").startswith("Network."))
     gap, cap = int(gap_seconds * 1_000_000), int(cap_seconds * 1_000_000)
     by_time = Window.partitionBy(key).orderBy("bin")
     bins = _time_bins(events, key, ts, gap_seconds).withColumn(

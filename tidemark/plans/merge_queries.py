@@ -136,7 +136,7 @@ STATUS_SQL = """
 caps AS (SELECT o_orderdate::date AS fecha, o_orderkey % 211 = 0 AS failed,
     CASE WHEN o_custkey % 50 = 0 THEN strftime(o_orderdate - INTERVAL 1 DAY, '%d/%m/%Y') END AS old,
     CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS n FROM orders),
-facts AS (SELECT fecha, bool_or(failed) AS fallo, max(old) AS vigente_al, sum(n)::BIGINT AS filas
+facts AS (SELECT fecha, bool_or(failed) AS fallo, strftime(max(strptime(old, '%d/%m/%Y')), '%d/%m/%Y') AS vigente_al, sum(n)::BIGINT AS filas
   FROM caps GROUP BY 1),
 statuses AS (SELECT fecha, CASE
     WHEN isodow(fecha) > 5 THEN 'fin de semana'

@@ -238,24 +238,28 @@ def pivot_rows_roundtrip(spark, sf_dir):
     return reshape.general_rates(deposit_tables(spark, sf_dir), KEEP)
 
 
+def _number(text: str) -> str:
+    return (
+        f"CASE WHEN {text} NOT IN ('', '-', '--', 'NA', 'N/A') "
+        f"THEN try_cast(replace(replace({text}, ',', ''), ' ', '') AS DOUBLE) END"
+    )
+
+
 @query(
     "harmonised_wide",
     f"""
     WITH {GENERAL_SQL}
-    SELECT doc_id, tipo_moneda, banco,
-      max(valor) FILTER (bucket = 'Depósitos de Ahorro') AS ahorro,
-      max(valor) FILTER (bucket = 'Hasta 30 días') AS hasta_30,
-      max(valor) FILTER (bucket = '181-360 días') AS d181_360,
-      max(valor) FILTER (bucket = 'Depósitos CTS') AS cts
-    FROM facts GROUP BY ALL
+    SELECT k AS doc_id, tipo_moneda, banco, {_number("ahorro")} AS ahorro, {_number("h30")} AS hasta_30,
+      {_number("d31")} AS d31_90, {_number("d91")} AS d91_180, {_number("d181")} AS d181_360,
+      {_number("d360")} AS mas_360, {_number("plazo")} AS plazo, {_number("cts")} AS cts
+    FROM wide
     """,
 )
 def harmonised_wide(spark, sf_dir):
-    long = reshape.general_rates(deposit_tables(spark, sf_dir), KEEP)
-    return reshape.to_wide(long, ["doc_id", "tipo_moneda", "banco"]).select(
-        "doc_id", "tipo_moneda", "banco",
-        F.col("Depósitos de Ahorro").alias("ahorro"), F.col("Hasta 30 días").alias("hasta_30"),
-        F.col("181-360 días").alias("d181_360"), F.col("Depósitos CTS").alias("cts"),
+    """Every bank row, those without a name included."""
+    wide = reshape.general_wide(deposit_tables(spark, sf_dir), KEEP)
+    return wide.toDF(
+        "doc_id", "tipo_moneda", "banco", "ahorro", "hasta_30", "d31_90", "d91_180", "d181_360", "mas_360", "plazo", "cts"
     )
 
 
@@ -375,10 +379,9 @@ def positional_fallback(spark, sf_dir):
     """,
 )
 def unpivot_rates(spark, sf_dir):
-    """Long to wide and back again."""
+    """Wide rows, one per bank row, as long ones."""
     keys, measures = ["doc_id", "tipo_persona", "banco"], ["Hasta 30 días", "Más de 360 días"]
-    long = reshape.person_rates(deposit_tables(spark, sf_dir), KEEP)
-    return reshape.to_long(reshape.to_wide(long, keys, measures), keys, measures)
+    return reshape.to_long(reshape.person_wide(deposit_tables(spark, sf_dir), KEEP), keys, measures)
 
 
 @query(
@@ -391,7 +394,5 @@ def unpivot_rates(spark, sf_dir):
 def canonical_projection(spark, sf_dir):
     """Fixed output columns: absent ones are empty, a constant tag goes first."""
     keys = ["doc_id", "tipo_persona", "banco"]
-    wide = reshape.to_wide(
-        reshape.person_rates(deposit_tables(spark, sf_dir), KEEP), keys, ["Hasta 30 días"]
-    ).withColumnRenamed("Hasta 30 días", "h30")
+    wide = reshape.person_wide(deposit_tables(spark, sf_dir), KEEP).withColumnRenamed("Hasta 30 días", "h30")
     return reshape.tagged(reshape.canonical(wide, [*keys, "h30", "plazo"]), origen="captura")

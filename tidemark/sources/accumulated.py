@@ -41,6 +41,8 @@ def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
     from there, as a job cannot overwrite what it reads. Merging the same batch again gives
     the same table, so a run that was cut off is simply repeated.
     """
+    if "fecha" not in keys:
+        raise ValueError("only the months of a batch are read: its keys must have fecha")
     spark = batch.sparkSession
     incoming_path = scratch_path(spark, "batch")
     _with_month(merge.upsert(None, batch, keys)).write.parquet(incoming_path)

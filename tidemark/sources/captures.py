@@ -26,7 +26,8 @@ def read_captures(spark: SparkSession, path: str, pattern: str = "*.html") -> Da
 
 
 def page_text(content: Column) -> Column:
-    return F.decode(content, "UTF-8")
+    """UTF-8 text; bytes that are none become replacement characters and fail no job."""
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def weighted_quotes(responses: DataFrame, keep: list[str]) -> DataFrame:

@@ -89,12 +89,13 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge every micro-batch into the accumulated table.
 
-    Within a batch the last arrival per key counts. A batch that is run again after a
+    Within a batch the last arrival counts per key and, in long facts, per ``bucket`` and ``fila``. A batch that is run again after a
     failure replaces its own rows, so the table does not change.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = merge.latest_per_key(batch, keys, arrival).drop(arrival)
+        detail = [c for c in ("bucket", "fila") if c in batch.columns and c not in keys]
+        latest = merge.latest_per_key(batch, [*keys, *detail], arrival).drop(arrival)
         accumulated.write_accumulated(latest, path, keys)
 
     return (

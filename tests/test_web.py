@@ -1,78 +1,100 @@
 """URLs, references, request records and idle points, against plain-Python brute force."""
 
-import hashlib
 import random
-import re
 from datetime import datetime, timedelta
-from html import unescape
-from pathlib import PurePosixPath
-from urllib.parse import unquote, urldefrag, urljoin, urlparse
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import fixed, page_rewrite, urls
+from tidemark.functions import markup, urls
 from tidemark.operators import references, weblog
 from tidemark.sources import network_log
 
-URLS = [
-    "http://a.com", "http://a.com/", "https://a.com:81/x/y.html", "https://a.com/x/?q=1&b=2", "https://a.com/x;p=1",
-    "https://u@a.com/a b/c.tar.gz?x", "https://a.com/%7Euser/%C3%A1.png", "https://a.com/a+b%2Bc",
-    "https://a.com/x%zz/y%", "https://a.com/../../etc/pass", "https://a.com/a//b/./c", "https://a.com/<b>:\"|*",
-    "https://a.com/.hidden", "https://a.com/name.", "https://a.com/x.y/z", "/only/path", "data:text/plain,hi",
-    "https://a.com/p?q=1#frag?x", "https://a.com/index.css;v=2?y#z",
-]
-MIMES = [None, "text/html; charset=utf-8", " TEXT/CSS ", "image/png", "x/unknown", "application/octet-stream"]
-
-
-def path_rule(url, mime):
-    parts = urlparse(url)
-    path = unquote(parts.path or "/")
-    path = path + "index" if path.endswith("/") else path
-    path = re.sub(r'[<>:"|?*]', "_", path.lstrip("/").replace("..", "_"))
-    rel = PurePosixPath(parts.netloc or "nohost") / path
-    ext = dict(fixed.MIME_EXTENSIONS).get((mime or "").split(";")[0].strip().lower(), "")
-    if not rel.suffix and ext:
-        rel = rel.with_suffix(ext)
-    if parts.query:
-        rel = rel.with_name(f"{rel.stem}__q{hashlib.sha256(parts.query.encode()).hexdigest()[:12]}{rel.suffix}")
-    return str(rel)
+# What a URL's local path is without a type, and as HTML page.
+PATHS = {
+    "http://a.com": ("a.com/index", "a.com/index.html"),
+    "http://a.com/": ("a.com/index", "a.com/index.html"),
+    "https://a.com:81/x/y.html": ("a.com:81/x/y.html", "a.com:81/x/y.html"),
+    "https://a.com/x/?q=1&b=2": ("a.com/x/index__q7d1ef6668072", "a.com/x/index__q7d1ef6668072.html"),
+    "https://a.com/x;p=1": ("a.com/x", "a.com/x.html"),
+    "https://u@a.com/a b/c.tar.gz?x": ("u@a.com/a b/c.tar__q2d711642b726.gz", "u@a.com/a b/c.tar__q2d711642b726.gz"),
+    "https://a.com/%7Euser/%C3%A1.png": ("a.com/~user/á.png", "a.com/~user/á.png"),
+    "https://a.com/a+b%2Bc": ("a.com/a+b+c", "a.com/a+b+c.html"),
+    "https://a.com/x%zz/y%": ("a.com/x%zz/y%", "a.com/x%zz/y%.html"),
+    "https://a.com/../../etc/pass": ("a.com/_/_/etc/pass", "a.com/_/_/etc/pass.html"),
+    "https://a.com/a//b/./c": ("a.com/a/b/c", "a.com/a/b/c.html"),
+    "https://a.com/<b>:\"|*": ("a.com/_b_____", "a.com/_b_____.html"),
+    "https://a.com/.hidden": ("a.com/.hidden", "a.com/.hidden.html"),
+    "https://a.com/name.": ("a.com/name.", "a.com/name..html"),
+    "https://a.com/x.y/z": ("a.com/x.y/z", "a.com/x.y/z.html"),
+    "/only/path": ("nohost/only/path", "nohost/only/path.html"),
+    "data:text/plain,hi": ("nohost/text/plain,hi", "nohost/text/plain,hi.html"),
+    "https://a.com/p?q=1#frag?x": ("a.com/p__q02f5e6e36c03", "a.com/p__q02f5e6e36c03.html"),
+    "https://a.com/index.css;v=2?y#z": ("a.com/index__qa1fce4363854.css", "a.com/index__qa1fce4363854.css"),
+}
 
 
 def test_safe_relpath(spark):
-    cases = [(u, m) for u in URLS for m in MIMES]
-    df = spark.createDataFrame(cases, "u string, m string")
-    got = df.select("u", "m", urls.safe_relpath(F.col("u"), F.col("m")).alias("p")).collect()
-    assert {(r.u, r.m): r.p for r in got} == {c: path_rule(*c) for c in cases}
+    df = spark.createDataFrame([(u,) for u in PATHS], "u string")
+    plain, page = (urls.safe_relpath(F.col("u"), F.lit(m)) for m in (None, "text/html; charset=utf-8"))
+    got = {r.u: (r.a, r.b) for r in df.select("u", plain.alias("a"), page.alias("b")).collect()}
+    assert got == PATHS
+
+
+def test_extension_by_type(spark):
+    want = {" TEXT/CSS ": "h/x.css", "image/png": "h/x.png", "x/unknown": "h/x", "application/octet-stream": "h/x"}
+    df = spark.createDataFrame([(m,) for m in want], "m string")
+    got = {r.m: r.p for r in df.select("m", urls.safe_relpath(F.lit("http://h/x"), F.col("m")).alias("p")).collect()}
+    assert got == want
 
 
 def test_normalise_url(spark):
-    cases = [*URLS, "HTTP://A.com/x?#y", "mailto:a@b#c", "#x", ""]
-    df = spark.createDataFrame([(u,) for u in cases], "u string")
+    changed = {
+        "https://a.com/p?q=1#frag?x": "https://a.com/p?q=1",
+        "https://a.com/index.css;v=2?y#z": "https://a.com/index.css;v=2?y",
+        "HTTP://A.com/x?#y": "http://A.com/x", "mailto:a@b#c": "mailto:a@b", "#x": "", "": "",
+    }
+    want = {u: u for u in PATHS} | changed
+    df = spark.createDataFrame([(u,) for u in want], "u string")
     got = {r.u: r.n for r in df.select("u", urls.normalise_url(F.col("u")).alias("n")).collect()}
-    assert got == {u: urlparse(u)._replace(fragment="").geturl() for u in cases}
+    assert got == want
+
+
+BASES = ["https://a.com/x/y?z#w", "http://b.org", "https://a.com/p/"]
+# A reference as it stands in a page, and what it is under each base.
+RESOLVED = {
+    "/a": ("https://a.com/a", "http://b.org/a", "https://a.com/a"),
+    "b/c": ("https://a.com/x/b/c", "http://b.org/b/c", "https://a.com/p/b/c"),
+    "../up": ("https://a.com/up", "http://b.org/up", "https://a.com/up"),
+    "/a/../b": ("https://a.com/b", "http://b.org/b", "https://a.com/b"),
+    "//cdn.x/y": ("https://cdn.x/y", "http://cdn.x/y", "https://cdn.x/y"),
+    "https://z.com/q?x#y": ("https://z.com/q?x",) * 3,
+    "?only=q": ("https://a.com/x/y?only=q", "http://b.org?only=q", "https://a.com/p/?only=q"),
+    "#top": (None, None, None),
+    "mailto:a@b": (None, None, None),
+    " /sp ": ("https://a.com/sp", "http://b.org/sp", "https://a.com/sp"),
+    "/a&amp;amp;b": ("https://a.com/a&b", "http://b.org/a&b", "https://a.com/a&b"),
+    "JavaScript:x()": (None, None, None),
+    "&#109;ailto:x": (None, None, None),
+    "": ("https://a.com/x/y?z", "http://b.org", "https://a.com/p/"),
+    "/x y": ("https://a.com/x y", "http://b.org/x y", "https://a.com/x y"),
+    "http://z.com/?": ("http://z.com/",) * 3,
+    "HTTP://Z/a#b": ("http://Z/a",) * 3,
+    "data:x": (None, None, None),
+    "tel:1": (None, None, None),
+    "/a//b": ("https://a.com/a//b", "http://b.org/a//b", "https://a.com/a//b"),
+    "b//c": ("https://a.com/x/b/c", "http://b.org/b/c", "https://a.com/p/b/c"),
+    "./d": ("https://a.com/x/d", "http://b.org/d", "https://a.com/p/d"),
+    "/e#f": ("https://a.com/e", "http://b.org/e", "https://a.com/e"),
+    "/g.html?q=/./": ("https://a.com/g.html?q=/./", "http://b.org/g.html?q=/./", "https://a.com/g.html?q=/./"),
+}
 
 
 def test_resolve(spark):
-    raws = [
-        "/a", "b/c", "../up", "/a/../b", "//cdn.x/y", "https://z.com/q?x#y", "?only=q", "#top", "mailto:a@b",
-        " /sp ", "/a&amp;amp;b", "JavaScript:x()", "&#109;ailto:x", "", "/x y", "http://z.com/?", "HTTP://Z/a#b",
-        "data:x", "tel:1", "/a//b", "b//c", "./d", "/e#f", "/g.html?q=/./",
-    ]
-    bases = ["https://a.com/x/y?z#w", "http://b.org", "https://a.com/p/"]
-    cases = [(r, b) for r in raws for b in bases]
-    df = spark.createDataFrame(cases, "raw string, base string")
-
-    def rule(raw, base):
-        value = unescape(unescape(raw.strip()))
-        if value.lower().startswith(tuple(fixed.SKIPPED_SCHEMES)):
-            return None
-        return urlparse(urljoin(base, value))._replace(fragment="").geturl()
-
-    got = {(r.raw, r.base): r.u for r in df.select("raw", "base", urls.resolve(F.col("raw"), F.col("base")).alias("u")).collect()}
-    assert got == {c: rule(*c) for c in cases}
-    assert urldefrag(rule("/e#f", bases[0])).url == "https://a.com/e"
+    df = spark.createDataFrame([(r,) for r in RESOLVED], "raw string")
+    out = df.select("raw", F.array(*[urls.resolve(F.col("raw"), F.lit(b)) for b in BASES]).alias("u"))
+    assert {r.raw: tuple(r.u) for r in out.collect()} == RESOLVED
 
 
 PAGE = (
@@ -100,7 +122,43 @@ def test_rewrite_page(spark):
 
 def test_rewrite_nothing_known_only_adds_base():
     html = "<head></head><a href='/x'>"
-    assert page_rewrite.rewrite_page(html, {}, "h") == "<head><base href=\"/h/\">\n</head><a href='/x'>"
+    assert markup.rewrite_page(html, {}, "h") == "<head><base href=\"/h/\">\n</head><a href='/x'>"
+
+
+def test_sheet_slots():
+    css = (
+        "a{b:url(x.png)} c{d:URL( \"v w.png\" )} e{f:url('it)s.gif' )} g{h:url(\"open)} i{j:url(a\nb)} k{l:url( )}"
+        "url('a'b') url("
+    )
+    assert [s.raw for s in markup.sheet_slots(css, 0, len(css))] == ["x.png", "v w.png", "it)s.gif", "open", "", "a'b"]
+    assert markup.rewrite_css(css, {"it)s.gif": "/l"}).count('url("/l")') == 1
+
+
+def test_long_texts_take_linear_time():
+    for text in ("a" * 300_000, " " * 300_000, "a=" * 150_000, "url(" * 50_000, "<style>" * 40_000, "<meta x='" * 2_000):
+        markup.rewrite_page(text, {"x": "y"}, "h")
+
+
+def test_captures_do_not_share_their_urls(spark):
+    pages = spark.createDataFrame(
+        [(1, 1, "https://a.com/i", "<a href='/k'>"), (2, 1, "https://a.com/i", "<a href='/k'>")],
+        "capture_id int, page_id int, url string, html string",
+    )
+    known = spark.createDataFrame(
+        [(2, "https://a.com/k", "/a.com/k.html"), (3, "https://a.com/k", "/a.com/k.css")],
+        "capture_id int, url string, local string",
+    )
+    scope = ["capture_id"]
+    found = references.resolve(
+        references.page_refs(pages.withColumnRenamed("url", "base"), ["capture_id", "page_id", "base"]), "base"
+    )
+    missing = references.missing_refs(found, known, ["page_id"], scope).collect()
+    assert [tuple(r) for r in missing] == [(1, 1, "https://a.com/k")]
+    assert [r.capture_id for r in references.missing_urls(found, known, scope).collect()] == [1]
+    out = {r.capture_id: r.html for r in references.rewrite(pages, known, scope=scope).collect()}
+    assert out == {
+        1: "<base href=\"/a.com/\">\n<a href='/k'>", 2: "<base href=\"/a.com/\">\n<a href='/a.com/k.html'>",
+    }
 
 
 def test_log_parsing(spark):

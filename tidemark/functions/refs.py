@@ -1,62 +1,33 @@
-"""Patterns that find references in pages and style sheets."""
+"""References of pages and style sheets as column expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterator
 
-from tidemark.functions import clean
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Attributes that hold one URL each, and those that hold URLs inside other text.
-URL_ATTRIBUTES = ["src", "href", "data-src", "poster"]
-ATTRIBUTE = (
-    r"(?i)(?<![\w-])(?:src|href|data-src|poster|srcset|style|content)"
-    r"\s*=\s*(?:\"[^\"]*\"|'[^']*')"
+FOUND = T.ArrayType(
+    T.StructType().add("kind", T.StringType()).add("pos", T.IntegerType()).add("raw", T.StringType())
 )
-STYLE_BLOCK = r"(?is)<style[^>]*>(.*?)</style>"
-CSS_URL = r"(?i)url\(\s*([\"']?)(.*?)\1\s*\)"
-META_REFRESH = r"(?i)^\s*\d+\s*;\s*url\s*=\s*(.*)"
-
-
-def css_urls(css: Column) -> Column:
-    """Raw ``url(...)`` values of a style sheet."""
-    found = F.regexp_extract_all(css, F.lit(CSS_URL), F.lit(2))
-    return F.transform(found, lambda u: F.regexp_replace(clean.strip(u), "^[\"']+|[\"']+$", ""))
-
-
-def page_items(html: Column) -> Column:
-    """``kind, value`` of every attribute and style block that can hold references.
-
-    One regular-expression pass over the page for attributes and one for style blocks.
-    """
-    attributes = F.transform(
-        F.regexp_extract_all(html, F.lit(ATTRIBUTE), F.lit(0)),
-        lambda a: F.struct(
-            F.lower(F.regexp_extract(a, r"^[\w-]+", 0)).alias("kind"),
-            F.regexp_extract(a, r"(?s)=\s*[\"'](.*)[\"']$", 1).alias("value"),
-        ),
-    )
-    blocks = F.transform(
-        F.regexp_extract_all(html, F.lit(STYLE_BLOCK), F.lit(1)),
-        lambda b: F.struct(F.lit("style_block").alias("kind"), b.alias("value")),
-    )
-    return F.concat(attributes, blocks)
-
-
-def item_urls(kind: Column, value: Column) -> Column:
-    """Raw references inside one attribute value or style block."""
-    sources = F.transform(
-        F.filter(F.transform(F.split(value, ","), clean.strip), lambda s: s != ""),
-        lambda s: F.split(s, r"\s+")[0],
-    )
-    refresh = F.regexp_extract(value, META_REFRESH, 1)
-    one_line = ~value.contains("\n")
-    none = F.array().cast("array<string>")
-    return (
-        F.when(kind.isin("style", "style_block"), css_urls(value))
-        .when(~one_line, none)
-        .when(kind.isin(URL_ATTRIBUTES), F.array(value))
-        .when(kind == "srcset", sources)
-        .when((kind == "content") & value.rlike(META_REFRESH), F.array(refresh))
-        .otherwise(none)
-    )
+
+
+@F.pandas_udf(FOUND)
+def page_references(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """``kind, pos, raw`` of every reference of a page."""
+    from tidemark.functions.markup import listed, page_slots
+
+    for pages in batches:
+        yield pd.Series([None if p is None else listed(page_slots(p)) for p in pages], dtype=object)
+
+
+@F.pandas_udf(FOUND)
+def sheet_references(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The same for the ``url(...)`` values of a style sheet."""
+    from tidemark.functions.markup import listed, sheet_slots
+
+    for sheets in batches:
+        yield pd.Series(
+            [None if s is None else listed(sheet_slots(s, 0, len(s))) for s in sheets], dtype=object
+        )

@@ -13,14 +13,16 @@ from tidemark.functions import refs, urls
 
 
 def page_refs(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """``kind, pos, raw``: every reference of a page, in page order within its kind group."""
-    items = pages.select(*keep, F.posexplode(refs.page_items(F.col(html_col))).alias("pos", "i"))
-    raws = refs.item_urls(F.col("i.kind"), F.col("i.value"))
-    return items.select(*keep, "pos", F.col("i.kind").alias("kind"), F.explode(raws).alias("raw"))
+    """``kind, pos, raw``: every reference of a page, attributes before style blocks."""
+    return pages.select(*keep, F.inline(refs.page_references(F.col(html_col)))).select(
+        *keep, "pos", "kind", "raw"
+    )
 
 
 def css_refs(sheets: DataFrame, keep: list[str], css_col: str = "css") -> DataFrame:
-    return sheets.select(*keep, F.posexplode(refs.css_urls(F.col(css_col))).alias("pos", "raw"))
+    return sheets.select(*keep, F.inline(refs.sheet_references(F.col(css_col)))).select(
+        *keep, "pos", "raw"
+    )
 
 
 def resolve(found: DataFrame, base_col: str, raw_col: str = "raw", out: str = "url") -> DataFrame:
@@ -30,32 +32,39 @@ def resolve(found: DataFrame, base_col: str, raw_col: str = "raw", out: str = "u
     )
 
 
-def missing_refs(resolved: DataFrame, url_map: DataFrame, keep: list[str]) -> DataFrame:
+def missing_refs(
+    resolved: DataFrame, url_map: DataFrame, keep: list[str], scope: list[str] | None = None
+) -> DataFrame:
     """Resolved URLs without a local copy, unique and sorted per page.
 
-    Made distinct before the join; the map has each URL once. A URL every page links to
-    skews only the stream side of the anti join, which adaptive execution splits.
+    ``scope`` names the columns (``capture_id``) inside which a URL counts as saved: what
+    one capture saved does not help another. Made distinct before the join; the map has each
+    URL once per scope. A URL every page links to skews only the stream side of the anti
+    join, which adaptive execution splits.
     """
-    wanted = resolved.select(*keep, "url").distinct()
-    return wanted.join(url_map.select("url").distinct(), "url", "left_anti").select(
-        *keep, "url"
-    ).orderBy(*keep, "url")
+    on = [*(scope or []), "url"]
+    columns = list(dict.fromkeys([*(scope or []), *keep, "url"]))
+    wanted = resolved.select(*columns).distinct()
+    return wanted.join(url_map.select(*on).distinct(), on, "left_anti").select(*columns).orderBy(*columns)
 
 
-def missing_urls(resolved: DataFrame, url_map: DataFrame) -> DataFrame:
+def missing_urls(
+    resolved: DataFrame, url_map: DataFrame, scope: list[str] | None = None
+) -> DataFrame:
     """Missing URLs over all pages with the number of references to each.
 
     Counted first, so both sides of the join hold every URL once: nothing can skew it.
     """
-    counted = resolved.groupBy("url").agg(F.count(F.lit(1)).alias("referencias"))
-    return counted.join(url_map.select("url").distinct(), "url", "left_anti")
+    on = [*(scope or []), "url"]
+    counted = resolved.groupBy(*on).agg(F.count(F.lit(1)).alias("referencias"))
+    return counted.join(url_map.select(*on).distinct(), on, "left_anti")
 
 
 @F.pandas_udf(T.StringType())
 def _rewrite_pages(
     batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
 ) -> Iterator[pd.Series]:
-    from tidemark.functions.page_rewrite import rewrite_page
+    from tidemark.functions.markup import rewrite_page
 
     for pages, hosts, maps in batches:
         yield pd.Series(
@@ -69,7 +78,7 @@ def _rewrite_pages(
 
 @F.pandas_udf(T.StringType())
 def _rewrite_sheets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    from tidemark.functions.page_rewrite import rewrite_css
+    from tidemark.functions.markup import rewrite_css
 
     for sheets, maps in batches:
         yield pd.Series(
@@ -78,39 +87,45 @@ def _rewrite_sheets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
         )
 
 
-def _local_maps(resolved: DataFrame, url_map: DataFrame, key: str) -> DataFrame:
-    """``key, mapa``: raw reference -> local path of one document.
+def _with_maps(
+    docs: DataFrame, found: DataFrame, url_map: DataFrame, key: str, base_col: str, scope: list[str]
+) -> DataFrame:
+    """Documents with ``mapa``: raw reference -> local path, within their own scope.
 
     The list is bounded by what one document refers to.
     """
-    wanted = resolved.select(key, "raw", "url").distinct()
-    known = wanted.join(url_map.select("url", "local"), "url")
+    ids = [*scope, key]
+    wanted = resolve(found, base_col, out="_url").select(*ids, "raw", F.col("_url").alias("url")).distinct()
+    known = wanted.join(url_map.select(*scope, "url", "local"), [*scope, "url"])
     pairs = F.collect_set(F.struct("raw", "local"))
-    return known.groupBy(key).agg(F.map_from_entries(pairs).alias("mapa"))
+    maps = known.groupBy(*ids).agg(F.map_from_entries(pairs).alias("mapa"))
+    return docs.join(maps, ids, "left")
 
 
 def rewrite(
     pages: DataFrame, url_map: DataFrame, key: str = "page_id", base_col: str = "url",
-    html_col: str = "html",
+    html_col: str = "html", scope: list[str] | None = None,
 ) -> DataFrame:
-    """Pages with captured references made local. ``url_map`` has each URL once.
+    """Pages with captured references made local. ``url_map`` has each URL once per scope.
 
+    A map of several captures needs ``scope=["capture_id"]``, a column of both tables.
     Content-security tags are dropped and a base tag for the page's host is put first.
     """
-    found = resolve(page_refs(pages, [key, base_col], html_col), base_col, out="_url")
-    maps = _local_maps(found.select(key, "raw", F.col("_url").alias("url")), url_map, key)
+    within = scope or []
+    found = page_refs(pages, [*within, key, base_col], html_col)
     host = F.regexp_extract(base_col, "^[A-Za-z][^:]*://([^/?#]*)", 1)
     host = F.when(host == "", "nohost").otherwise(host)
-    joined = pages.join(maps, key, "left")
+    joined = _with_maps(pages, found, url_map, key, base_col, within)
     return joined.withColumn(html_col, _rewrite_pages(F.col(html_col), host, F.col("mapa"))).drop("mapa")
 
 
 def rewrite_css(
-    sheets: DataFrame, url_map: DataFrame, key: str, base_col: str = "url", css_col: str = "css"
+    sheets: DataFrame, url_map: DataFrame, key: str, base_col: str = "url", css_col: str = "css",
+    scope: list[str] | None = None,
 ) -> DataFrame:
-    found = resolve(css_refs(sheets, [key, base_col], css_col), base_col, out="_url")
-    maps = _local_maps(found.select(key, "raw", F.col("_url").alias("url")), url_map, key)
-    joined = sheets.join(maps, key, "left")
+    within = scope or []
+    found = css_refs(sheets, [*within, key, base_col], css_col)
+    joined = _with_maps(sheets, found, url_map, key, base_col, within)
     return joined.withColumn(css_col, _rewrite_sheets(F.col(css_col), F.col("mapa"))).drop("mapa")
 
 

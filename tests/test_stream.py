@@ -3,6 +3,8 @@
 import os
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from tidemark.functions import gates
 from tidemark.operators import weblog
 from tidemark.plans.registry import table
@@ -39,10 +41,17 @@ def test_sessions(spark):
 
 
 def test_first_per_url(spark):
-    events = table(spark, SF_DIR, "events").selectExpr("user_id", "ts", "event_type AS url")
-    seen = streams.first_per_url(cut(spark, events, 3, "ts"), ["user_id", "url"], late="60 days")
-    got = spark.read.parquet(streams.run_to_files(seen, "u"))
-    assert got.count() == events.select("user_id", "url").distinct().count()
+    """Also when the first event arrives last, long after its key was seen."""
+    events = table(spark, SF_DIR, "events").selectExpr("user_id", "event_type AS url", "ts", "event_id")
+    keys = ["user_id", "url"]
+    for order in ("ts", "-event_id"):
+        arriving = cut(spark, events.withColumn("_o", F.expr("double(ts::timestamp)" if order == "ts" else order)), 3, "_o")
+        path = streams.run_updates(streams.first_per_url(arriving.drop("_o"), keys), "u")
+        got = {(r.user_id, r.url): (r.ts, r.event_id) for r in streams.settled_first(spark.read.parquet(path), keys).collect()}
+        want = {}
+        for r in events.collect():
+            want[r.user_id, r.url] = min(want.get((r.user_id, r.url), (r.ts, r.event_id)), (r.ts, r.event_id))
+        assert got == want
 
 
 def test_upsert_over_several_batches(spark):

@@ -111,10 +111,10 @@ FOREIGN_IDS = [
 ]
 # Page table id -> (logical table, currency type, by person?).
 LOGICAL_TABLES = [
-    ("ctl00_cphContent_rpgActualPrimTablaMn_OT", "df_tabla10", NATIONAL, False),
-    ("ctl00_cphContent_rpgActualMn_OT", "df_tabla12", NATIONAL, True),
-    ("ctl00_cphContent_rpgActualPrimTablaMex_OT", "df_tabla14", FOREIGN, False),
-    ("ctl00_cphContent_rpgActualMex_OT", "df_tabla16", FOREIGN, True),
+    ("ctl00_cphContent_rpgActualPrimTablaMn_OT", "nacional_general", NATIONAL, False),
+    ("ctl00_cphContent_rpgActualMn_OT", "nacional_persona", NATIONAL, True),
+    ("ctl00_cphContent_rpgActualPrimTablaMex_OT", "extranjera_general", FOREIGN, False),
+    ("ctl00_cphContent_rpgActualMex_OT", "extranjera_persona", FOREIGN, True),
 ]
 ROW_LABEL_CLASS = "rpgRowHeaderField"
 

@@ -53,8 +53,18 @@ def status_counts(statuses: DataFrame) -> DataFrame:
     return statuses.groupBy("estado").agg(F.count(F.lit(1)).alias("dias"))
 
 
-def run_summary(rows: DataFrame, output_col: str = "salida") -> DataFrame:
-    """Rows written per output and date, with the write action."""
-    return rows.groupBy(output_col, "fecha").agg(
-        F.count(F.lit(1)).alias("filas"), F.lit("written").alias("accion")
+def run_summary(
+    rows: DataFrame, output_col: str = "salida", requested: DataFrame | None = None
+) -> DataFrame:
+    """Rows per output and date, and whether there was anything to write.
+
+    ``requested`` lists the outputs and dates asked for; those without rows are ``no_rows``.
+    """
+    keys = [output_col, "fecha"]
+    counted = rows.select(*keys, F.lit(1).alias("_n"))
+    if requested is not None:
+        counted = counted.unionByName(requested.select(*keys, F.lit(0).alias("_n")))
+    filas = F.sum("_n")
+    return counted.groupBy(*keys).agg(
+        filas.alias("filas"), F.when(filas > 0, "written").otherwise("no_rows").alias("accion")
     )

@@ -50,9 +50,11 @@ def _seed_aggregates(usable: Column) -> dict[str, Column]:
     """Latest compra, and latest venta, each with its day, among usable rows."""
     found = {}
     for measure in ("compra", "venta"):
-        day = F.when(usable & F.col(measure).isNotNull(), F.col("fecha"))
-        found[f"{measure}_dia"] = F.max(day)
-        found[f"{measure}_base"] = F.max_by(measure, day)
+        known = usable & F.col(measure).isNotNull()
+        found[f"{measure}_dia"] = F.max(F.when(known, F.col("fecha")))
+        found[f"{measure}_base"] = F.max_by(
+            measure, F.when(known, F.struct("fecha", "ord", measure))
+        )
     return found
 
 
@@ -70,8 +72,8 @@ def find_seeds(
 ) -> DataFrame:
     """``moneda, compra, venta``: the last values known before ``start``.
 
-    One map-side-combined aggregate over the look-back window. A currency without any
-    value in the window has no row.
+    One map-side-combined aggregate over the look-back window. Of several values for a day
+    the last in input order counts. A currency without any value in the window has no row.
     """
     window = between_days(
         history, start - timedelta(days=lookback_days), start - timedelta(days=1)
@@ -89,15 +91,21 @@ def one_row_per_day(quotes: DataFrame, check_from: date | None = None) -> DataFr
     """Fold to one row per currency and day.
 
     Two rows for one day are an error, as reindexing such a series is. Days before
-    ``check_from`` are only looked back on and may repeat.
+    ``check_from`` are only looked back on and may repeat: each measure then is its last
+    known value in input order, as in ``find_seeds``.
     """
+
+    def last_known(measure: str) -> Column:
+        order = F.when(F.col(measure).isNotNull(), F.struct("ord", measure))
+        return F.max_by(measure, order).alias(measure)
+
     checked = F.lit(True) if check_from is None else F.col("fecha") >= F.lit(check_from)
     return (
         quotes.groupBy("moneda", "fecha")
         .agg(
-            F.first("codigo").alias("codigo"),
-            F.last("compra").alias("compra"),
-            F.last("venta").alias("venta"),
+            F.min("codigo").alias("codigo"),
+            last_known("compra"),
+            last_known("venta"),
             F.min("ord").alias("ord"),
             F.count(F.lit(1)).alias("filas"),
         )

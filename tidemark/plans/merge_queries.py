@@ -182,9 +182,10 @@ def date_status_counts(spark, sf_dir):
     "run_summary",
     f"""
     WITH {RATES_SQL.format(null_bank=repr('Banco 1'), blank_bank=repr('Banco 2'))}, {GENERAL_SQL}
-    SELECT 'General' AS salida, fecha, count(*) AS filas, 'written' AS accion FROM g GROUP BY 2
-    UNION ALL
-    SELECT 'Persona', fecha, count(*), 'written' FROM rates GROUP BY 2
+    , n AS (SELECT 'General' AS salida, fecha, 1 AS n FROM g UNION ALL SELECT 'Persona', fecha, 1 FROM rates
+      UNION ALL SELECT salida, o_orderdate::date, 0 FROM orders, (VALUES ('General'), ('Persona')) s(salida))
+    SELECT salida, fecha, sum(n)::BIGINT AS filas, CASE WHEN sum(n) > 0 THEN 'written' ELSE 'no_rows' END AS accion
+    FROM n GROUP BY 1, 2
     """,
 )
 def run_summary(spark, sf_dir):
@@ -192,7 +193,9 @@ def run_summary(spark, sf_dir):
     both = general(rows).select(F.lit("General").alias("salida"), "fecha").unionByName(
         rows.select(F.lit("Persona").alias("salida"), "fecha")
     )
-    return ledger.run_summary(both)
+    outputs = F.explode(F.array(F.lit("General"), F.lit("Persona"))).alias("salida")
+    asked = table(spark, sf_dir, "orders").select(outputs, F.col("o_orderdate").cast("date").alias("fecha"))
+    return ledger.run_summary(both, requested=asked)
 
 
 @query(

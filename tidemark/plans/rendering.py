@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.plans.registry import table
-from tidemark.session import spread
+from tidemark.session import even_out
 
 
 def text(*parts: str | Column) -> Column:
@@ -28,6 +28,16 @@ def amount(col: Column) -> Column:
     return F.format_number(col, 2)
 
 
+def orders(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus"
+    )
+
+
+def customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
+
+
 def flat_responses(spark, sf_dir) -> DataFrame:
     """One response per order: heading, the order's quote, and rows to be skipped."""
     key, day, price = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_totalprice")
@@ -42,7 +52,7 @@ def flat_responses(spark, sf_dir) -> DataFrame:
         tr("total", F.col("o_orderstatus"), "1"),
         "</TABLE><!-- ", F.repeat(F.lit("relleno "), 30), "-->",
     )
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return even_out(orders(spark, sf_dir), "o_orderkey").select(
         key.alias("doc_id"), day.cast("date").alias("dia"), html.alias("html")
     )
 
@@ -62,7 +72,7 @@ def grid_pages(spark, sf_dir) -> DataFrame:
         tr("pie", "1", "2", attrs=" class='rgFooter'"),
         "</tbody></table></div></div></body></html>",
     )
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return even_out(orders(spark, sf_dir), "o_orderkey").select(
         key.alias("doc_id"), F.col("o_orderdate").cast("date").alias("dia"), html.alias("html")
     )
 
@@ -120,7 +130,7 @@ def pivot_pages(spark, sf_dir) -> DataFrame:
         f"<table id='{fixed.FOREIGN_IDS[0]}'><tr><td>", bank_b, "</td></tr>",
         "<tr><td>1.25</td><td>", amount(bal), "</td><td>x</td></tr></table>",
     )
-    return spread(table(spark, sf_dir, "customer"), "c_custkey").select(
+    return even_out(customers(spark, sf_dir), "c_custkey").select(
         key.alias("doc_id"),
         text("<html><body>", general, person, foreign, "</body></html>").alias("html"),
     )

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import calendar, fixed
+from tidemark.functions import fixed
 from tidemark.operators import series
 from tidemark.plans.registry import query, table
 
@@ -19,7 +19,7 @@ quotes AS (
     o_orderpriority AS moneda,
     max(o_totalprice) FILTER (o_orderstatus = 'F') AS compra,
     min(o_totalprice) FILTER (o_orderstatus = 'O') AS venta, min(o_orderkey) AS ord
-  FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY ALL)
+  FROM orders GROUP BY ALL)
 """
 LINE_QUOTES_SQL = """
 quotes AS (
@@ -27,7 +27,7 @@ quotes AS (
     l_returnflag || l_linestatus || '-' || l_linenumber AS moneda,
     max(l_extendedprice) FILTER (l_discount >= 0.05) AS compra,
     min(l_extendedprice) FILTER (l_tax >= 0.05) AS venta, min(l_orderkey) AS ord
-  FROM lineitem WHERE isodow(l_shipdate) < 6 GROUP BY ALL)
+  FROM lineitem GROUP BY ALL)
 """
 CUSTOMER_QUOTES_SQL = """
 quotes AS (
@@ -39,11 +39,10 @@ quotes AS (
 
 
 def order_quotes(spark, sf_dir):
-    """Quotes stand-in: one series per order priority, weekdays only."""
+    """Quotes stand-in: one series per order priority."""
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
     return (
         table(spark, sf_dir, "orders")
-        .filter(~calendar.is_weekend(F.col("o_orderdate")))
         .groupBy(
             F.col("o_orderdate").cast("date").alias("fecha"),
             F.substring("o_orderpriority", 1, 1).alias("codigo"),
@@ -62,7 +61,6 @@ def line_quotes(spark, sf_dir):
     price = F.col("l_extendedprice")
     return (
         table(spark, sf_dir, "lineitem")
-        .filter(~calendar.is_weekend(F.col("l_shipdate")))
         .groupBy(
             F.col("l_shipdate").cast("date").alias("fecha"),
             F.col("l_returnflag").alias("codigo"),
@@ -216,6 +214,32 @@ def fill_with_seeds(spark, sf_dir):
     return series.fill_with_seeds(order_quotes(spark, sf_dir), START, END)
 
 
+REPEATED_SQL = """
+WITH raw AS (SELECT o_orderdate::date AS fecha, o_orderpriority AS moneda, o_orderkey AS ord,
+    CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS compra,
+    CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS venta FROM orders),
+back AS (SELECT * FROM raw WHERE fecha BETWEEN DATE '%s' - 46 AND DATE '%s' - 1),
+best AS (SELECT moneda, max(fecha) FILTER (compra IS NOT NULL) AS cd, max(fecha) FILTER (venta IS NOT NULL) AS vd
+  FROM back GROUP BY 1)
+SELECT b.moneda, max_by(compra, ord) FILTER (compra IS NOT NULL AND fecha = cd) AS compra,
+  CASE WHEN any_value(cd) IS NULL OR any_value(vd) >= any_value(cd)
+    THEN max_by(venta, ord) FILTER (venta IS NOT NULL AND fecha = vd) END AS venta
+FROM back b JOIN best USING (moneda) GROUP BY 1 HAVING count(compra) + count(venta) > 0
+"""
+
+
+@query("seed_repeated_days", REPEATED_SQL % (LATE_START, LATE_START))
+def seed_repeated_days(spark, sf_dir):
+    """Look-back days with many rows each: the last known value of the day in input order."""
+    price, status = F.col("o_totalprice"), F.col("o_orderstatus")
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("fecha"), F.col("o_orderpriority").alias("moneda"),
+        F.when(status == "F", price).alias("compra"), F.when(status != "F", price).alias("venta"),
+        F.col("o_orderkey").alias("ord"),
+    )
+    return series.find_seeds(raw, LATE_START)
+
+
 @query(
     "fill_customer_series",
     f"WITH {CUSTOMER_QUOTES_SQL}, {needs_sql(LATE_START, LATE_END)}, "

@@ -40,16 +40,19 @@ def idle_sessions_stream(spark, sf_dir):
 
 @query(
     "first_per_url_stream",
-    "SELECT DISTINCT user_id, 'https://site.example.com/' || regexp_extract(props, '\\d+') AS url FROM events",
+    """
+    SELECT user_id, 'https://site.example.com/' || regexp_extract(props, '\\d+') AS url,
+      min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1, 2
+    """,
 )
 def first_per_url_stream(spark, sf_dir):
-    """URLs of a capture (here: a user), each once."""
+    """First event of every URL of a capture (here: a user)."""
     url = F.concat(F.lit("https://site.example.com/"), F.regexp_extract("props", r"\d+", 0))
+    keys = ["user_id", "url"]
     seen = streams.first_per_url(
-        stream_of(spark, sf_dir, "events").select("user_id", "ts", url.alias("url")),
-        ["user_id", "url"], late="60 days",
+        stream_of(spark, sf_dir, "events").select("user_id", url.alias("url"), "ts", "event_id"), keys
     )
-    return spark.read.parquet(streams.run_to_files(seen.select("user_id", "url"), "first-per-url"))
+    return streams.settled_first(spark.read.parquet(streams.run_updates(seen, "first-per-url")), keys)
 
 
 UPSERT_KEYS = ["fecha", "tipo_moneda", "banco"]

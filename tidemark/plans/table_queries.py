@@ -8,6 +8,7 @@ from tidemark.functions import fixed
 from tidemark.operators import reshape, tables
 from tidemark.plans import rendering
 from tidemark.plans.registry import query
+from tidemark.sources import captures
 
 KEEP = ["doc_id"]
 
@@ -178,7 +179,7 @@ def row_labels(spark, sf_dir):
     """,
 )
 def aligned_rows(spark, sf_dir):
-    rows = deposit_rows(spark, sf_dir).filter(F.col("tabla") == "df_tabla10")
+    rows = deposit_rows(spark, sf_dir).filter(F.col("tabla") == "nacional_general")
     return rows.select(
         "doc_id", "fila", "banco",
         F.array_join("columnas", "|").alias("columnas"), F.array_join("celdas", "|").alias("celdas"),
@@ -188,10 +189,10 @@ def aligned_rows(spark, sf_dir):
 @query(
     "extraction_report",
     """
-    SELECT c_custkey AS doc_id, 'df_tabla10' AS tabla, CASE c_custkey % 4 WHEN 2 THEN 3 ELSE 2 END AS n_filas,
+    SELECT c_custkey AS doc_id, 'nacional_general' AS tabla, CASE c_custkey % 4 WHEN 2 THEN 3 ELSE 2 END AS n_filas,
       CASE c_custkey % 4 WHEN 2 THEN 5 WHEN 3 THEN 7 ELSE 6 END AS n_columnas FROM customer
-    UNION ALL SELECT c_custkey, 'df_tabla12', 1, 5 FROM customer
-    UNION ALL SELECT c_custkey, 'df_tabla14', 2, 4 FROM customer
+    UNION ALL SELECT c_custkey, 'nacional_persona', 1, 5 FROM customer
+    UNION ALL SELECT c_custkey, 'extranjera_general', 2, 4 FROM customer
     """,
 )
 def extraction_report(spark, sf_dir):
@@ -353,7 +354,7 @@ def table_maps(spark, sf_dir, name):
     """,
 )
 def keyword_map(spark, sf_dir):
-    return table_maps(spark, sf_dir, "df_tabla10")
+    return table_maps(spark, sf_dir, "nacional_general")
 
 
 @query(
@@ -367,7 +368,7 @@ def keyword_map(spark, sf_dir):
     """,
 )
 def positional_fallback(spark, sf_dir):
-    return table_maps(spark, sf_dir, "df_tabla14")
+    return table_maps(spark, sf_dir, "extranjera_general")
 
 
 @query(
@@ -396,3 +397,76 @@ def canonical_projection(spark, sf_dir):
     keys = ["doc_id", "tipo_persona", "banco"]
     wide = reshape.person_wide(deposit_tables(spark, sf_dir), KEEP).withColumnRenamed("Hasta 30 días", "h30")
     return reshape.tagged(reshape.canonical(wide, [*keys, "h30", "plazo"]), origen="captura")
+
+
+FIRST_DAY = "2000-01-01"
+KEPT_SQL = "doc_id % 7 <> 0 AND (tipo_moneda = 'Moneda Nacional' OR doc_id % 3 <> 0)"
+
+
+def deposit_captures(spark, sf_dir):
+    """National and foreign page of one day per customer, some stale or not confirmed."""
+    key = F.col("doc_id")
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), key.cast("int"))
+
+    def label(start, late):
+        return F.concat(F.lit(start), F.date_format(F.when(late, F.date_sub(day, 1)).otherwise(day), "dd/MM/yyyy"))
+
+    return rendering.pivot_pages(spark, sf_dir).select(
+        day.alias("requested_date"), "html", F.col("html").alias("html_foreign"),
+        F.when(key % 5 != 1, label("Tasas al ", key % 7 == 0)).otherwise(
+            F.when(key % 7 == 0, label("al ", F.lit(True)))
+        ).alias("label_text"),
+        label("Moneda Extranjera al ", key % 3 == 0).alias("label_foreign"),
+    )
+
+
+@query(
+    "deposit_rates_job",
+    f"""
+    WITH {GENERAL_SQL}
+    SELECT DATE '{FIRST_DAY}' + doc_id::INTEGER AS fecha, tipo_moneda, banco, bucket, valor, valor_raw
+    FROM facts WHERE {KEPT_SQL}
+    """,
+)
+def deposit_rates_job(spark, sf_dir):
+    """Gates, both pages, headings, mapping and general rates in one job."""
+    general, _ = captures.deposit_rates(deposit_captures(spark, sf_dir))
+    return general.select("fecha", "tipo_moneda", "banco", "bucket", "valor", "valor_raw")
+
+
+@query(
+    "deposit_persons_job",
+    f"""
+    WITH {PERSON_SQL}
+    SELECT DATE '{FIRST_DAY}' + doc_id::INTEGER AS fecha, tipo_moneda, tipo_persona, banco, bucket, valor, valor_raw
+    FROM ({PERSON_LONG_SQL}) WHERE doc_id % 7 <> 0 AND tipo_persona = 'Natural'
+    """,
+)
+def deposit_persons_job(spark, sf_dir):
+    """The same for rates by person, legal persons and general rates switched off."""
+    general, person = captures.deposit_rates(deposit_captures(spark, sf_dir), legal=False, general=False)
+    assert general is None
+    return person.select("fecha", "tipo_moneda", "tipo_persona", "banco", "bucket", "valor", "valor_raw")
+
+
+@query(
+    "average_quotes_job",
+    """
+    WITH q AS (SELECT *, o_orderdate::date AS fecha FROM orders WHERE o_orderkey % 4 <> 1 AND o_orderkey % 9 <> 2)
+    SELECT o_orderkey AS doc_id, fecha, 'Dólar Estadounidense' AS moneda, 'USD' AS codigo,
+      CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS compra, round(o_totalprice + 2, 2) AS venta FROM q
+    UNION ALL
+    SELECT o_orderkey, fecha, o_orderpriority, '???', round(o_totalprice * 2, 2), NULL FROM q
+    """,
+)
+def average_quotes_job(spark, sf_dir):
+    """Blocked and stale pages left out, grids read, currencies coded."""
+    key, day = F.col("doc_id"), F.col("dia")
+    shown = F.when(key % 4 == 1, F.date_sub(day, 1)).otherwise(day)
+    pages = rendering.grid_pages(spark, sf_dir).select(
+        "doc_id", day.alias("requested_date"),
+        F.concat(F.lit("al "), F.date_format(shown, "dd/MM/yyyy")).alias("label_text"),
+        F.when(key % 9 == 2, F.concat(F.lit(fixed.BLOCK_MARK), "html")).otherwise(F.col("html")).alias("html"),
+    )
+    quotes = captures.average_quotes(pages, ["doc_id"], check_in_force=True)
+    return quotes.select("doc_id", "fecha", "moneda", "codigo", "compra", "venta")

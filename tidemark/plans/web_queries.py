@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.operators import references, weblog
 from tidemark.plans.registry import query, table
-from tidemark.session import materialise, spread
+from tidemark.session import even_out, materialise
 from tidemark.sources import network_log
 
 # Events as a network log: view = request, click = response, purchase = finished,
@@ -75,7 +75,7 @@ def event_log(spark, sf_dir):
         F.when(kind == "error", k % 2 == 0).alias("canceled"),
     )
     message = F.to_json(F.struct(F.struct(method.alias("method"), params.alias("params")).alias("message")))
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return even_out(table(spark, sf_dir, "events"), "event_id").select(
         F.col("user_id").alias("capture_id"), F.col("event_id").alias("seq"), "ts",
         F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("{cut"), message)).otherwise(message).alias("message"),
     )
@@ -334,7 +334,7 @@ def idle_sessions_batch(spark, sf_dir):
 
 
 def pages(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 @query("normalise_url", "SELECT page_id, regexp_replace(url, '#.*$', '') AS url FROM pages")
@@ -555,3 +555,61 @@ def rewritten_sheets(spark, sf_dir):
     css = F.concat(F.lit("a{b:url(/The)} c{d:url( '/and' )} e{f:url(/u"), "page_id", F.lit(".png)}"))
     own = pages(spark, sf_dir).select("page_id", "url", css.alias("css"))
     return references.rewrite_css(own, local_names(resolved_rich(spark, sf_dir)), "page_id")
+
+
+# Pages as three captures: the first saves nothing, the others each under paths of their own.
+CAPTURES_SQL = f"""
+{REFS_SQL.strip()},
+known AS (SELECT DISTINCT page_id % 3 AS capture_id, url,
+    '/c' || (page_id % 3) || '/' || substr(sha256(url), 1, 16) AS local
+  FROM resolved WHERE url LIKE 'https:%' AND page_id % 3 > 0)
+"""
+
+
+def capture_pages(spark, sf_dir):
+    return rich_pages(spark, sf_dir).withColumn("capture_id", F.col("page_id") % 3)
+
+
+def capture_refs(spark, sf_dir):
+    found = references.page_refs(capture_pages(spark, sf_dir), ["capture_id", "page_id", "url"])
+    return references.resolve(found.withColumnRenamed("url", "base"), "base")
+
+
+def capture_map(resolved):
+    own = resolved.filter(F.col("url").startswith("https:") & (F.col("capture_id") > 0))
+    name = F.concat(F.lit("/c"), "capture_id", F.lit("/"), F.substring(F.sha2("url", 256), 1, 16))
+    return own.select("capture_id", "url").distinct().withColumn("local", name)
+
+
+@query(
+    "capture_missing_refs",
+    f"""
+    WITH {CAPTURES_SQL}
+    SELECT DISTINCT page_id % 3 AS capture_id, page_id, url FROM resolved r WHERE NOT EXISTS (
+      SELECT 1 FROM known k WHERE k.capture_id = r.page_id % 3 AND k.url = r.url)
+    """,
+)
+def capture_missing_refs(spark, sf_dir):
+    """What one capture saved is missing in another that did not."""
+    resolved = materialise(capture_refs(spark, sf_dir).select("capture_id", "page_id", "url"), "refs")
+    return references.missing_refs(resolved, capture_map(resolved), ["page_id"], ["capture_id"])
+
+
+@query(
+    "capture_rewritten_pages",
+    rf"""
+    WITH {CAPTURES_SQL}, {SUBSTITUTION_SQL.replace("JOIN known USING (url)", "r JOIN known k ON k.url = r.url AND k.capture_id = page_id % 3")},
+    rich AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host,
+      replace(html, '</body>', '{EXTRA_SQL}</body>') AS html FROM pages)
+    SELECT page_id % 3 AS capture_id, page_id, url, regexp_replace(
+        list_reduce([html] || coalesce(l, []),
+          lambda x, y: replace(x, split_part(y, chr(1), 1), split_part(y, chr(1), 2))),
+        '(?i)(<head[^>]*>\s*)', '\1<base href="/' || host || '/">' || chr(10)) AS html
+    FROM rich LEFT JOIN lists USING (page_id)
+    """,
+)
+def capture_rewritten_pages(spark, sf_dir):
+    """One URL has another local path in every capture."""
+    return references.rewrite(
+        capture_pages(spark, sf_dir), capture_map(capture_refs(spark, sf_dir)), scope=["capture_id"]
+    )

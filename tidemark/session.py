@@ -17,6 +17,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Sessions of a hot key are merged in each input task before the shuffle.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     if master:
         builder = builder.master(master)
@@ -83,13 +85,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a table that lies in fewer files than there are cores.
-
-    Meant for narrow rows in front of a step that costs much per row. A table of many files
-    is already spread and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def even_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows over all shuffle partitions, in front of a step that costs much per row."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, *keys)

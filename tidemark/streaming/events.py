@@ -34,12 +34,9 @@ def idle_sessions(
 ) -> DataFrame:
     """Sessions closed by a gap. In append mode a session shows once the watermark is past it.
 
-    Sessions are merged inside each input task before the shuffle, so a key with very many
-    events sends its sessions, not its events.
+    With the setting of ``build_session`` sessions are merged inside each input task before
+    the shuffle, so a key with very many events sends its sessions, not its events.
     """
-    stream.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     return (
         event_time(stream, ts)
         .withWatermark(ts, late)
@@ -49,19 +46,47 @@ def idle_sessions(
     )
 
 
-def first_per_url(
-    stream: DataFrame, keys: list[str], ts: str = "ts", late: str = "2 minutes", salts: int = 16
-) -> DataFrame:
-    """First event per key; a key is remembered until the watermark has passed it.
+def _earliest(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """The row with the least time per key; rows without one come last, ties by the rest."""
+    rest = [c for c in df.columns if c not in (*keys, ts)]
+    row = F.min(F.struct(F.col(ts).isNull().alias("_sin"), F.col(ts), *rest)).alias("_r")
+    return df.groupBy(*keys).agg(row).select(
+        *keys, *[F.col(f"_r.{c}").alias(c) for c in df.columns if c not in keys]
+    )
+
+
+def first_per_url(stream: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    """First event per key by time, for output mode ``update``.
 
-    Duplicates are first dropped within ``salts`` shares of each key, so a hot key is
-    worked off by several tasks and the last step gets at most ``salts`` rows of it.
+    An aggregate with one row of state per key: no key is forgotten, an earlier event that
+    comes late replaces the first, and a hot key combines map-side.
     """
-    timed = event_time(stream, ts).withWatermark(ts, late)
-    if salts > 1:
-        share = F.pmod(F.xxhash64(*[F.col(c) for c in timed.columns]), F.lit(salts))
-        timed = timed.withColumn("_parte", share).dropDuplicatesWithinWatermark([*keys, "_parte"]).drop("_parte")
-    return timed.dropDuplicatesWithinWatermark(keys)
+    return _earliest(stream, keys, ts)
+
+
+def run_updates(stream: DataFrame, label: str) -> str:
+    """Process all input there is and write each batch's changes to a folder of its own.
+
+    A batch that is run again overwrites its own folder.
+    """
+    out = scratch_path(stream.sparkSession, label)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/lote={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(write).outputMode("update")
+        .option("checkpointLocation", scratch_path(stream.sparkSession, f"{label}-state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return out
+
+
+def settled_first(updates: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    """The last word of the updates: a first event only ever moves to an earlier time."""
+    return _earliest(updates.drop("lote"), keys, ts)
 
 
 def in_force_captures(stream: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Only what table extraction needs is tracked: tables with their ids, classes and enclosing
 divs, rows with their section, cells with text and spans. A row or cell belongs to every
-table (or row) it lies inside, so a nested table also shows up in the rows around it.
+table (or row) it lies inside, so a nested table also shows up in the rows around it. Each
+is kept once: what lies inside a node is a range of the page's rows, cells and text pieces,
+as everything is numbered in page order. The scan is linear however deep tables nest.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ import re
 from html import unescape
 from itertools import groupby
 
+from tidemark.functions import fixed
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -39,34 +43,54 @@ def span(value: str) -> int:
     return int(value) if value.strip().isdigit() else 1
 
 
-class Table:
-    def __init__(self, number: int, attrs: dict[str, str], outer: list[Table], divs: list[str]):
-        self.number = number
+class Node:
+    """Anything open: the ranges of what was met between its start and its end."""
+
+    def __init__(self, kind: str, page: PageTables):
+        self.kind = kind
+        self.since = page.counts()
+        self.until = self.since
+
+    def range(self, what: int) -> range:
+        return range(self.since[what], self.until[what])
+
+
+ROWS, CELLS_AT, PIECES, TABLES, DATA, SEEN, HEADS, BODIES = range(8)
+
+
+class Table(Node):
+    def __init__(self, page: PageTables, attrs: dict[str, str], depth: int, divs: list[str]):
+        super().__init__("table", page)
+        self.number = len(page.tables)
         self.id = attrs.get("id")
         self.css = attrs.get("class", "")
-        self.ancestors = [t.number for t in outer]
+        self.depth = depth
         self.divs = divs
-        self.rows: list[Row] = []
-        self.marks: list[tuple[bool, bool]] = []
-        self.cells: list[Cell] = []
-        # First thead / tbody met anywhere inside, and whether it is still open.
-        self.first: dict[str, object] = {}
+        self.rows_around = len(page.open_rows)
+        self.own_rows = 0
 
 
-class Row:
-    def __init__(self, css: str):
+class Row(Node):
+    def __init__(self, page: PageTables, css: str, table: Table | None):
+        super().__init__("tr", page)
         self.css = css
-        self.cells: list[Cell] = []
-
-
-class Cell:
-    def __init__(self, number: int, tag: str, attrs: dict[str, str]):
-        self.number = number
-        self.tag = tag
+        self.table = table
+        self.at = 0 if table is None else table.own_rows
+        self.own_cells = 0
+        if table is not None:
+            table.own_rows += 1
+
+
+class Cell(Node):
+    def __init__(self, page: PageTables, tag: str, attrs: dict[str, str], row: Row | None):
+        super().__init__(tag, page)
+        self.row = row
+        self.at = 0 if row is None else row.own_cells
         self.css = attrs.get("class", "")
         self.rowspan = span(attrs["rowspan"]) if "rowspan" in attrs else 1
         self.colspan = span(attrs["colspan"]) if "colspan" in attrs else 1
-        self.pieces: list[str] = []
+        if row is not None:
+            row.own_cells += 1
 
 
 class PageTables:
@@ -74,13 +98,23 @@ class PageTables:
 
     def __init__(self, html: str):
         self.tables: list[Table] = []
-        self.open: list[tuple[str, object]] = []
+        self.rows: list[Row] = []
         self.cells: list[Cell] = []
-        self.cell_count = 0
+        self.pieces: list[str] = []
+        self.heads: list[Node] = []
+        self.bodies: list[Node] = []
+        # Data cells, and how often they are seen from the rows they lie inside.
+        self.n_data = 0
+        self.n_seen = 0
+        self.open: list[Node] = []
+        self.open_tables: list[Table] = []
+        self.open_rows: list[Row] = []
+        self.open_cells = 0
+        self.divs: list[str] = []
         at = 0
         for token in TOKEN.finditer(html):
             start, end = token.span()
-            if self.cells and start > at:
+            if self.open_cells and start > at:
                 self.text(html[at:start])
             at = end
             _, close, tag, raw = token.groups()
@@ -91,72 +125,90 @@ class PageTables:
                         self.end(tag)
                     else:
                         self.start(tag, raw)
-        if self.cells:
+        if self.open_cells:
             self.text(html[at:])
+        while self.open:
+            self.close_top()
+
+    def counts(self) -> tuple[int, ...]:
+        return (
+            len(self.rows), len(self.cells), len(self.pieces), len(self.tables), self.n_data,
+            self.n_seen, len(self.heads), len(self.bodies),
+        )
 
     def text(self, text: str) -> None:
         piece = (unescape(text) if "&" in text else text).strip()
         if piece:
-            for cell in self.cells:
-                cell.pieces.append(piece)
+            self.pieces.append(piece)
+
+    def push(self, node: Node) -> None:
+        self.open.append(node)
+
+    def close_top(self) -> None:
+        node = self.open.pop()
+        node.until = self.counts()
+        if node.kind == "table":
+            self.open_tables.pop()
+        elif node.kind == "tr":
+            self.open_rows.pop()
+        elif node.kind in CELLS:
+            self.open_cells -= 1
+        elif node.kind == "div":
+            self.divs.pop()
 
     def close_down_to(self, kinds: tuple[str, ...], stop: tuple[str, ...]) -> None:
         """Close the innermost open node of these kinds, unless ``stop`` comes first."""
         for depth in range(len(self.open) - 1, -1, -1):
-            kind = self.open[depth][0]
+            kind = self.open[depth].kind
             if kind in kinds:
-                del self.open[depth:]
-                self.cells = [node for kind, node in self.open if kind in CELLS]
+                while len(self.open) > depth:
+                    self.close_top()
                 return
             if kind in stop:
                 return
 
     def start(self, tag: str, raw: str) -> None:
-        top = self.open[-1][0] if self.open else ""
+        top = self.open[-1].kind if self.open else ""
         if tag in CELLS:
             if top != "tr":
                 self.close_down_to(CELLS, ("table", "tr"))
-            cell = Cell(self.cell_count, tag, attributes(raw) if "=" in raw else NO_ATTRIBUTES)
-            self.cell_count += 1
-            for kind, node in self.open:
-                if kind == "tr" or kind == "table":
-                    node.cells.append(cell)
-            self.open.append((tag, cell))
+            row = self.open_rows[-1] if self.open_rows else None
+            cell = Cell(self, tag, attributes(raw) if "=" in raw else NO_ATTRIBUTES, row)
             self.cells.append(cell)
+            if tag == "td":
+                self.n_data += 1
+                self.n_seen += len(self.open_rows)
+            self.open_cells += 1
+            self.push(cell)
         elif tag == "tr":
             if top != "table" and top not in SECTIONS:
                 self.close_down_to(("tr",), ("table", *SECTIONS))
-            row = Row(attributes(raw).get("class", ""))
-            inside = {id(node) for kind, node in self.open if kind in SECTIONS}
-            for kind, node in self.open:
-                if kind == "table":
-                    first = node.first
-                    node.rows.append(row)
-                    node.marks.append(
-                        (id(first.get("thead")) in inside, id(first.get("tbody")) in inside)
-                    )
-            self.open.append((tag, row))
+            table = self.open_tables[-1] if self.open_tables else None
+            row = Row(self, attributes(raw).get("class", ""), table)
+            self.rows.append(row)
+            self.open_rows.append(row)
+            self.push(row)
         elif tag == "div":
-            self.open.append((tag, attributes(raw).get("id", "")))
+            self.divs.append(attributes(raw).get("id", ""))
+            self.push(Node("div", self))
         elif tag == "table":
-            outer = [node for kind, node in self.open if kind == "table"]
-            divs = [node for kind, node in self.open if kind == "div" and node]
-            table = Table(len(self.tables), attributes(raw), outer, divs)
+            divs = [name for name in self.divs if name]
+            table = Table(self, attributes(raw), len(self.open_tables), divs)
             self.tables.append(table)
-            self.open.append((tag, table))
+            self.open_tables.append(table)
+            self.push(table)
         else:
             self.close_down_to(SECTIONS, ("table",))
-            section = object()
-            for kind, node in self.open:
-                if kind == "table":
-                    node.first.setdefault(tag, section)
-            self.open.append((tag, section))
+            section = Node(tag, self)
+            if tag == "thead":
+                self.heads.append(section)
+            elif tag == "tbody":
+                self.bodies.append(section)
+            self.push(section)
 
     def end(self, tag: str) -> None:
-        if self.open and self.open[-1][0] == tag:
-            self.open.pop()
-            if tag in CELLS:
-                self.cells.pop()
+        if self.open and self.open[-1].kind == tag:
+            self.close_top()
         elif tag == "div":
             self.close_down_to(("div",), ("table", "tr", *CELLS, *SECTIONS))
         elif tag == "table":
@@ -164,77 +216,146 @@ class PageTables:
         else:
             self.close_down_to((tag,), ("table",))
 
+    def cells_of(self, node: Node) -> list[Cell]:
+        return self.cells[node.since[CELLS_AT] : node.until[CELLS_AT]]
+
+    def text_of(self, cell: Cell) -> str:
+        return "".join(self.pieces[cell.since[PIECES] : cell.until[PIECES]])
+
+    def first_line(self, cell: Cell) -> str:
+        inside = cell.range(PIECES)
+        return self.pieces[inside.start].split("\n")[0].strip() if inside else ""
 
-def spanned_names(rows: list[Row]) -> list[str]:
+    def n_td(self, table: Table) -> int:
+        """Data cells of all rows inside a table; a nested one counts in every row around it."""
+        return len(table.range(SEEN)) - table.rows_around * len(table.range(DATA))
+
+    def first_section(self, table: Table, what: int) -> range | None:
+        """Rows of the first thead or tbody met anywhere inside a table."""
+        inside = table.range(what)
+        nodes = self.heads if what == HEADS else self.bodies
+        return nodes[inside.start].range(ROWS) if inside else None
+
+
+def spanned_names(page: PageTables, rows: list[Row]) -> list[str]:
     """Column names of a spanned heading, the labels above a column joined by " - ".
 
     The width is that of the first row. A blank cell takes no place: the next cell of its
-    row moves up into it.
+    row moves up into it. Every row is a list of columns that its own labels, and those
+    reaching down from rows above, fill from the left.
     """
     if not rows:
         return []
-    width = sum(cell.colspan for cell in rows[0].cells)
-    placed: dict[tuple[int, int], str] = {}
-    for r, row in enumerate(rows):
-        for cell in row.cells:
-            label = "".join(cell.pieces)
-            column = next((c for c in range(width) if (r, c) not in placed), None)
-            if not label or column is None:
-                continue
-            for down in range(r, min(r + cell.rowspan, len(rows))):
-                for across in range(column, min(column + cell.colspan, width)):
-                    placed.setdefault((down, across), label)
-    names = []
-    for column in range(width):
-        labels = [placed[r, column] for r in range(len(rows)) if (r, column) in placed]
-        names.append(" - ".join(label for label, _ in groupby(labels)) or f"col_{column}")
-    return names
-
+    width = sum(cell.colspan for cell in page.cells_of(rows[0]))
+    grid: list[list[str | None]] = [[None] * width for _ in rows]
+    for r, line in enumerate(grid):
+        cursor = 0
+        for cell in page.cells_of(rows[r]):
+            label = page.text_of(cell)
+            while cursor < width and line[cursor] is not None:
+                cursor += 1
+            if cursor == width:
+                break
+            if label:
+                across = range(cursor, min(cursor + cell.colspan, width))
+                for below in grid[r : r + cell.rowspan]:
+                    for column in across:
+                        below[column] = below[column] or label
+    columns = zip(*grid) if width else ()
+    return [
+        " - ".join(label for label, _ in groupby(filter(None, labels))) or f"col_{i}"
+        for i, labels in enumerate(columns)
+    ]
 
-def scan(html: str | None) -> list[Table]:
-    return PageTables(html).tables if html and "<table" in html.lower() else []
 
+def scan(html: str | None) -> PageTables | None:
+    return PageTables(html) if html and "<table" in html.lower() else None
 
-def text_of(cell: Cell) -> str:
-    return "".join(cell.pieces)
 
+# Readers of plain rows use that many cells; only grids and pivots use more.
+LEADING_CELLS = 4
 
-def first_line(cell: Cell) -> str:
-    return cell.pieces[0].split("\n")[0].strip() if cell.pieces else ""
 
+def read_tables(page: PageTables, ids: list[str], grids: list[str]) -> set[int]:
+    """Numbers of the tables somebody reads rows of.
 
-def page_tables(html: str | None) -> list[tuple]:
-    """Tables as nested tuples, in the field order of ``operators.tables.TABLES_TYPE``."""
+    The first one of the page, the first with each known id, those in a grid's div, and the
+    largest nested table of each.
+    """
+    wanted = {0}
+    known = set(ids)
+    for table in page.tables:
+        if table.id in known:
+            known.discard(table.id)
+            wanted.add(table.number)
+        elif any(name in grids for name in table.divs):
+            wanted.add(table.number)
+    for number in sorted(wanted):
+        nested = page.tables[number + 1 : page.tables[number].until[TABLES]]
+        if nested:
+            wanted.add(max(nested, key=lambda t: (page.n_td(t), -t.number)).number)
+    return wanted
+
+
+def page_tables(
+    html: str | None,
+    ids: tuple[str, ...] = tuple(row[0] for row in fixed.LOGICAL_TABLES),
+    grids: tuple[str, ...] = (fixed.GRID_ID,),
+) -> list[tuple]:
+    """Tables as nested tuples, in the field order of ``operators.tables.TABLES_TYPE``.
+
+    Rows are filled in for the tables of ``read_tables``. A row has all first lines but only
+    its leading cells whole; in a grid, all cells of rows no wider than its headings.
+    """
+    page = scan(html)
+    if page is None:
+        return []
+    wanted = read_tables(page, list(ids), list(grids))
     out = []
-    for table in scan(html):
-        head = [row for row, (in_head, _) in zip(table.rows, table.marks) if in_head]
-        rows = []
-        n_td = 0
-        for row, (in_head, in_body) in zip(table.rows, table.marks):
-            data = [cell for cell in row.cells if cell.tag == "td"]
-            n_td += len(data)
-            rows.append(
-                (
-                    in_head,
-                    in_body,
-                    row.css,
-                    [text_of(cell) for cell in row.cells if cell.tag == "th"],
-                    [text_of(cell) for cell in data],
-                    [first_line(cell) for cell in data],
-                )
+    for table in page.tables:
+        head = page.first_section(table, HEADS)
+        body = page.first_section(table, BODIES)
+        rows, classed, names = None, None, None
+        if table.number in wanted:
+            in_grid = any(name in grids for name in table.divs)
+            names = None if head is None else spanned_names(page, page.rows[head.start : head.stop])
+            labels = (
+                c for c in page.cells_of(table)
+                if c.kind == "td" and fixed.ROW_LABEL_CLASS in c.css.split()
             )
-        classed = [(c.css, text_of(c)) for c in table.cells if c.css and c.tag == "td"]
+            classed = [(c.css, page.text_of(c)) for c in labels]
+            titles = sum(
+                c.kind == "th" for r in head or () for c in page.cells_of(page.rows[r])
+            ) if in_grid else 0
+            rows = []
+            for r in table.range(ROWS):
+                row = page.rows[r]
+                cells = page.cells_of(row)
+                data = [cell for cell in cells if cell.kind == "td"]
+                in_head = head is not None and r in head
+                kept = data if len(data) <= titles else data[:LEADING_CELLS]
+                rows.append(
+                    (
+                        in_head,
+                        body is not None and r in body,
+                        row.css,
+                        [page.text_of(c) for c in cells if c.kind == "th"] if in_grid and in_head else [],
+                        [page.text_of(cell) for cell in kept],
+                        [page.first_line(cell) for cell in data],
+                        len(data),
+                    )
+                )
         out.append(
             (
                 table.number,
                 table.id,
                 table.css,
-                table.ancestors,
+                table.until[TABLES] - 1,
                 table.divs,
-                "thead" in table.first,
-                "tbody" in table.first,
-                n_td,
-                spanned_names(head) if "thead" in table.first else None,
+                head is not None,
+                body is not None,
+                page.n_td(table),
+                names,
                 classed,
                 rows,
             )
@@ -243,14 +364,23 @@ def page_tables(html: str | None) -> list[tuple]:
 
 
 def page_cells(html: str | None) -> list[tuple]:
-    """Every cell of every table, in the field order of ``operators.tables.CELL_TYPE``."""
-    return [
-        (
-            table.number, table.id, len(table.ancestors), r,
-            "thead" if in_head else "tbody" if in_body else None,
-            c, cell.tag, text_of(cell), cell.rowspan, cell.colspan, cell.css,
+    """Every cell once, under the row and table it stands in, in the field order of
+    ``operators.tables.CELL_TYPE``. Its text holds that of the tables inside it."""
+    page = scan(html)
+    if page is None:
+        return []
+    out = []
+    for cell in page.cells:
+        row = cell.row
+        if row is None or row.table is None:
+            continue
+        table, r = row.table, row.since[ROWS]
+        head, body = page.first_section(table, HEADS), page.first_section(table, BODIES)
+        section = "thead" if head and r in head else "tbody" if body and r in body else None
+        out.append(
+            (
+                table.number, table.id, table.depth, row.at, section, cell.at, cell.kind,
+                page.text_of(cell), cell.rowspan, cell.colspan, cell.css,
+            )
         )
-        for table in scan(html)
-        for r, (row, (in_head, in_body)) in enumerate(zip(table.rows, table.marks))
-        for c, cell in enumerate(row.cells)
-    ]
+    return out

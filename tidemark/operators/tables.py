@@ -18,10 +18,10 @@ from tidemark.functions import calendar, clean, fixed
 
 ROW = (
     "struct<in_head:boolean,in_body:boolean,css:string,"
-    "th:array<string>,td:array<string>,lines:array<string>>"
+    "th:array<string>,td:array<string>,lines:array<string>,n:int>"
 )
 TABLES_TYPE = (
-    "array<struct<table_no:int,table_id:string,css:string,ancestors:array<int>,"
+    "array<struct<table_no:int,table_id:string,css:string,last_inside:int,"
     "div_ids:array<string>,has_head:boolean,has_body:boolean,n_td:int,"
     "header_names:array<string>,classed:array<struct<css:string,text:string>>,"
     f"rows:array<{ROW}>>>"
@@ -43,7 +43,9 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}[kind.simpleString()]
 
 
-def _scan_pages(captures: DataFrame, html_col: str, out: str, kind: str, reader: str) -> DataFrame:
+def _scan_pages(
+    captures: DataFrame, html_col: str, out: str, kind: str, reader: str, *options: tuple[str, ...]
+) -> DataFrame:
     kept = [f for f in captures.schema.fields if f.name not in (html_col, out)]
     names = [f.name for f in kept]
     found_type = T._parse_datatype_string(f"t {kind}").fields[0].dataType
@@ -58,7 +60,7 @@ def _scan_pages(captures: DataFrame, html_col: str, out: str, kind: str, reader:
             for at in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(at, PAGES_PER_BATCH)
                 pages = part.column(part.schema.get_field_index(html_col))
-                found = pa.array([read(p.as_py()) for p in pages], type=arrow_type)
+                found = pa.array([read(p.as_py(), *options) for p in pages], type=arrow_type)
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
 
@@ -67,13 +69,23 @@ def _scan_pages(captures: DataFrame, html_col: str, out: str, kind: str, reader:
     return captures.select(*names, page).mapInArrow(scan, schema)
 
 
-def page_tables(captures: DataFrame, html_col: str = "html", out: str = "tables") -> DataFrame:
-    """Replace the HTML column by the array of its tables; other columns pass through."""
-    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables")
+def page_tables(
+    captures: DataFrame,
+    html_col: str = "html",
+    out: str = "tables",
+    ids: tuple[str, ...] = tuple(row[0] for row in fixed.LOGICAL_TABLES),
+    grids: tuple[str, ...] = (fixed.GRID_ID,),
+) -> DataFrame:
+    """Replace the HTML column by the array of its tables; other columns pass through.
+
+    Rows are read for the page's first table, those with a known id, those in a grid's div,
+    and the largest table inside each; name other ids or divs where those are to be read.
+    """
+    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables", ids, grids)
 
 
 def html_cells(captures: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """Long cell table: one row per cell of each table, nested tables' cells included."""
+    """Long cell table: every cell once, under the table and row it stands in."""
     cells = _scan_pages(captures.select(*keep, html_col), html_col, "cells", CELL_TYPE, "page_cells")
     return cells.select(*keep, F.inline("cells"))
 
@@ -135,12 +147,9 @@ def class_grid(
         *keep,
         F.filter(heads, lambda h: h != "").alias("titulos"),
         F.posexplode(F.filter("g.rows", is_data)).alias("fila", "r"),
-    ).select(*keep, "fila", "titulos", F.col("r.td").alias("valores"))
-    return rows.filter(
-        (F.size("titulos") > 0)
-        & (F.size("valores") == F.size("titulos"))
-        & F.exists("valores", lambda v: v != "")
-    )
+    ).filter((F.size("titulos") > 0) & (F.col("r.n") == F.size("titulos")))
+    values = rows.select(*keep, "fila", "titulos", F.col("r.td").alias("valores"))
+    return values.filter(F.exists("valores", lambda v: v != ""))
 
 
 def grid_value(name: str) -> Column:
@@ -178,7 +187,9 @@ def grid_quotes(
 
 def largest_nested(tables: Column, outer: Column) -> Column:
     """The nested table with most cells, the first of equals; the outer one without any."""
-    nested = F.filter(tables, lambda t: F.array_contains(t["ancestors"], outer["table_no"]))
+    nested = F.filter(
+        tables, lambda t: (t["table_no"] > outer["table_no"]) & (t["table_no"] <= outer["last_inside"])
+    )
     best = F.array_max(F.transform(nested, lambda t: F.struct(t["n_td"], -t["table_no"])))
     number = F.coalesce(-best.getField("col2"), outer["table_no"])
     return F.get(tables, number)
@@ -204,7 +215,7 @@ def row_labels(outer: Column) -> Column:
         ),
         lambda c: c["text"],
     )
-    single = F.filter(outer["rows"], lambda r: (F.size(r["td"]) == 1) & (F.get(r["td"], F.lit(0)) != ""))
+    single = F.filter(outer["rows"], lambda r: (r["n"] == 1) & (F.get(r["td"], F.lit(0)) != ""))
     return F.when(F.size(labels) > 0, labels).otherwise(
         F.transform(single, lambda r: F.get(r["td"], F.lit(0)))
     )

@@ -4,6 +4,8 @@ import json
 from datetime import date
 from pathlib import Path
 
+import pytest
+
 from tidemark.functions import clean
 from tidemark.operators import ledger, merge
 from tidemark.session import scratch_path
@@ -57,13 +59,33 @@ def test_accumulated_table(spark):
     first = frame(spark, [(D1, "MN", "A", 1.0), (D3, "MN", "A", 3.0), (None, "MN", "A", 0.0)])
     assert accumulated.write_accumulated(first.limit(0), path, KEYS) == "no_rows"
     assert accumulated.write_accumulated(first, path, KEYS) == "written"
-    untouched = sorted(Path(path, "mes=2025-03").glob("*.parquet"))
+    untouched = accumulated.month_folders(spark, path)["2025-03"]
     batch = frame(spark, [(D1, "MN", "A", 5.0), (D2, "MN", "A", 2.0), (None, "MN", "A", 6.0)])
     for _ in range(2):  # again after a cut-off run: the same table
         assert accumulated.write_accumulated(batch, path, KEYS) == "written"
         got = accumulated.read_accumulated(spark, path)
         assert sorted(r.v for r in got.collect()) == [2.0, 3.0, 5.0, 6.0]
-    assert sorted(Path(path, "mes=2025-03").glob("*.parquet")) == untouched
+    assert accumulated.month_folders(spark, path)["2025-03"] == untouched
+    accumulated.remove_old_versions(spark, path)
+    assert sorted(r.v for r in accumulated.read_accumulated(spark, path).collect()) == [2.0, 3.0, 5.0, 6.0]
+
+
+def test_merge_cut_off_before_it_is_published(spark, monkeypatch):
+    path = scratch_path(spark, "acc")
+    accumulated.write_accumulated(frame(spark, [(D1, "MN", "A", 1.0), (D3, "MN", "A", 3.0)]), path, KEYS)
+    batch = frame(spark, [(D1, "MN", "A", 5.0), (D2, "MN", "A", 2.0)])
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as cut, pytest.raises(RuntimeError):
+        cut.setattr(accumulated, "_publish", stop)
+        accumulated.write_accumulated(batch, path, KEYS)
+    # A list that was begun and not finished does not count either.
+    Path(path, "indice", "2").mkdir()
+    assert sorted(r.v for r in accumulated.read_accumulated(spark, path).collect()) == [1.0, 3.0]
+    accumulated.write_accumulated(batch, path, KEYS)
+    assert sorted(r.v for r in accumulated.read_accumulated(spark, path).collect()) == [2.0, 3.0, 5.0]
 
 
 def test_accumulated_table_takes_a_new_column(spark):

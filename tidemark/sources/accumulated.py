@@ -1,11 +1,14 @@
 """The accumulated table: read, merge a batch in, publish; and plain exports.
 
-The table is Parquet partitioned by month (``mes``). A merge only reads and rewrites the
-months its batch touches; all others stay as they are.
+A merge reads and rewrites the months its batch touches; all others stay as they are. Below
+the table's path, ``datos`` holds one folder of months per merge and ``indice`` one numbered
+list per merge, of the folder each month is read from. The list is written last: until it is
+complete, readers see the table as it was, and nothing of that is ever overwritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,29 +20,50 @@ from tidemark.session import scratch_path
 MONTH = "mes"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _folder_names(spark: SparkSession, path: str) -> list[str]:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
 
 
-def read_accumulated(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table so far, month column left out; None when there is none yet."""
-    if not path_exists(spark, path):
-        return None
+def month_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of every month by the last complete list; one entry per calendar month."""
+    for number in sorted(map(int, _folder_names(spark, f"{path}/indice")), reverse=True):
+        place = f"{path}/indice/{number}"
+        if "_SUCCESS" in _folder_names(spark, place):
+            rows = spark.read.schema("mes string, carpeta string").json(place).collect()
+            return {r.mes: r.carpeta for r in rows}
+    return {}
+
+
+def _read(spark: SparkSession, path: str, months: dict[str, str]) -> DataFrame:
+    places = [f"{path}/datos/{folder}/{MONTH}={month}" for month, folder in sorted(months.items())]
     # Months written before a column came up do not have it.
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(MONTH)
+    return spark.read.option("mergeSchema", "true").parquet(*places)
+
+
+def read_accumulated(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table so far; None when there is none yet."""
+    months = month_folders(spark, path)
+    return _read(spark, path, months) if months else None
 
 
 def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.coalesce(F.date_format("fecha", "yyyy-MM"), F.lit("sin-fecha")))
 
 
+def _publish(spark: SparkSession, path: str, months: dict[str, str]) -> None:
+    """Write the next list; fails if another merge has taken its number."""
+    number = max(map(int, _folder_names(spark, f"{path}/indice")), default=0) + 1
+    rows = spark.createDataFrame(sorted(months.items()), "mes string, carpeta string")
+    rows.coalesce(1).write.mode("error").json(f"{path}/indice/{number}")
+
+
 def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
     """Merge a batch into the table at ``path``; gives ``no_rows`` or ``written``.
 
-    The merged months are first written to the shared scratch folder and then published
-    from there, as a job cannot overwrite what it reads. Merging the same batch again gives
-    the same table, so a run that was cut off is simply repeated.
+    Merging the same batch again gives the same table, so a run that was cut off, at whatever
+    point, is simply repeated. One merge at a time.
     """
     if "fecha" not in keys:
         raise ValueError("only the months of a batch are read: its keys must have fecha")
@@ -48,31 +72,35 @@ def write_accumulated(batch: DataFrame, path: str, keys: list[str]) -> str:
     _with_month(merge.upsert(None, batch, keys)).write.parquet(incoming_path)
     incoming = spark.read.parquet(incoming_path)
     # At most one entry per calendar month, whatever the size of the batch.
-    months = [r[0] for r in incoming.select(MONTH).distinct().collect()]
-    if not months:
+    touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]
+    if not touched:
         return "no_rows"
+    months = month_folders(spark, path)
     merged = incoming
-    # Only the folders of these months are listed and read.
-    touched = [p for p in (f"{path}/{MONTH}={m}" for m in months) if path_exists(spark, p)]
-    if touched:
-        existing = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*touched)
-        merged = merge.upsert(existing.drop(MONTH), incoming.drop(MONTH), keys)
-        merged = _with_month(merged)
-        staged = scratch_path(spark, "merge")
-        merged.write.parquet(staged)
-        merged = spark.read.parquet(staged)
+    known = {m: months[m] for m in touched if m in months}
+    if known:
+        merged = _with_month(merge.upsert(_read(spark, path, known), incoming.drop(MONTH), keys))
+    folder = uuid.uuid4().hex
     (
         # Even output files: small months are put together, a busy month is split.
         merged.hint("rebalance", F.col(MONTH))
         .sortWithinPartitions(MONTH, "fecha")
         .write.partitionBy(MONTH)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
+        .parquet(f"{path}/datos/{folder}")
     )
+    _publish(spark, path, months | dict.fromkeys(touched, folder))
     return "written"
 
 
+def remove_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete folders the last list does not name; for when nobody reads an older one."""
+    used = set(month_folders(spark, path).values())
+    for folder in _folder_names(spark, f"{path}/datos"):
+        if folder not in used:
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/datos/{folder}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def export_name(kind: str, start: date, end: date) -> str:
     """Fixed output names, the date range as ddmmyyyy."""
     first, last = f"{start:%d%m%Y}", f"{end:%d%m%Y}"

@@ -44,7 +44,7 @@ def span(value: str) -> int:
 
 
 class Node:
-    """Anything open: the ranges of what was met between its start and its end."""
+    """A table, section or div: the ranges of what was met between its start and its end."""
 
     def __init__(self, kind: str, page: PageTables):
         self.kind = kind
@@ -55,7 +55,7 @@ class Node:
         return range(self.since[what], self.until[what])
 
 
-ROWS, CELLS_AT, PIECES, TABLES, DATA, SEEN, HEADS, BODIES = range(8)
+ROWS, CELLS_AT, TABLES, DATA, SEEN, HEADS, BODIES = range(7)
 
 
 class Table(Node):
@@ -70,9 +70,15 @@ class Table(Node):
         self.own_rows = 0
 
 
-class Row(Node):
+class Row:
+    """A row: the cells met between its start and its end."""
+
+    __slots__ = ("kind", "number", "first", "last", "css", "table", "at", "own_cells")
+
     def __init__(self, page: PageTables, css: str, table: Table | None):
-        super().__init__("tr", page)
+        self.kind = "tr"
+        self.number = len(page.rows)
+        self.first = self.last = len(page.cells)
         self.css = css
         self.table = table
         self.at = 0 if table is None else table.own_rows
@@ -81,9 +87,14 @@ class Row(Node):
             table.own_rows += 1
 
 
-class Cell(Node):
+class Cell:
+    """A cell: the pieces of text met between its start and its end."""
+
+    __slots__ = ("kind", "first", "last", "row", "at", "css", "rowspan", "colspan")
+
     def __init__(self, page: PageTables, tag: str, attrs: dict[str, str], row: Row | None):
-        super().__init__(tag, page)
+        self.kind = tag
+        self.first = self.last = len(page.pieces)
         self.row = row
         self.at = 0 if row is None else row.own_cells
         self.css = attrs.get("class", "")
@@ -106,7 +117,7 @@ class PageTables:
         # Data cells, and how often they are seen from the rows they lie inside.
         self.n_data = 0
         self.n_seen = 0
-        self.open: list[Node] = []
+        self.open: list[Node | Row | Cell] = []
         self.open_tables: list[Table] = []
         self.open_rows: list[Row] = []
         self.open_cells = 0
@@ -132,8 +143,8 @@ class PageTables:
 
     def counts(self) -> tuple[int, ...]:
         return (
-            len(self.rows), len(self.cells), len(self.pieces), len(self.tables), self.n_data,
-            self.n_seen, len(self.heads), len(self.bodies),
+            len(self.rows), len(self.cells), len(self.tables), self.n_data, self.n_seen,
+            len(self.heads), len(self.bodies),
         )
 
     def text(self, text: str) -> None:
@@ -141,20 +152,24 @@ class PageTables:
         if piece:
             self.pieces.append(piece)
 
-    def push(self, node: Node) -> None:
+    def push(self, node: Node | Row | Cell) -> None:
         self.open.append(node)
 
     def close_top(self) -> None:
         node = self.open.pop()
-        node.until = self.counts()
-        if node.kind == "table":
-            self.open_tables.pop()
-        elif node.kind == "tr":
-            self.open_rows.pop()
-        elif node.kind in CELLS:
+        kind = node.kind
+        if kind in CELLS:
+            node.last = len(self.pieces)
             self.open_cells -= 1
-        elif node.kind == "div":
-            self.divs.pop()
+        elif kind == "tr":
+            node.last = len(self.cells)
+            self.open_rows.pop()
+        else:
+            node.until = self.counts()
+            if kind == "table":
+                self.open_tables.pop()
+            elif kind == "div":
+                self.divs.pop()
 
     def close_down_to(self, kinds: tuple[str, ...], stop: tuple[str, ...]) -> None:
         """Close the innermost open node of these kinds, unless ``stop`` comes first."""
@@ -216,15 +231,16 @@ class PageTables:
         else:
             self.close_down_to((tag,), ("table",))
 
-    def cells_of(self, node: Node) -> list[Cell]:
-        return self.cells[node.since[CELLS_AT] : node.until[CELLS_AT]]
+    def cells_of(self, row: Row) -> list[Cell]:
+        return self.cells[row.first : row.last]
 
     def text_of(self, cell: Cell) -> str:
-        return "".join(self.pieces[cell.since[PIECES] : cell.until[PIECES]])
+        return "".join(self.pieces[cell.first : cell.last])
 
     def first_line(self, cell: Cell) -> str:
-        inside = cell.range(PIECES)
-        return self.pieces[inside.start].split("\n")[0].strip() if inside else ""
+        if cell.first == cell.last:
+            return ""
+        return self.pieces[cell.first].split("\n", 1)[0].strip()
 
     def n_td(self, table: Table) -> int:
         """Data cells of all rows inside a table; a nested one counts in every row around it."""
@@ -320,8 +336,8 @@ def page_tables(
             in_grid = any(name in grids for name in table.divs)
             names = None if head is None else spanned_names(page, page.rows[head.start : head.stop])
             labels = (
-                c for c in page.cells_of(table)
-                if c.kind == "td" and fixed.ROW_LABEL_CLASS in c.css.split()
+                c for c in page.cells[table.since[CELLS_AT] : table.until[CELLS_AT]]
+                if c.kind == "td" and c.css and fixed.ROW_LABEL_CLASS in c.css.split()
             )
             classed = [(c.css, page.text_of(c)) for c in labels]
             titles = sum(
@@ -374,7 +390,7 @@ def page_cells(html: str | None) -> list[tuple]:
         row = cell.row
         if row is None or row.table is None:
             continue
-        table, r = row.table, row.since[ROWS]
+        table, r = row.table, row.number
         head, body = page.first_section(table, HEADS), page.first_section(table, BODIES)
         section = "thead" if head and r in head else "tbody" if body and r in body else None
         out.append(

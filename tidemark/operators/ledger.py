@@ -11,14 +11,22 @@ STATUSES = ["fin de semana", "feriado", "error", "no vigente", "sin datos", "ok"
 
 
 def capture_facts(captures: DataFrame) -> DataFrame:
-    """Fold captures (``requested_date, label_text, failed, n_rows``) to one row per date."""
+    """Fold captures (``requested_date, label_text, failed, n_rows``) to one row per date.
+
+    Where captures tell their ``attempt``, only those of a date's last one count.
+    """
     effective = gates.effective_date(F.col("label_text"))
     stale = ~gates.in_force(F.col("label_text"), F.col("requested_date"))
-    return captures.groupBy(F.col("requested_date").alias("fecha")).agg(
+    tried = [c for c in ["attempt"] if c in captures.columns]
+    facts = captures.groupBy(F.col("requested_date").alias("fecha"), *tried).agg(
         F.max("failed").alias("fallo"),
         calendar.format_dmy(F.max(F.when(stale, calendar.parse_dmy(effective)))).alias("vigente_al"),
         F.sum("n_rows").alias("filas"),
     )
+    if not tried:
+        return facts
+    last = F.max(F.struct("attempt", "fallo", "vigente_al", "filas")).alias("ultimo")
+    return facts.groupBy("fecha").agg(last).select("fecha", "ultimo.fallo", "ultimo.vigente_al", "ultimo.filas")
 
 
 def date_status(

@@ -238,14 +238,35 @@ def capture_summary(found: DataFrame, warnings: DataFrame, missing: DataFrame) -
     )
 
 
+def _first_host(kept: DataFrame) -> DataFrame:
+    return kept.groupBy("capture_id").agg(
+        F.min_by(F.substring_index("relpath", "/", 1), "first_seq").alias("host")
+    )
+
+
+def manifest(found: DataFrame, warnings: DataFrame, missing: DataFrame, opened: DataFrame) -> DataFrame:
+    """The summary of each capture with its addresses and the paths of its two final pages.
+
+    ``opened`` has one row per capture: ``capture_id, root_url, final_url``. A capture that
+    saved nothing has no paths.
+    """
+    return (
+        capture_summary(found, warnings, missing)
+        .join(opened.select("capture_id", "root_url", "final_url"), "capture_id", "left")
+        .join(_first_host(saved(found)), "capture_id", "left")
+        .withColumn("final_html", F.concat("host", F.lit("/index.final.html")))
+        .withColumn("offline_html", F.concat("host", F.lit("/index.offline.html")))
+        .drop("host")
+    )
+
+
 def tree(found: DataFrame) -> DataFrame:
     """Saved paths of each capture and its two final pages, sorted.
 
     ``main_host`` is the host of the first resource of the capture.
     """
     kept = saved(found)
-    host = F.min_by(F.substring_index("relpath", "/", 1), "first_seq")
-    pages = kept.groupBy("capture_id").agg(host.alias("host")).select(
+    pages = _first_host(kept).select(
         "capture_id",
         F.explode(
             F.array(
@@ -282,13 +303,16 @@ def network_idle(
     ts: str = "ts",
     gap_seconds: float = fixed.IDLE_GAP_SECONDS,
     cap_seconds: float = fixed.IDLE_CAP_SECONDS,
+    complete: Column | None = None,
 ) -> DataFrame:
     """When each capture went quiet: the first gap of at least ``gap_seconds``, capped.
 
     ``inicio`` is the first event; ``reposo`` the end of the gap's waiting time, or the
     start plus ``cap_seconds`` when that comes first (``por_tope``). Where events name their
-    ``method``, only those of the network domain count.
+    ``method``, only those of the network domain count. ``complete`` says which events report
+    the page complete: before the first of them no gap ends, and without one the cap decides.
     """
+    seen = events
     if "method" in events.columns:
         events = events.filter(F.col("method").startswith("Network."))
     gap, cap = int(gap_seconds * 1_000_000), int(cap_seconds * 1_000_000)
@@ -296,9 +320,14 @@ def network_idle(
     bins = _time_bins(events, key, ts, gap_seconds).withColumn(
         "siguiente", F.lead("desde").over(by_time)
     )
-    quiet = F.col("siguiente").isNull() | (F.col("siguiente") - F.col("hasta") >= gap)
+    rest = F.col("hasta") + gap
+    quiet = F.col("siguiente").isNull()
+    if complete is not None:
+        ready = seen.filter(complete).groupBy(key).agg(F.min(_micros(seen, ts)).alias("completa"))
+        bins = bins.join(ready, key, "left")
+        rest = F.when(F.col("completa").isNotNull(), F.greatest(rest, "completa"))
     found = bins.groupBy(key).agg(
-        F.min("desde").alias("inicio"), F.min(F.when(quiet, F.col("hasta") + gap)).alias("quieto")
+        F.min("desde").alias("inicio"), F.min(F.when(quiet | (F.col("siguiente") >= rest), rest)).alias("quieto")
     )
     epoch = F.lit("1970-01-01 00:00:00").cast(dict(events.dtypes)[ts])
 
@@ -309,7 +338,7 @@ def network_idle(
         key,
         moment(F.col("inicio")).alias("inicio"),
         moment(F.least("quieto", F.col("inicio") + cap)).alias("reposo"),
-        (F.col("quieto") > F.col("inicio") + cap).alias("por_tope"),
+        F.coalesce(F.col("quieto") > F.col("inicio") + cap, F.lit(True)).alias("por_tope"),
     )
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import calendar as cal
 from tidemark.operators import ledger, merge
 from tidemark.plans.registry import query, table
+from tidemark.session import scratch_path
+from tidemark.sources import accumulated
 
 CUT = "1999-06-01"
 OVERLAP = "1999-01-01"
@@ -118,7 +120,7 @@ def append_missing_columns(spark, sf_dir):
     return merge.upsert(existing, batch, merge.PERSON_KEYS)
 
 
-def captures(spark, sf_dir):
+def captures(spark, sf_dir, *more):
     """One capture per order: its label says which date the data is in force for."""
     day, key = F.col("o_orderdate").cast("date"), F.col("o_custkey")
     shown = F.when(key % 50 == 0, F.date_sub(day, 1)).otherwise(day)
@@ -129,6 +131,7 @@ def captures(spark, sf_dir):
         day.alias("requested_date"), label.alias("label_text"),
         (F.col("o_orderkey") % 211 == 0).alias("failed"),
         F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("n_rows"),
+        *more,
     )
 
 
@@ -153,10 +156,10 @@ def _status_sql() -> str:
     return f"WITH {ORDER_YEARS}, {HOLIDAY_SQL}, {SPINE_SQL}, {STATUS_SQL}"
 
 
-def order_statuses(spark, sf_dir):
+def order_statuses(spark, sf_dir, *more):
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("dia"))
     return ledger.date_status(
-        cal.spine_of(days, "dia"), ledger.capture_facts(captures(spark, sf_dir))
+        cal.spine_of(days, "dia"), ledger.capture_facts(captures(spark, sf_dir, *more))
     )
 
 
@@ -170,6 +173,19 @@ def date_status(spark, sf_dir):
     return order_statuses(spark, sf_dir)
 
 
+@query(
+    "date_status_last_attempt",
+    _status_sql()
+    .replace("caps AS (SELECT", "caps AS (SELECT o_orderkey % 3 AS attempt,")
+    .replace("FROM caps GROUP BY 1", "FROM caps JOIN (SELECT o_orderdate::date AS fecha, max(o_orderkey % 3) AS attempt "
+             "FROM orders GROUP BY 1) USING (fecha, attempt) GROUP BY 1")
+    + """SELECT fecha, estado, CASE WHEN estado = 'no vigente' THEN vigente_al END AS vigente_al,
+      CASE WHEN estado = 'ok' THEN filas END AS filas FROM statuses""",
+)
+def date_status_last_attempt(spark, sf_dir):
+    return order_statuses(spark, sf_dir, (F.col("o_orderkey") % 3).alias("attempt"))
+
+
 @query(
     "date_status_counts",
     _status_sql() + "SELECT estado, count(*) AS dias FROM statuses GROUP BY 1",
@@ -211,3 +227,21 @@ def ordered_rates(spark, sf_dir):
     return merge.ordered(rows, merge.PERSON_KEYS).select(
         "fecha", "tipo_moneda", "tipo_persona", "banco", "tasa_max"
     )
+
+
+@query(
+    "json_lines_roundtrip",
+    f"""
+    WITH {RATES_SQL.format(null_bank='NULL', blank_bank=repr(''))}
+    SELECT *, banco IS NULL AS con_nulo FROM rates
+    """,
+)
+def json_lines_roundtrip(spark, sf_dir):
+    """Rates written as JSON lines and read back; ``con_nulo`` from the line, which has the empty field too."""
+    rows = rates(spark, sf_dir, None, "")
+    path = scratch_path(spark, "json")
+    accumulated.write_json_lines(rows, path)
+    line = F.from_json("value", rows.schema).alias("fila")
+    return spark.read.text(path).select(line, F.col("value").contains('"banco":null').alias("con_nulo")).select(
+        "fila.*", "con_nulo"
+    )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import fixed
 from tidemark.operators import series
 from tidemark.plans.registry import query, table
+from tidemark.session import scratch_path
+from tidemark.sources import accumulated
 
 START, END = date(1995, 3, 1), date(2001, 7, 31)
 LATE_START, LATE_END = date(2001, 1, 1), date(2001, 3, 31)
@@ -214,6 +216,19 @@ def fill_with_seeds(spark, sf_dir):
     return series.fill_with_seeds(order_quotes(spark, sf_dir), START, END)
 
 
+@query(
+    "export_roundtrip",
+    "SELECT *, year(fecha)::INTEGER AS anio FROM ("
+    f"WITH {QUOTES_SQL}, {needs_sql(START, END)}, {seeds_sql(START, 46, False)}, "
+    f"{fill_sql(START, END, 'both', True)})",
+)
+def export_roundtrip(spark, sf_dir):
+    """The filled series exported by year under its range name, and read back."""
+    filled = series.fill_with_seeds(order_quotes(spark, sf_dir), START, END)
+    folder = scratch_path(spark, "export")
+    return spark.read.parquet(accumulated.export_series(filled, folder, "weighted", START, END))
+
+
 REPEATED_SQL = """
 WITH raw AS (SELECT o_orderdate::date AS fecha, o_orderpriority AS moneda, o_orderkey AS ord,
     CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS compra,

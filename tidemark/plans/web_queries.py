@@ -285,6 +285,30 @@ def capture_summary(spark, sf_dir):
     return weblog.capture_summary(found, warnings, missing)
 
 
+@query(
+    "capture_manifest",
+    f"""
+    WITH {RESOURCE_SQL}, {SHEET_SQL},
+    m AS (SELECT capture_id, count(*) AS n FROM missing GROUP BY 1)
+    SELECT r.capture_id, count(bytes) AS saved_count, coalesce(any_value(m.n), 0) AS missing_refs_count,
+      count(*) FILTER (bytes IS NULL) + coalesce(any_value(m.n), 0) AS warnings_count,
+      arg_min(url, first_seq) AS root_url, arg_max(url, first_seq) AS final_url,
+      arg_min(host, first_seq) FILTER (bytes IS NOT NULL) || '/index.final.html' AS final_html,
+      arg_min(host, first_seq) FILTER (bytes IS NOT NULL) || '/index.offline.html' AS offline_html
+    FROM resources r LEFT JOIN m USING (capture_id) GROUP BY 1
+    """,
+)
+def capture_manifest(spark, sf_dir):
+    """The first and the last address of a capture stand in for those it was opened at and ended on."""
+    found = kept_resources(spark, sf_dir)
+    missing = missing_css(found)
+    warnings = weblog.body_warnings(found).unionByName(weblog.missing_css_warnings(missing))
+    opened = found.groupBy("capture_id").agg(
+        F.min_by("url", "first_seq").alias("root_url"), F.max_by("url", "first_seq").alias("final_url")
+    )
+    return weblog.manifest(found, warnings, missing, opened)
+
+
 @query(
     "tree_listing",
     f"""
@@ -319,6 +343,31 @@ def network_idle(spark, sf_dir):
     return weblog.network_idle(events, "user_id", gap_seconds=IDLE_GAP, cap_seconds=3 * IDLE_GAP)
 
 
+@query(
+    "network_idle_page_complete",
+    """
+    WITH ready AS (SELECT user_id, min(ts) AS p FROM events WHERE event_type = 'signup' GROUP BY 1),
+    g AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS sig
+      FROM events WHERE event_type <> 'signup'),
+    c AS (SELECT user_id, min(ts) AS inicio, min(greatest(ts + INTERVAL 2 HOUR, p))
+        FILTER (p IS NOT NULL AND (sig IS NULL OR sig >= greatest(ts + INTERVAL 2 HOUR, p))) AS quieto
+      FROM g LEFT JOIN ready USING (user_id) GROUP BY 1)
+    SELECT user_id, inicio, least(quieto, inicio + INTERVAL 1440 HOUR) AS reposo,
+      coalesce(quieto > inicio + INTERVAL 1440 HOUR, true) AS por_tope
+    FROM c
+    """,
+)
+def network_idle_page_complete(spark, sf_dir):
+    """Signups stand in for the page reporting that it is complete."""
+    kind = F.col("event_type")
+    method = F.when(kind == "signup", "Page.loadEventFired").otherwise(F.concat(F.lit("Network."), kind))
+    events = table(spark, sf_dir, "events").select("user_id", "ts", method.alias("method"))
+    return weblog.network_idle(
+        events, "user_id", gap_seconds=IDLE_GAP, cap_seconds=720 * IDLE_GAP,
+        complete=F.col("method") == "Page.loadEventFired",
+    )
+
+
 SESSIONS_SQL = """
 WITH g AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER w >= INTERVAL 2 HOUR, true) AS abre
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

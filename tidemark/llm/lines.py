@@ -15,7 +15,7 @@ Expressions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import materialise
 
@@ -127,6 +127,28 @@ def within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= most - 1)
 
 
+def earliest_alike(made: DataFrame) -> DataFrame:
+    """(doc, no, partner) of the lines in ``made``, as ``variants`` has them, that share a variant with an earlier one.
+
+    Lines meet if they have a variant without a word at the same place, or if one is a variant of the other. The
+    earliest of a group is a map-side aggregate that is joined back, so that a variant of very many lines is
+    split over tasks. Variants that only one line has are left out first.
+    """
+    place = F.struct("doc", "no")
+    shared = made.groupBy("v").agg(
+        F.min("doc").alias("a"), F.max("doc").alias("b"), F.min("no").alias("c"), F.max("no").alias("d")
+    ).where("a <> b OR c <> d").select("v")
+    met = materialise(made.join(shared, "v"), "shared")
+    at_place = met.groupBy("v", "at").agg(F.min(place).alias("alike"))
+    anywhere = at_place.groupBy("v").agg(
+        F.min(F.when(F.col("at") < 0, F.col("alike"))).alias("itself"),
+        F.min(F.when(F.col("at") >= 0, F.col("alike"))).alias("shorter"),
+    )
+    partner = F.when(F.col("at") < 0, F.col("shorter")).otherwise(F.least("alike", "itself"))
+    earliest = at_place.join(anywhere, "v").select("v", "at", partner.alias("partner"))
+    return met.join(earliest, ["v", "at"]).where(F.col("partner") < place).select("doc", "no", "partner").distinct()
+
+
 def near_lines(docs: DataFrame, rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """(doc, no) of the distinct lines that have an earlier line one word apart."""
     keyed = rows.where("keys IS NOT NULL").select("h", F.explode("keys").alias("k")).select("h", "k.last", "k.key")
@@ -148,13 +170,7 @@ def near_lines(docs: DataFrame, rows: DataFrame, firsts: DataFrame) -> DataFrame
     found = taken.select("doc", "l.no", "l.h", "l.first", "l.last", "l.line").where(F.col("h") == F.xxhash64("line"))
     lines = materialise(prepared(found), "lines")
     place = F.struct("doc", "no")
-    same = Window.partitionBy("v", "at").orderBy("doc", "no")
-    group = Window.partitionBy("v").orderBy("doc", "no").rowsBetween(Window.unboundedPreceding, 0)
-    itself = F.min(F.when(F.col("at") < 0, place)).over(group)
-    shorter = F.min(F.when(F.col("at") >= 0, place)).over(group)
-    met = variants(lines).withColumn("alike", F.first(place).over(same)).withColumn("itself", itself).withColumn("shorter", shorter)
-    partner = F.when(F.col("at") < 0, F.col("shorter")).otherwise(F.least("alike", "itself"))
-    links = met.select("doc", "no", partner.alias("partner")).where(F.col("partner") < place).distinct()
+    links = earliest_alike(variants(lines))
     other = lines.select(place.alias("partner"), F.col("words").alias("other"))
     pairs = links.join(lines.select("doc", "no", "words"), ["doc", "no"]).join(other, "partner")
     return pairs.where(within_one(F.col("words"), F.col("other"))).select("doc", "no").distinct()

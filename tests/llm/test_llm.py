@@ -162,6 +162,44 @@ def test_embeddings_against_brute_force(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def table_of_vectors(spark, vectors, labels):
+    rows = [(i, v.tolist(), label) for i, (v, label) in enumerate(zip(vectors.astype(np.float32), labels))]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+
+
+def brute_links(vectors, least=0.93):
+    """Links of each vector of one label, in double precision."""
+    wide = embeddings.unit(vectors.astype(np.float32))
+    return np.concatenate([(wide[a : a + 500] @ wide.T >= least).sum(axis=1) - 1 for a in range(0, len(wide), 500)])
+
+
+def test_embeddings_of_a_tight_group_of_many_centres(spark):
+    """No link is lost where centres cut a group of different near copies."""
+    rng = np.random.default_rng(8)
+    group = rng.normal(size=64) + 0.22 * rng.normal(size=(9000, 64))
+    vectors = np.concatenate([group, rng.normal(size=(500, 64)), group[:20]])
+    want = brute_links(vectors)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(table_of_vectors(spark, vectors, [1] * len(vectors))).collect()}
+    assert [got[i].n_links for i in range(len(vectors))] == want.tolist()
+    assert want[:9000].mean() > 4000 and sum(r.kept for r in got.values()) == 501
+
+
+def test_parts_of_a_crowded_home(spark, monkeypatch):
+    """Homes far above their size are split, and pairs over parts, homes and labels come out once."""
+    monkeypatch.setattr(embeddings, "home_size", lambda most, dim: 60)
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([rng.normal(size=8) + 0.3 * rng.normal(size=(n, 8)) for n in (700, 200, 40, 5)] + [rng.normal(size=(300, 8))])
+    labels = rng.integers(0, 2, len(vectors))
+    got = {r.vec_id: r for r in embeddings.near_duplicates(table_of_vectors(spark, vectors, labels.tolist())).collect()}
+    for label in (0, 1):
+        at = np.flatnonzero(labels == label)
+        wide = embeddings.unit(vectors[at].astype(np.float32))
+        a, b = np.nonzero(wide @ wide.T >= 0.93)
+        root = embeddings.spanning(np.arange(len(at)), a, b)
+        assert [got[i].n_links for i in at] == (np.bincount(a, minlength=len(at)) - 1).tolist()
+        assert [got[i].component_id for i in at] == at[root].tolist()
+
+
 def test_bpe_round_trip(spark):
     own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [*ODD, "It's <|endoftext|> I'LL Σίσυφος ΟΔΥΣΣΕΥΣ", "日本語 🙂 \x00 ﬁ ſ", "abc" * 2000, "'s'S ''"]

@@ -1,13 +1,14 @@
-"""Embedding near duplicates on a flat navigable graph, built in overlapping shards.
+"""Embedding near duplicates: every pair of a label that can reach the least cosine is compared.
 
 1. Equal vectors of one label become one class. Vectors that can link with nothing are set aside.
-2. Centres are fitted on a bounded sample. Every class goes to the shards of its OVERLAP nearest centres, within its label.
-3. Each shard builds a graph: the nearest neighbours of every member, pruned robustly (a neighbour goes if one
-   already kept is closer to it by the factor ALPHA than the member is).
-4. The adjacency lists of all shards are united and go back to the members of each shard.
-5. In each shard every member is looked for by greedy search from the medoid; what is found within the range is
-   expanded further, until the range has no new member. Pairs are verified in double precision.
-6. A pair counts in the first shard that both share. Shards give counts and spanning forests, never pairs.
+2. Centres are fitted on a bounded sample. The home of a class is its nearest centre, within its label.
+3. A class also goes, as a guest, to each centre whose home vectors it can be linked with: those lie beyond the plane
+   halfway between both centres, and a vector further from that plane than the least cosine allows reaches none.
+   Of two centres only one takes guests of the other, so that each pair is compared once.
+4. A home with too many classes is split into parts by hash; its guests go to all of them.
+5. The home vectors of a part are held and its guests stream past. Products are in single precision; what is too near
+   to the least cosine to be told so is decided in double precision.
+6. Parts give counts and spanning forests, never pairs.
 """
 
 from __future__ import annotations
@@ -23,17 +24,19 @@ from tidemark.llm.components import components
 from tidemark.session import materialise
 
 LEAST_COSINE = 0.93
-OVERLAP = 3
-#: Classes of one label that a shard is aimed at, before overlap.
-SHARD = 1024
-#: Vectors on which the centres are fitted; the number of centres grows with the largest label up to MOST_CENTRES.
+#: Centres of the largest label while its homes are small, and the size from which on homes do not grow further: more
+#: centres mean more copies of guests, fewer mean fewer tasks.
+SPREAD = 8
+LEAST_SHARD, MOST_SHARD = 1024, 32768
+#: Components that the home vectors of one part are aimed at, at most.
+MOST_VALUES = 1 << 21
+#: Vectors on which the centres are fitted.
 SAMPLE = 16384
 MOST_CENTRES = 4096
-CANDIDATES, DEGREE, ALPHA = 48, 16, 1.2
-BEAM = 32
-#: The range is expanded through members this far below the least cosine, which also covers single precision.
-SLACK = 0.03
-BLOCK = 512
+#: Rows that are compared with a part, or with the centres, at once.
+BLOCK = 256
+#: Pairs that are merged at once.
+MOST_PAIRS = 1 << 20
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -72,184 +75,211 @@ def vectors_in(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def assigned(table: DataFrame, overlap: int) -> DataFrame:
-    """(shard, cid, size, shards, vector): a row for each shard of a class; vectors of another length are apart."""
+def home_size(most: int, dim: int) -> int:
+    """Classes that a home is aimed at, where the largest label has ``most``."""
+    return max(min(max(LEAST_SHARD, -(-most // SPREAD)), MOST_SHARD, MOST_VALUES // dim), 1)
+
+
+def takes(centre: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether ``centre`` takes guests of ``other``; it holds for one of two, and for about half of all others."""
+    return (centre != other) & ((centre < other) == ((centre + other) % 2 == 0))
+
+
+def reached(vectors: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home of each vector, and which centres have home vectors that it can be linked with.
+
+    A home vector y of c has y.(c_h - c) <= 0. If x is at the sine s above that plane, its cosine with y is at most
+    the root of 1 - s * s.
+    """
+    close = vectors @ centres.T
+    home = close.argmax(axis=1)
+    gap = close[np.arange(len(home)), home][:, None] - close
+    own, which = np.unique(home, return_inverse=True)
+    squares = np.einsum("id,id->i", centres, centres)
+    apart = np.sqrt(np.maximum(squares[own][:, None] + squares - 2 * centres[own] @ centres.T, 0))
+    sine = 1.0 if least <= 0 else float(np.sqrt(max(1 - least * least, 0)))
+    # The second term covers single precision, also that of the homes of others and of the distances.
+    return home, gap <= sine * apart[which] + 1e-3
+
+
+def assigned(table: DataFrame, least: float) -> DataFrame:
+    """(label, dim, centre, part, guest, cid, size, vector): a row for each part that a class has to be compared in.
+
+    The sample and the homes that are split come to the driver: at most one of the latter for each ``home_size`` classes.
+    """
     keyed = table.withColumn("dim", F.size("vector"))
     sizes = keyed.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("most")).collect()
     fitted: dict[int, np.ndarray] = {}
+    aim: dict[int, int] = {}
     for dim, most in sorted(tuple(r) for r in sizes):
         own = keyed.where(F.col("dim") == dim).orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("vector")
         sample = unit(np.array([r[0] for r in own.collect()], np.float64))
-        count = min(MOST_CENTRES, len(sample), -(-most // SHARD))
-        fitted[dim] = centres_of(sample, count).astype(np.float32)
+        aim[dim] = home_size(most, dim)
+        fitted[dim] = centres_of(sample, min(MOST_CENTRES, len(sample), -(-most // aim[dim]))).astype(np.float32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray]]:
         for batch in batches:
             for rows in runs_of(iter([batch]), 0):
-                dim = rows.column(0)[0].as_py()
-                centres = fitted[dim]
-                near = min(overlap, len(centres))
-                vectors = unit(vectors_in(rows.column(4))).astype(np.float32)
-                chosen = np.sort(np.argpartition(-(vectors @ centres.T), near - 1, axis=1)[:, :near], axis=1)
-                label = rows.column(1).to_numpy().astype(np.int64)
-                shards = (label[:, None] << 28) + ((dim & 0xFFFF) << 12) + chosen
-                at = np.repeat(np.arange(len(rows)), near)
-                taken = rows.take(pa.array(at)).combine_chunks()
-                lists = pa.array(shards[at].tolist(), pa.list_(pa.int64()))
-                yield from pa.table(
-                    {"shard": shards.ravel(), "cid": taken["cid"], "size": taken["size"], "shards": lists, "vector": taken["vector"]}
-                ).to_batches()
-
-    return keyed.select("dim", "label", "cid", "size", "vector").mapInArrow(
-        run, "shard long, cid long, size long, shards array<long>, vector array<float>"
+                for at in range(0, len(rows), BLOCK):
+                    some = rows.slice(at, BLOCK).combine_chunks()
+                    yield rows.column(0)[0].as_py(), some, unit(vectors_in(some.column("vector"))).astype(np.float32)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, rows, vectors in blocks(batches):
+            home = (vectors @ fitted[dim].T).argmax(axis=1)
+            yield from pa.table({"label": rows["label"], "dim": rows["dim"], "centre": pa.array(home, pa.int32())}).to_batches()
+
+    plain = keyed.select("dim", F.col("label").cast("long").alias("label"), "cid", "size", "vector")
+    counted: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    if any(len(x) > 1 for x in fitted.values()):
+        at_least = F.create_map(*(F.lit(x) for pair in aim.items() for x in pair))[F.col("dim")]
+        crowded = plain.mapInArrow(homes, "label long, dim int, centre int").groupBy("label", "dim", "centre").count()
+        for label, dim, centre, count in crowded.where(F.col("count") > 2 * at_least).collect():
+            counted.setdefault((label, dim), []).append((centre, -(-count // aim[dim])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, rows, vectors in blocks(batches):
+            home, near = reached(vectors, fitted[dim], least)
+            label, cid = rows["label"].to_numpy(), rows["cid"].to_numpy()
+            many = np.ones((len(rows), len(fitted[dim])), np.int64)
+            for name in np.unique(label).tolist():
+                for centre, count in counted.get((name, dim), ()):
+                    many[label == name, centre] = count
+            line = np.arange(len(rows))
+            part = cid % many[line, home]
+            near &= takes(np.arange(near.shape[1])[None, :], home[:, None])
+            # The other parts of its own home are visited like those of another centre.
+            near[line, home] = many[line, home] > 1
+            row, centre = np.nonzero(near)
+            times = many[row, centre]
+            first = np.cumsum(times) - times
+            row, centre, to = np.repeat(row, times), np.repeat(centre, times), np.arange(times.sum()) - np.repeat(first, times)
+            wanted = (centre != home[row]) | takes(to, part[row])
+            row, centre, to = row[wanted], centre[wanted], to[wanted]
+            row, centre, to = np.concatenate([line, row]), np.concatenate([home, centre]), np.concatenate([part, to])
+            for at in range(0, len(row), 8192):
+                cut = slice(at, at + 8192)
+                taken = rows.take(pa.array(row[cut]))
+                guest = np.arange(at, at + len(taken)) >= len(line)
+                yield from pa.table({
+                    "label": taken["label"], "dim": taken["dim"], "centre": pa.array(centre[cut], pa.int32()),
+                    "part": pa.array(to[cut], pa.int32()), "guest": pa.array(guest), "cid": taken["cid"],
+                    "size": taken["size"], "vector": taken["vector"],
+                }).combine_chunks().to_batches()
+
+    return plain.mapInArrow(
+        run, "label long, dim int, centre int, part int, guest boolean, cid long, size long, vector array<float>"
     )
 
 
-def pruned(vectors: np.ndarray, member: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """At most DEGREE of each member's candidates (nearest first, -1: none), kept by robust pruning."""
-    own = vectors[member]
-    near = vectors[np.maximum(candidates, 0)]
-    apart = 1 - np.einsum("nd,ncd->nc", own, near)
-    open_ = candidates >= 0
-    out = np.full((len(member), DEGREE), -1, np.int64)
-    row = np.arange(len(member))
-    for k in range(DEGREE):
-        best = np.where(open_, apart, np.inf).argmin(axis=1)
-        some = open_[row, best]
-        if not some.any():
-            break
-        out[some, k] = candidates[row, best][some]
-        between = 1 - np.einsum("nd,ncd->nc", near[row, best], near)
-        open_ &= ALPHA * between > apart
-        open_[row, best] = False
-    return out
-
-
-def built(vectors: np.ndarray) -> np.ndarray:
-    """The pruned neighbours of every vector of a shard."""
-    n, some = len(vectors), min(CANDIDATES, len(vectors) - 1)
-    out = np.full((n, DEGREE), -1, np.int64)
-    if some < 1:
-        return out
-    for at in range(0, n, BLOCK):
-        member = np.arange(at, min(at + BLOCK, n))
-        close = vectors[member] @ vectors.T
-        close[np.arange(len(member)), member] = -2
-        found = np.argpartition(-close, some - 1, axis=1)[:, :some]
-        out[member] = pruned(vectors, member, found)
-    return out
-
-
-class Graph:
-    """Neighbours in both directions of the members of a shard, one list after the other."""
-
-    def __init__(self, n: int, a: np.ndarray, b: np.ndarray) -> None:
-        both = np.unique(np.concatenate([a * n + b, b * n + a]))
-        a, self.next = both // n, both % n
-        self.first = np.searchsorted(a, np.arange(n + 1))
-
-    def expand(self, query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        count = self.first[node + 1] - self.first[node]
-        at = np.repeat(self.first[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return np.repeat(query, count), self.next[at]
-
-
-def found_within(vectors: np.ndarray, graph: Graph, asked: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) pairs at or above ``least``, by greedy search from the medoid and expansion of the range."""
-    n, q = len(vectors), len(asked)
-    medoid = int((vectors @ vectors.mean(axis=0)).argmax())
-    seen = np.zeros((q, n), bool)
-    own = vectors[asked]
-
-    def cosine(query, node):
-        return np.einsum("id,id->i", own[query], vectors[node])
-
-    beam = np.full((q, BEAM), medoid)
-    score = np.full((q, BEAM), -np.inf, np.float32)
-    done = np.ones((q, BEAM), bool)
-    score[:, 0], done[:, 0] = own @ vectors[medoid], False
-    seen[:, medoid] = True
-    # A member's own place is where its range begins, whether or not the greedy search comes by.
-    hits = [(np.arange(q), asked), (np.flatnonzero(score[:, 0] >= least), np.full(int((score[:, 0] >= least).sum()), medoid))]
-    seen[np.arange(q), asked] = True
-    live = np.arange(q)
-    while len(live):
-        # The best open entry of every beam is expanded; new nodes are merged into the beam.
-        best = np.where(done[live], -np.inf, score[live]).argmax(axis=1)
-        going = ~done[live, best]
-        live, best = live[going], best[going]
-        if not len(live):
-            break
-        done[live, best] = True
-        query, node = graph.expand(live, beam[live, best])
-        new = ~seen[query, node]
-        query, node = query[new], node[new]
-        seen[query, node] = True
-        close = cosine(query, node)
-        within = close >= least
-        hits.append((query[within], node[within]))
-        order = np.lexsort((-close, query))
-        query, node, close = query[order], node[order], close[order]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        fits = rank < BEAM
-        slot = np.searchsorted(live, query[fits])
-        more = np.full((len(live), BEAM), -np.inf, np.float32)
-        which = np.zeros((len(live), BEAM), np.int64)
-        more[slot, rank[fits]], which[slot, rank[fits]] = close[fits], node[fits]
-        scores = np.concatenate([score[live], more], axis=1)
-        top = np.argpartition(-scores, BEAM - 1, axis=1)[:, :BEAM]
-        line = np.arange(len(live))[:, None]
-        score[live] = scores[line, top]
-        beam[live] = np.concatenate([beam[live], which], axis=1)[line, top]
-        done[live] = np.concatenate([done[live], more == -np.inf], axis=1)[line, top]
-    query, node = (np.concatenate(x) for x in zip(*hits))
-    pairs = [(query, node)]
-    while len(query):
-        query, node = graph.expand(query, node)
-        once = np.unique(query * n + node)
-        query, node = once // n, once % n
-        new = ~seen[query, node]
-        query, node = query[new], node[new]
-        seen[query, node] = True
-        within = cosine(query, node) >= least
-        query, node = query[within], node[within]
-        pairs.append((query, node))
-    query, node = (np.concatenate(x) for x in zip(*pairs))
-    return asked[query], node
-
-
-def searched(rows: pa.Table, least: float) -> pa.RecordBatch:
-    """Counts and forest of one shard: (u, v, n): v NULL with n linked rows of u, or an edge u-v with n 0."""
-    rows = rows.sort_by("cid")
-    exact = unit(vectors_in(rows.column("vector")))
-    vectors, cid, n = exact.astype(np.float32), rows.column("cid").to_numpy(), len(rows)
-    lists = rows.column("near").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    to = lists.flatten().to_numpy()
-    at = np.searchsorted(cid, to)
-    here = (at < n) & (cid[np.minimum(at, n - 1)] == to)
-    graph = Graph(n, np.repeat(np.arange(n), sizes)[here], at[here])
-    size, shard = rows.column("size").to_numpy(), rows.column("shard")[0].as_py()
-    shards = vectors_in(rows.column("shards"))
-    linked, parent = np.zeros(n, np.int64), np.arange(n)
-    for start in range(0, n, BLOCK):
-        a, b = found_within(vectors, graph, np.arange(start, min(start + BLOCK, n)), least - SLACK)
-        # What is found from one side holds for both; a pair that both find is met twice and kept from the lower one.
-        sure = np.einsum("id,id->i", exact[a], exact[b]) >= least
-        a, b = a[sure & (a != b)], b[sure & (a != b)]
-        parent = spanning(parent, a, b)
-        shared = (shards[a][:, :, None] == shards[b][:, None, :]).any(axis=2)
-        first = shards[a][np.arange(len(a)), shared.argmax(axis=1)] == shard
-        np.add.at(linked, a[first], size[b[first]])
-    top = pointed(parent)
-    moved, counted = np.flatnonzero(top != np.arange(n)), np.flatnonzero(linked)
-    u = np.concatenate([cid[moved], cid[counted]])
-    v = pa.concat_arrays([pa.array(cid[top[moved]], pa.int64()), pa.nulls(len(counted), pa.int64())])
-    count = np.concatenate([np.zeros(len(moved), np.int64), linked[counted]])
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), v, pa.array(count, pa.int64())], ["u", "v", "n"])
-
-
-def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE, overlap: int = OVERLAP) -> DataFrame:
+def weighed(linked: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Rows that each row of ``linked`` is linked with, where column i stands for size[i] of them."""
+    many = np.flatnonzero(size > 1)
+    return np.count_nonzero(linked, axis=1) + (linked[:, many] * (size[many] - 1)).sum(axis=1, dtype=np.int64)
+
+
+class Part:
+    """The home vectors of one part, their counts, and the forest of what they were linked by."""
+
+    def __init__(self, batches: list[pa.RecordBatch], least: float) -> None:
+        rows = pa.Table.from_batches(batches)
+        self.least, self.cid, self.size = least, rows["cid"].to_numpy(), rows["size"].to_numpy()
+        self.exact = unit(vectors_in(rows["vector"]))
+        self.vectors = self.exact.astype(np.float32)
+        self.count, self.parent = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        self.doubt = 1e-6 + self.vectors.shape[1] * 2.0**-23
+        for at in range(0, len(rows), BLOCK):
+            line = np.arange(at, min(at + BLOCK, len(rows)))
+            linked = self.linked(self.exact[line], self.vectors[line])
+            if linked is not None:
+                linked[line - at, line] = False
+                self.count[line] += weighed(linked, self.size)
+                self.merge(linked)
+                first = linked.argmax(axis=1)
+                some = linked[line - at, first]
+                self.parent = spanning(self.parent, line[some], first[some])
+
+    def linked(self, exact: np.ndarray, vectors: np.ndarray) -> np.ndarray | None:
+        """Which home vectors each of the given ones is linked with; None if there is no pair."""
+        close = vectors @ self.vectors.T
+        linked = close >= self.least - self.doubt
+        if not linked.any():
+            return None
+        a, b = np.nonzero(linked & (close < self.least + self.doubt))
+        for at in range(0, len(a), BLOCK * BLOCK):
+            x, y = a[at : at + BLOCK * BLOCK], b[at : at + BLOCK * BLOCK]
+            linked[x, y] = np.einsum("id,id->i", exact[x], self.exact[y]) >= self.least
+        return linked
+
+    def merge(self, linked: np.ndarray) -> None:
+        """Home vectors that one vector is linked with belong together."""
+        first = linked.argmax(axis=1)
+        while True:
+            apart = linked & (self.parent[None, :] != self.parent[first][:, None])
+            each = np.count_nonzero(apart, axis=1)
+            if not each.any():
+                return
+            if each.sum() <= MOST_PAIRS:
+                a, b = np.nonzero(apart)
+                self.parent = spanning(self.parent, first[a], b)
+                return
+            most = int(each.argmax())
+            b = np.flatnonzero(apart[most])
+            self.parent = spanning(self.parent, np.full(len(b), first[most]), b)
+
+    def visited(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, rows.num_rows, BLOCK):
+            some = pa.Table.from_batches([rows.slice(at, BLOCK)])
+            exact = unit(vectors_in(some["vector"]))
+            linked = self.linked(exact, exact.astype(np.float32))
+            if linked is None:
+                continue
+            cid, size = some["cid"].to_numpy(), some["size"].to_numpy()
+            self.merge(linked)
+            self.count += weighed(linked.T, size)
+            first = linked.argmax(axis=1)
+            met = linked[np.arange(len(cid)), first]
+            yield found_rows(cid[met], self.cid[first[met]], np.zeros(met.sum(), np.int64))
+            yield found_rows(cid[met], None, weighed(linked, self.size)[met])
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        top, counted = pointed(self.parent), np.flatnonzero(self.count)
+        moved = np.flatnonzero(top != np.arange(len(top)))
+        yield found_rows(self.cid[moved], self.cid[top[moved]], np.zeros(len(moved), np.int64))
+        yield found_rows(self.cid[counted], None, self.count[counted])
+
+
+def found_rows(u: np.ndarray, v: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    """(u, v, n): v NULL with n linked rows of u, or an edge u-v with n 0."""
+    other = pa.nulls(len(u), pa.int64()) if v is None else pa.array(v, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), other, pa.array(n, pa.int64())], ["u", "v", "n"])
+
+
+def searched(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Counts and forests of the parts in ``batches(block, guest, cid, size, vector)``, sorted by block and guest."""
+    held: list[pa.RecordBatch] = []
+    part, key = None, None
+    for batch in batches:
+        block, guest = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((block[1:] != block[:-1]) | (guest[1:] != guest[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+            if a == b:
+                continue
+            if key != block[a]:
+                if held or part:
+                    yield from (part or Part(held, least)).finish()
+                held, part, key = [], None, block[a]
+            if not guest[a]:
+                held.append(batch.slice(a, b - a))
+            elif held or part:  # guests of a home without classes meet nothing
+                if part is None:
+                    part, held = Part(held, least), []
+                yield from part.visited(batch.slice(a, b - a))
+    if held or part:
+        yield from (part or Part(held, least)).finish()
+
+
+def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``embeddings(vec_id, embedding, label)``.
 
     Rows of one label whose vectors have a cosine of ``least`` or more are linked. A NULL label, a NULL or empty
@@ -258,27 +288,15 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE, overlap:
     component's least unless it has no other. Further columns are left out.
     """
     known = materialise(classes(embeddings), "classes")
-    members = materialise(assigned(known, overlap), "members")
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs_of(batches):
-            cid = rows.column("cid").to_numpy()
-            lists = built(unit(vectors_in(rows.column("vector"))).astype(np.float32))
-            u, k = np.nonzero(lists >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(cid[u]), pa.array(cid[lists[u, k]])], ["cid", "to"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs_of(batches):
-            yield searched(rows, least)
+        yield from searched(batches, least)
 
-    dealt = members.repartition("shard").sortWithinPartitions("shard")
-    united = dealt.mapInArrow(build, "cid long, to long").groupBy("cid").agg(F.collect_set("to").alias("near"))
-    lists = members.join(united, "cid", "left").select(
-        "shard", "cid", "size", "shards", "vector", F.coalesce("near", F.array().cast("array<long>")).alias("near")
-    )
-    found = materialise(
-        lists.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, "u long, v long, n long"), "found"
+    members = assigned(known, least).select(
+        F.xxhash64("label", "dim", "centre", "part").alias("block"), "guest", "cid", "size", "vector"
     )
+    dealt = members.repartition("block").sortWithinPartitions("block", "guest")
+    found = materialise(dealt.mapInArrow(search, "u long, v long, n long"), "found")
     counts = found.groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("others"))
     roots = components(found.where("v IS NOT NULL").select("u", "v")).withColumnRenamed("u", "cid")
     placed = known.drop("vector").join(counts, "cid", "left").join(roots, "cid", "left").withColumn(

@@ -88,6 +88,32 @@ def test_suffixes_against_brute_force(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == (len(raw), len(gone), spans, kept)
 
 
+def test_hot_anchor_stays_bounded(spark, monkeypatch):
+    """A passage of many different texts: no collection grows with the number of texts, and the rows stay right."""
+    rnd = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    shared = "".join(rnd.choice(letters) for _ in range(250))
+    texts = ["".join(rnd.choice(letters) for _ in range(120)) for _ in range(150)]
+    # Some have the same bytes beside the passage, so windows over its rims repeat too.
+    texts[100:110] = ["x" * 20 + t[:60] + texts[3][-40:] for t in texts[100:110]]
+    rows = [(i, t + shared + t[::-1]) for i, t in enumerate(texts)]
+    bound, original = 1 << 12, suffixes.equal_windows
+
+    def checked(strings, *rest):
+        if sum(map(len, strings)) > 2 * bound:
+            raise ValueError("a collection is above its bound")
+        return original(strings, *rest)
+
+    monkeypatch.setattr(suffixes, "COLLECTION", bound)
+    monkeypatch.setattr(suffixes, "equal_windows", checked)
+    want = brute_repeats(rows, lambda raw: raw, 100)
+    for r in suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        raw, gone = want[r.doc_id]
+        spans = sum(i - 1 not in gone for i in gone)
+        kept = bytes(x for i, x in enumerate(raw) if i not in gone)
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == (len(raw), len(gone), spans, kept)
+
+
 def test_collection_is_a_sorted_suffix_array(tmp_path):
     rnd = random.Random(3)
     strings = [bytes(rnd.choice(b"ab\x00") for _ in range(rnd.randint(1, 40))) for _ in range(50)]

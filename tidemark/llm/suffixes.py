@@ -3,7 +3,9 @@
 1. One pass cuts every text into segments of windows that share an anchor (the least hash of ANCHOR bytes in the
    window). Equal windows share it too. Segments that occur more than once as a whole are settled there; of the
    others only those whose anchor stands in different surroundings are left, mostly the rims of repeats.
-2. These are fetched from their texts and dealt by anchor into collections of bounded size.
+2. These are fetched from their texts and dealt by anchor into collections of bounded size. An anchor with more bytes
+   than a collection may have is hot: its windows are keyed one by one by hashes of all their bytes, and those that
+   share both hashes are equal. They are read as a sorted stream, so no number of them is held at once.
 3. A collection is built column by column, from the last symbol of all its strings to the first. A round inserts the
    next suffix of every string at once: its place follows from the rank of its first symbol in the transform so
    far, and its common prefix with the neighbours from the least common prefix back to the previous and on to the
@@ -32,10 +34,12 @@ WINDOW = 100
 ANCHOR = 32
 #: Bytes of text that a task hashes at once; longer texts are hashed in overlapping pieces.
 PIECE = 1 << 20
-#: Bytes of the strings of one collection, unless one anchor has more.
+#: Bytes of the strings of one anchor at most, and from which on a collection takes no further anchor.
 COLLECTION = 2 << 20
 BASE = 0x9FB21C651E98DF25
 VALUE_OF_BYTE = stirred(np.arange(256, dtype=np.uint64) + np.uint64(BASE))
+OTHER_BASE = 0xD1B54A32D192ED03
+OTHER_VALUE_OF_BYTE = stirred(np.arange(256, dtype=np.uint64) + np.uint64(OTHER_BASE))
 
 
 def least_ahead(values: np.ndarray, width: int) -> np.ndarray:
@@ -254,24 +258,44 @@ def compared(strings: DataFrame, folder: str, window: int = WINDOW) -> DataFrame
     return dealt.mapInArrow(run, "doc long, start int, n int")
 
 
+def windows_of(spans: list[dict], doc: int, raw: bytes, window: int) -> Iterator[pa.RecordBatch]:
+    """A row for each window of the spans, keyed by two hashes of its bytes."""
+    for at in range(0, len(spans), 1024):
+        some = spans[at : at + 1024]
+        n = np.array([x["n"] for x in some], np.int64)
+        own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        cut = np.frombuffer(b"".join(raw[x["start"] : x["start"] + x["n"] + window - 1] for x in some), np.uint8)
+        first = own + np.repeat(np.cumsum(n + window - 1) - (n + window - 1), n)
+        start = own + np.repeat(np.array([x["start"] for x in some], np.int64), n)
+        key = Rolling(VALUE_OF_BYTE[cut], BASE).of(first, first + window)
+        seg = Rolling(OTHER_VALUE_OF_BYTE[cut], OTHER_BASE).of(first, first + window)
+        yield repeats.rows(key, seg, np.full(len(start), doc), start, np.ones(len(start), np.int64)).append_column(
+            "raw", pa.nulls(len(start), pa.binary())
+        )
+
+
 def fetched(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Bytes of the open segments of ``docs(doc, text, spans)``, spans with their keys."""
+    """Bytes of the open segments of ``docs(doc, text, spans)``, spans with their keys; windows without bytes of hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
             for doc, text, spans in zip(*(part.column(i).to_pylist() for i in range(3))):
                 raw = text.encode()
+                yield from windows_of([x for x in spans if x["hot"]], doc, raw, window)
+                cool = [x for x in spans if not x["hot"]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([x["key"] for x in spans], pa.int64()),
-                        pa.array([doc] * len(spans), pa.int64()),
-                        pa.array([x["start"] for x in spans], pa.int32()),
-                        pa.array([raw[x["start"] : x["start"] + x["n"] + window - 1] for x in spans], pa.binary()),
+                        pa.array([x["key"] for x in cool], pa.int64()),
+                        pa.nulls(len(cool), pa.int64()),
+                        pa.array([doc] * len(cool), pa.int64()),
+                        pa.array([x["start"] for x in cool], pa.int32()),
+                        pa.array([x["n"] for x in cool], pa.int32()),
+                        pa.array([raw[x["start"] : x["start"] + x["n"] + window - 1] for x in cool], pa.binary()),
                     ],
-                    ["key", "doc", "start", "raw"],
+                    [*repeats.FIELDS, "raw"],
                 )
 
-    return docs.mapInArrow(run, "key long, doc long, start int, raw binary")
+    return docs.mapInArrow(run, f"{repeats.SCHEMA}, raw binary")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -279,10 +303,15 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     texts = repeats.id_of(docs)
     settled = repeats.written(repeats.settle(text_segments(texts, window, anchor)), "segments")
     gone, open_ = settled.where("key IS NULL"), settled.where("key IS NOT NULL")
-    wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "n")).alias("spans"))
-    strings = fetched(texts.join(wanted, "doc"), window)
-    more = compared(strings, scratch_uri(docs.sparkSession, "columns"), window)
-    return gone.select("doc", "start", "n").union(more)
+    size = F.sum(F.col("n") + F.lit(window - 1))
+    hot = open_.groupBy("key").agg(size.alias("bytes")).where(F.col("bytes") > COLLECTION).select("key", F.lit(True).alias("hot"))
+    told = open_.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = told.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "n", "hot")).alias("spans"))
+    strings = repeats.written(fetched(texts.join(wanted, "doc"), window), "strings")
+    cool = strings.where("raw IS NOT NULL").select("key", "doc", "start", "raw")
+    more = compared(cool, scratch_uri(docs.sparkSession, "columns"), window)
+    again = repeats.settle(strings.where("raw IS NULL").drop("raw"), keep_open=False)
+    return gone.select("doc", "start", "n").union(more).union(again.select("doc", "start", "n"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

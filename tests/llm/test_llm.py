@@ -226,6 +226,17 @@ def test_parts_of_a_crowded_home(spark, monkeypatch):
         assert [got[i].component_id for i in at] == at[root].tolist()
 
 
+def test_audit_sees_lost_links(spark):
+    rng = np.random.default_rng(10)
+    vectors = np.concatenate([rng.normal(size=16) + 0.1 * rng.normal(size=(40, 16)) for _ in range(2)])
+    given = table_of_vectors(spark, vectors, [0] * 40 + [1] * 40)
+    links = embeddings.near_duplicates(given).select("vec_id", "n_links")
+    whole = {r.label: (r.n_queries, r.wanted, r.recall) for r in embeddings.audit(given, links).collect()}
+    assert whole == {k: (40, int(brute_links(vectors[40 * k : 40 * k + 40]).sum()), 1.0) for k in (0, 1)}
+    lost = links.withColumn("n_links", F.when(F.col("vec_id") < 40, F.floor(F.col("n_links") / 2)).otherwise(F.col("n_links")))
+    assert {r.label: r.recall < 0.6 for r in embeddings.audit(given, lost).collect()} == {0: True, 1: False}
+
+
 def test_bpe_round_trip(spark):
     own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [*ODD, "It's <|endoftext|> I'LL Σίσυφος ΟΔΥΣΣΕΥΣ", "日本語 🙂 \x00 ﬁ ſ", "abc" * 2000, "'s'S ''"]

@@ -35,6 +35,8 @@ SAMPLE = 16384
 MOST_CENTRES = 4096
 #: Rows that are compared with a part, or with the centres, at once.
 BLOCK = 256
+#: Classes that are held against all rows of their label by the audit.
+AUDIT = 256
 #: Pairs that are merged at once.
 MOST_PAIRS = 1 << 20
 
@@ -314,3 +316,37 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
         F.col("vec_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def audit(embeddings: DataFrame, links: DataFrame, least: float = LEAST_COSINE, queries: int = AUDIT) -> DataFrame:
+    """label, n_queries, wanted, found, recall of ``links(vec_id, n_links)``, as ``near_duplicates`` gives them.
+
+    Query vectors are the ``queries`` classes with the least hash of their vector. They come to the driver and are held
+    in double precision against all rows of their label, without centres. ``vec_id`` is unique.
+    """
+    known = materialise(classes(embeddings), "classes")
+    asked = known.where("vec_id IS NOT NULL").orderBy(F.xxhash64("cid"), "cid").limit(queries).collect()
+    groups: dict[tuple[int, int], list] = {}
+    for r in asked:
+        groups.setdefault((r.label, len(r.vector)), []).append(r)
+    of = {k: (np.array([r.vec_id for r in v]), unit(np.array([r.vector for r in v], np.float64))) for k, v in groups.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, dim = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for (name, length), (vec_id, vectors) in of.items():
+                rows = pa.Table.from_batches([batch.filter(pa.array((label == name) & (dim == length)))])
+                if len(rows):
+                    n = (vectors @ unit(vectors_in(rows["vector"])).T >= least) @ rows["size"].to_numpy()
+                    given = [pa.array([name] * len(n), pa.int64()), pa.array(vec_id, pa.int64()), pa.array(n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(given, ["label", "vec_id", "n"])
+
+    rows = known.select(F.col("label").cast("long"), F.size("vector").alias("dim"), "size", "vector")
+    wanted = rows.mapInArrow(run, "label long, vec_id long, n long").groupBy("label", "vec_id").agg((F.sum("n") - 1).alias("n"))
+    met = wanted.join(links.select("vec_id", "n_links"), "vec_id", "left")
+    sums = met.groupBy("label").agg(
+        F.count("*").alias("n_queries"), F.sum("n").alias("wanted"),
+        F.sum(F.least("n", F.coalesce("n_links", F.lit(0)))).alias("found"),
+    )
+    recall = F.when(F.col("wanted") > 0, F.col("found") / F.col("wanted")).otherwise(F.lit(1.0))
+    return sums.withColumn("recall", recall)

@@ -296,6 +296,20 @@ def test_mix_takes_what_it_plans(spark):
         assert abs(r.n - r.target) <= 1 and r.over <= 0
 
 
+def test_common_lines_are_cut(spark):
+    """Boilerplate that differs in case and white space goes from all documents but the first of its host."""
+    rows = [(i, f"own {i}\n{'  All  RIGHTS' if i % 2 else 'all rights'} \n\nend {i} é", "en", "s1" if i < 30 else None, 5, "k", "f") for i in range(55)]
+    rows += [(60, None, "en", "s1", 5, "k", "f"), (61, "all rights", "en", "s2", 5, "k", "f"), (62, "all rights", "en", None, 5, "k", "f")]
+    want = {}
+    for doc, text, _, source, *_ in rows:
+        cut = source != "s2" and doc not in (0, 30) and text is not None
+        left = "\n".join(x for x in text.split("\n") if x.lower().split() != ["all", "rights"]) if cut else text
+        want[doc] = left, len(left) if cut else 5
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    cut = quality.without_common_lines(docs)
+    assert cut.columns == docs.columns and {r.doc_id: (r.text, r.n_chars) for r in cut.collect()} == want
+
+
 def near(a, b):
     if abs(len(a) - len(b)) > 1:
         return False

@@ -5,8 +5,8 @@
    shared folder.
 2. Documents are counted per host and line: first made distinct by (host, line, text), then counted, both
    with map-side combine, so that a line of very many documents is no hot key.
-3. Lines above the limits are taken out of every document but the first of their host, and a document
-   that has too few words left is rejected.
+3. Lines above the limits count as taken out of every document but the first of their host, and a document
+   that has too few words left is rejected. ``without_common_lines`` gives the texts without them.
 """
 
 from __future__ import annotations
@@ -143,3 +143,36 @@ def passing(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that are kept, as they are. Rows that share a ``doc_id`` go only if all of them fail."""
     good = judged(docs, host).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(good, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def without_common_lines(docs: DataFrame, host: str = "source") -> DataFrame:
+    """``docs`` without the lines above the limits, in all documents but the first of their host; other lines, blank
+    ones too, stay as they are. ``n_chars`` is renewed if there is one. NULL texts stay NULL.
+    """
+    table = materialise(measured(docs, host), "figures")
+    common = common_lines(table).select(F.col("host").alias("of"), F.col("line").alias("its"), "first")
+    lines = table.select("doc_id", "host", F.explode("lines.line").alias("line")).distinct()
+    found = lines.join(common, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("its")))
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "host").agg(
+        F.collect_set("line").alias("__gone")
+    ).select(F.col("doc_id").alias("__doc"), F.col("host").alias("__host"), "__gone")
+    met = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col(host).eqNullSafe(F.col("__host")), "left")
+    names = docs.columns
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        columns = dict(zip([*names, "__gone"], part.columns))
+        texts, gone_of = columns["text"].to_pylist(), columns.pop("__gone").to_pylist()
+        for i, gone in enumerate(gone_of):
+            if gone and texts[i] is not None:
+                all_gone, lines = set(gone), texts[i].split("\n")
+                own = [line.encode().lower().split() for line in lines]
+                texts[i] = "\n".join(
+                    line for line, w in zip(lines, own) if not w or xxhash.xxh3_128_digest(b" ".join(w)) not in all_gone
+                )
+        columns["text"] = pa.array(texts, pa.string())
+        if "n_chars" in columns:
+            chars = zip(columns["n_chars"].to_pylist(), texts, gone_of)
+            columns["n_chars"] = pa.array([len(t) if g and t is not None else n for n, t, g in chars], columns["n_chars"].type)
+        return pa.RecordBatch.from_arrays(list(columns.values()), names)
+
+    return map_batches(met.select(*names, "__gone"), run, docs.schema)

@@ -8,7 +8,9 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, embeddings, lines, mixing, quality, recompression, simhash, suffixes, warc
+from tidemark.llm import (
+    bpe, chat, codes, embeddings, lines, mixing, privacy, quality, ranking, recompression, simhash, suffixes, warc,
+)
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +233,66 @@ def op5(spark, sf_dir):
 @query("op9_embeddings")
 def op9(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+RANKED_SQL = r"""
+WITH folded AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+docs AS (SELECT r, doc_id, len(terms)::BIGINT AS n, terms FROM folded WHERE len(terms) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+held AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weighed AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus),
+scored AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weighed USING (term) JOIN docs USING (r), corpus GROUP BY item_id, doc_id, r),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INT AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
+
+
+@query("op11_ranked_search", RANKED_SQL)
+def op11(spark, sf_dir):
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The contract's integer codebooks in SQL, each round a table of its own."""
+    sql = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+cut AS MATERIALIZED (SELECT r, p::INT AS p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) t(p)),
+book0 AS (SELECT p, (r - 1)::INT AS e, v FROM cut WHERE r <= {entries}),"""
+    for i in range(rounds + 1):
+        sql += f"""
+near{i} AS MATERIALIZED (SELECT r, p, min(away) AS away, arg_min(e, (away, e)) AS e FROM (
+    SELECT r, c.p, e, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(c.v, b.v)])::BIGINT AS away
+    FROM cut c JOIN book{i} b ON c.p = b.p) GROUP BY r, p),"""
+        if i < rounds:
+            sql += f"""
+sum{i} AS (SELECT p, e, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS i
+    FROM near{i} JOIN cut USING (r, p)) GROUP BY p, e, i),
+mean{i} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sum{i} GROUP BY p, e),
+book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN mean{i} m USING (p, e)),"""
+    return sql + f"""
+coded AS (SELECT r, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, sum(away)::BIGINT AS error FROM near{rounds} GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
+@query("op12_vector_codes", codes_sql())
+def op12(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_pii")
+def op13(spark, sf_dir):
+    model = privacy.train(privacy.labelled_rows(spark))
+    return privacy.digests(table(spark, sf_dir, "documents"), model)

@@ -8,9 +8,10 @@ from tidemark.functions import gates
 from tidemark.operators import merge
 from tidemark.plans.gate_queries import LABEL_SQL, labels
 from tidemark.plans.registry import query, table
-from tidemark.plans.web_queries import SESSIONS_SQL
+from tidemark.plans.web_queries import IDLE_GAP, PAGE_COMPLETE_SQL, SESSIONS_SQL
 from tidemark.session import scratch_path
 from tidemark.sources import accumulated
+from tidemark.streaming import captures
 from tidemark.streaming import events as streams
 
 
@@ -113,3 +114,63 @@ def accumulated_batches(spark, sf_dir):
     accumulated.write_accumulated(latest.withColumn("valor", -F.col("valor")), path, UPSERT_KEYS)
     accumulated.write_accumulated(latest, path, UPSERT_KEYS)
     return accumulated.read_accumulated(spark, path)
+
+
+def in_drops(spark, rows, folder, day="ts", days=8, drops=4, late=7):
+    """Write rows as files that come one drop after the other: by ``days`` of time, every ``late``-th row a drop later.
+
+    A last row without key, far ahead, moves the watermark past everything.
+    """
+    first = rows.agg(F.min(day).alias("desde"))
+    number = F.floor(F.timestamp_diff("HOUR", "desde", day) / (24 * days)).cast("int")
+    order = F.least(number + (F.col("event_id") % late == 0).cast("int"), F.lit(drops - 1))
+    dealt = rows.crossJoin(F.broadcast(first)).withColumn("_n", order).drop("desde")
+    for n in range(drops):
+        dealt.filter(F.col("_n") == n).drop("_n").write.mode("append").parquet(folder)
+    kept = [F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c != day]
+    ahead = rows.agg((F.max(day) + F.expr("INTERVAL 400 DAYS")).alias(day)).select(day, *kept).select(*rows.columns)
+    ahead.write.mode("append").parquet(folder)
+    return streams.read_stream(spark, folder, rows.schema, files_per_batch=2)
+
+
+def settled(spark, stream, label):
+    out = scratch_path(spark, label)
+    captures.append_files(stream, out, scratch_path(spark, f"{label}-state")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def as_log_time(*columns):
+    """Back to times without zone, as the events have them."""
+    return [F.col(c).cast("timestamp_ntz").alias(c) for c in columns]
+
+
+@query("network_idle_stream", PAGE_COMPLETE_SQL)
+def network_idle_stream(spark, sf_dir):
+    """The quiet moment of every capture, from files that come late and out of order."""
+    kind = F.col("event_type")
+    method = F.when(kind == "signup", "Page.loadEventFired").otherwise(F.concat(F.lit("Network."), kind))
+    events = table(spark, sf_dir, "events").select("user_id", "ts", method.alias("method"), "event_id")
+    arriving = in_drops(spark, events, scratch_path(spark, "log-files"))
+    found = captures.network_idle(
+        arriving, "user_id", gap_seconds=IDLE_GAP, cap_seconds=720 * IDLE_GAP,
+        complete=F.col("method") == "Page.loadEventFired", late="9 days", forget_seconds=400 * 86400,
+    )
+    return settled(spark, found, "quiet").select("user_id", *as_log_time("inicio", "reposo"), "por_tope")
+
+
+@query(
+    "first_per_url_visit_stream",
+    """
+    WITH e AS (SELECT user_id, 'https://site.example.com/' || regexp_extract(props, '\\d+') AS url, ts, event_id FROM events),
+    g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 24 HOUR, true) AS abre FROM e),
+    v AS (SELECT *, sum(abre::INTEGER) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM g)
+    SELECT user_id, url, min(ts) AS ts, arg_min(event_id, (ts, event_id::VARCHAR)) AS event_id FROM v GROUP BY user_id, n, url
+    """,
+)
+def first_per_url_visit_stream(spark, sf_dir):
+    """First event of every URL of a visit; a user's state is cleared after a day without events."""
+    url = F.concat(F.lit("https://site.example.com/"), F.regexp_extract("props", r"\d+", 0))
+    events = table(spark, sf_dir, "events").select("user_id", url.alias("url"), "ts", "event_id")
+    arriving = in_drops(spark, events, scratch_path(spark, "url-files"))
+    found = captures.first_per_url(arriving, "user_id", idle_seconds=86400, late="9 days")
+    return settled(spark, found, "visits").select("user_id", "url", *as_log_time("ts"), "event_id")

@@ -343,20 +343,20 @@ def network_idle(spark, sf_dir):
     return weblog.network_idle(events, "user_id", gap_seconds=IDLE_GAP, cap_seconds=3 * IDLE_GAP)
 
 
-@query(
-    "network_idle_page_complete",
-    """
-    WITH ready AS (SELECT user_id, min(ts) AS p FROM events WHERE event_type = 'signup' GROUP BY 1),
-    g AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS sig
-      FROM events WHERE event_type <> 'signup'),
-    c AS (SELECT user_id, min(ts) AS inicio, min(greatest(ts + INTERVAL 2 HOUR, p))
-        FILTER (p IS NOT NULL AND (sig IS NULL OR sig >= greatest(ts + INTERVAL 2 HOUR, p))) AS quieto
-      FROM g LEFT JOIN ready USING (user_id) GROUP BY 1)
-    SELECT user_id, inicio, least(quieto, inicio + INTERVAL 1440 HOUR) AS reposo,
-      coalesce(quieto > inicio + INTERVAL 1440 HOUR, true) AS por_tope
-    FROM c
-    """,
-)
+PAGE_COMPLETE_SQL = """
+WITH ready AS (SELECT user_id, min(ts) AS p FROM events WHERE event_type = 'signup' GROUP BY 1),
+g AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS sig
+  FROM events WHERE event_type <> 'signup'),
+c AS (SELECT user_id, min(ts) AS inicio, min(greatest(ts + INTERVAL 2 HOUR, p))
+    FILTER (p IS NOT NULL AND (sig IS NULL OR sig >= greatest(ts + INTERVAL 2 HOUR, p))) AS quieto
+  FROM g LEFT JOIN ready USING (user_id) GROUP BY 1)
+SELECT user_id, inicio, least(quieto, inicio + INTERVAL 1440 HOUR) AS reposo,
+  coalesce(quieto > inicio + INTERVAL 1440 HOUR, true) AS por_tope
+FROM c
+"""
+
+
+@query("network_idle_page_complete", PAGE_COMPLETE_SQL)
 def network_idle_page_complete(spark, sf_dir):
     """Signups stand in for the page reporting that it is complete."""
     kind = F.col("event_type")

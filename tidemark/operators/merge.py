@@ -65,3 +65,30 @@ def latest_per_key(df: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     return df.groupBy(*keys).agg(picked).select(
         *keys, *[F.col(f"_ultima.{c}").alias(c) for c in rest]
     )
+
+
+def upsert_versions(existing: DataFrame | None, batch: DataFrame, keys: list[str], arrival: str) -> DataFrame:
+    """The newest version of every key, whichever side has it; ``arrival`` stays a column.
+
+    Rows of one side that share a key and its greatest arrival are a version of that key, and stay or go together; a
+    NULL arrival is before all others. Of two versions with one arrival the one with the greater checksum
+    stays, so batches may be merged in any order, and again, and give the same table. Keys compare as in ``upsert``.
+
+    Only keys, arrivals and checksums are aggregated, map-side first; rows meet their key's verdict in one join.
+    """
+    rows = _with_dates(batch).withColumn("_lado", F.lit(1))
+    if existing is not None:
+        rows = _with_dates(existing).withColumn("_lado", F.lit(0)).unionByName(rows, allowMissingColumns=True)
+    names = [f"_clave_{i}" for i in range(len(keys))]
+    keyed = rows.select("*", *[clean.key_text(rows, k).alias(n) for k, n in zip(keys, names)])
+    # Columns only one side has are empty on the other, and an empty one does not count in the hash.
+    content = [c for c in sorted(rows.columns) if c not in ("_lado", arrival, *keys)]
+    check = F.bit_xor(F.xxhash64(*content) if content else F.lit(0).cast("bigint"))
+    versions = keyed.groupBy(*names, F.col(arrival).alias("_llegada"), F.col("_lado").alias("_de")).agg(check.alias("_suma"))
+    newest = versions.groupBy(*names).agg(F.max(F.struct("_llegada", "_suma", "_de")).alias("_v")).select(
+        *[F.col(n).alias(f"_{n}") for n in names], F.col("_v._llegada").alias("_llegada"), F.col("_v._de").alias("_de")
+    )
+    same = F.col(arrival).eqNullSafe(F.col("_llegada")) & (F.col("_lado") == F.col("_de"))
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return keyed.join(newest, same, "left_semi").drop("_lado", *names)

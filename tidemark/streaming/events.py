@@ -112,16 +112,17 @@ def run_to_files(stream: DataFrame, label: str) -> str:
 def upsert_stream(
     stream: DataFrame, path: str, keys: list[str], arrival: str, checkpoint: str
 ) -> StreamingQuery:
-    """Merge every micro-batch into the accumulated table.
+    """Merge every micro-batch into the accumulated table, which keeps ``arrival``.
 
-    Within a batch the last arrival counts per key and, in long facts, per ``bucket`` and ``fila``. A batch that is run again after a
-    failure replaces its own rows, so the table does not change.
+    Each key has its newest version: an older row that comes in a later batch loses. Within a batch the last arrival
+    counts per key and, in long facts, per ``bucket`` and ``fila``. The table's list names the batch, so one that is run
+    again after a failure is skipped.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         detail = [c for c in ("bucket", "fila") if c in batch.columns and c not in keys]
-        latest = merge.latest_per_key(batch, [*keys, *detail], arrival).drop(arrival)
-        accumulated.write_accumulated(latest, path, keys)
+        latest = merge.latest_per_key(batch, [*keys, *detail], arrival)
+        accumulated.write_accumulated(latest, path, keys, arrival, stream=checkpoint, batch_id=batch_id)
 
     return (
         stream.writeStream.foreachBatch(merge_batch)

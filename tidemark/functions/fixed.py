@@ -127,6 +127,7 @@ GRID_COLUMNS = ("MONEDA", "COMPRA (S/)", "VENTA (S/)")
 # Page gates.
 MIN_PAYLOAD_BYTES = 400
 PAYLOAD_MARK = "FECHA"
+LABEL_ID = "ctl00_cphContent_lblMensajeFecha"
 BLOCK_MARK = '<iframe id="main-iframe"'
 FOREIGN_MARK = "Extranjera"
 

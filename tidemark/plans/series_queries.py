@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
-from tidemark.operators import series
+from tidemark.operators import asof, series
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch_path
 from tidemark.sources import accumulated
@@ -282,3 +282,30 @@ def fill_switched_off(spark, sf_dir):
 )
 def first_seen_order(spark, sf_dir):
     return series.first_seen_order(line_quotes(spark, sf_dir))
+
+
+@query(
+    "asof_quotes",
+    """
+    WITH v AS (SELECT o_orderpriority AS moneda, o_orderdate AS ts, o_orderkey AS n,
+        CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS compra,
+        CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS venta FROM orders),
+    c AS (SELECT moneda, ts, arg_max(compra, n) AS compra FROM v WHERE compra IS NOT NULL GROUP BY 1, 2),
+    s AS (SELECT moneda, ts, arg_max(venta, n) AS venta FROM v WHERE venta IS NOT NULL GROUP BY 1, 2),
+    p AS (SELECT o_orderkey AS id, o_orderpriority AS moneda, o_orderdate - INTERVAL 12 HOUR AS cuando FROM orders)
+    SELECT p.id, p.moneda, p.cuando, c.compra, c.ts AS compra_desde, s.venta, s.ts AS venta_desde FROM p
+    ASOF LEFT JOIN c ON p.moneda = c.moneda AND p.cuando >= c.ts ASOF LEFT JOIN s ON p.moneda = s.moneda AND p.cuando >= s.ts
+    """,
+)
+def asof_quotes(spark, sf_dir):
+    """For any number of moments per currency the last buy and the last sell price known then."""
+    orders, price, status = table(spark, sf_dir, "orders"), F.col("o_totalprice"), F.col("o_orderstatus")
+    values = orders.select(
+        F.col("o_orderpriority").alias("moneda"), F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("n"),
+        F.when(status == "F", price).alias("compra"), F.when(status == "O", price).alias("venta"),
+    )
+    probes = orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("moneda"),
+        (F.col("o_orderdate") - F.expr("INTERVAL 12 HOURS")).alias("cuando"),
+    )
+    return asof.asof_join(probes, values, ["moneda"], "cuando", "ts", ["compra", "venta"], tie=["n"])

@@ -8,7 +8,9 @@ from tidemark.functions import fixed
 from tidemark.operators import reshape, tables
 from tidemark.plans import rendering
 from tidemark.plans.registry import query
-from tidemark.sources import captures
+from tidemark.session import scratch_path
+from tidemark.sources import accumulated, capture_files, captures
+from tidemark.streaming import ingest
 
 KEEP = ["doc_id"]
 
@@ -470,3 +472,75 @@ def average_quotes_job(spark, sf_dir):
     )
     quotes = captures.average_quotes(pages, ["doc_id"], check_in_force=True)
     return quotes.select("doc_id", "fecha", "moneda", "codigo", "compra", "venta")
+
+
+def write_captures(pages, folder):
+    """Deposit pages as files: one for the national page of a date, one for the foreign page."""
+    label = lambda text: F.concat(F.lit(f"<span id='{fixed.LABEL_ID}'>"), F.coalesce(text, F.lit("")), F.lit("</span>"))
+    day = F.date_format("requested_date", "ddMMyyyy")
+    sides = F.array(
+        F.struct(F.concat(F.lit("fuente_"), day, F.lit(".html")).alias("archivo"), F.concat(label(F.col("label_text")), "html").alias("content")),
+        F.struct(F.concat(F.lit("fuente_"), day, F.lit("_me.html")).alias("archivo"), F.concat(label(F.col("label_foreign")), "html_foreign").alias("content")),
+    )
+    capture_files.write_files(pages.select(F.inline(sides)), folder)
+
+
+@query(
+    "capture_files_job",
+    f"""
+    WITH {GENERAL_SQL}
+    SELECT DATE '{FIRST_DAY}' + doc_id::INTEGER AS fecha, tipo_moneda, banco, bucket, valor, valor_raw
+    FROM facts WHERE {KEPT_SQL}
+    """,
+)
+def capture_files_job(spark, sf_dir):
+    """From files on disk to general rates: sides and dates by file name, labels from the pages."""
+    folder = scratch_path(spark, "files")
+    write_captures(deposit_captures(spark, sf_dir), folder)
+    put_together = capture_files.assembled(capture_files.read_pages(spark, folder))
+    return capture_files.general_rates(put_together).select("fecha", "tipo_moneda", "banco", "bucket", "valor", "valor_raw")
+
+
+def ingested(spark, sf_dir):
+    """The same files in three drops, each taken up by a run of its own; a date's two pages come in different drops."""
+    folder, store, state = scratch_path(spark, "drops"), ingest.Store(scratch_path(spark, "store")), scratch_path(spark, "ingest")
+    given = deposit_captures(spark, sf_dir)
+    span = given.agg(F.min("requested_date").alias("desde"), (F.datediff(F.max("requested_date"), F.min("requested_date")) + 1).alias("dias"))
+    third = F.floor(3 * F.datediff("requested_date", "desde") / F.col("dias")).alias("tercio")
+    given = given.crossJoin(F.broadcast(span)).select(*given.columns, third)
+    none = F.lit(None).cast("string")
+    national, foreign = given.withColumn("html_foreign", none), given.withColumn("html", none)
+    for drop in range(3):
+        late = F.least(F.col("tercio") + 1, F.lit(2))
+        some = national.filter(F.col("tercio") == drop).unionByName(foreign.filter(late == drop))
+        write_captures(some, f"{folder}/{drop}")
+        ingest.ingest(ingest.page_stream(spark, folder), store, state).awaitTermination()
+    return store
+
+
+@query(
+    "capture_files_stream",
+    f"""
+    WITH {GENERAL_SQL}
+    SELECT DATE '{FIRST_DAY}' + doc_id::INTEGER AS fecha, tipo_moneda, banco, bucket, valor, valor_raw
+    FROM facts WHERE {KEPT_SQL}
+    """,
+)
+def capture_files_stream(spark, sf_dir):
+    rates = accumulated.read_accumulated(spark, ingested(spark, sf_dir).rates)
+    return rates.select("fecha", "tipo_moneda", "banco", "bucket", "valor", "valor_raw")
+
+
+@query(
+    "capture_files_ledger",
+    f"""
+    WITH {GENERAL_SQL}, n AS (SELECT doc_id, count(*) AS filas FROM facts WHERE {KEPT_SQL} GROUP BY 1)
+    SELECT DATE '{FIRST_DAY}' + c_custkey::INTEGER AS fecha, false AS fallo,
+      CASE WHEN c_custkey % 7 = 0 THEN strftime(DATE '{FIRST_DAY}' + c_custkey::INTEGER - 1, '%d/%m/%Y') END AS vigente_al,
+      coalesce(filas, 0)::BIGINT AS filas
+    FROM customer LEFT JOIN n ON doc_id = c_custkey
+    """,
+)
+def capture_files_ledger(spark, sf_dir):
+    """What the stream knows of every date: in force for another one, or its number of rates."""
+    return ingest.date_facts(spark, ingested(spark, sf_dir))

@@ -52,11 +52,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a whole URI: one without a scheme is in the default file system, as Spark itself takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme, _, rest = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().partition(":")
+    # Hadoop writes file:/x where others want file:///x.
+    return f"{scheme}:{rest}" if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def scratch_uri(spark: SparkSession, label: str) -> str:
-    """The same as a URI, for code in tasks that opens files itself."""
-    path = scratch_path(spark, label)
-    scheme, colon, rest = path.partition(":")
-    return path if colon and rest.startswith("//") else f"file://{rest if colon else path}"
+    """A scratch path as a URI, for code in tasks that opens files itself."""
+    return qualified(spark, scratch_path(spark, label))
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -65,8 +65,9 @@ def deposit_rates(
     natural: bool = True,
     legal: bool = True,
     general: bool = True,
+    keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Deposit pages to long general rates and long rates by person.
+    """Deposit pages to long general rates and long rates by person; columns of ``keep`` go along.
 
     ``captures``: ``requested_date, label_text, html`` of the national page and
     ``label_foreign, html_foreign`` of the foreign one. A page in force for another date is
@@ -82,12 +83,11 @@ def deposit_rates(
         F.col("lado") == fixed.NATIONAL, gates.table_hits(F.col("html"), fixed.NATIONAL_IDS)
     ).otherwise(gates.table_hits(F.col("html"), fixed.FOREIGN_IDS))
     pages = (
-        in_force.select(F.col("requested_date").alias("fecha"), F.inline(sides))
+        in_force.select(F.col("requested_date").alias("fecha"), *keep, F.inline(sides))
         .filter(F.col("html").isNotNull() & (expected > 0))
     )
-    keep = ["fecha", "lado"]
-    found = tables.logical_tables(tables.page_tables(pages), keep)
+    found = tables.logical_tables(tables.page_tables(pages), ["fecha", *keep, "lado"])
     # Each page only speaks for its own side.
     own = found.filter(F.col("tipo_moneda") == F.col("lado"))
-    by_person = reshape.person_rates(own, ["fecha"], natural, legal)
-    return (reshape.general_rates(own, ["fecha"]) if general else None), by_person
+    by_person = reshape.person_rates(own, ["fecha", *keep], natural, legal)
+    return (reshape.general_rates(own, ["fecha", *keep]) if general else None), by_person

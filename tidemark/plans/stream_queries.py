@@ -11,7 +11,7 @@ from tidemark.plans.registry import query, table
 from tidemark.plans.web_queries import IDLE_GAP, PAGE_COMPLETE_SQL, SESSIONS_SQL
 from tidemark.session import scratch_path
 from tidemark.sources import accumulated
-from tidemark.streaming import captures
+from tidemark.streaming import captures, quarantine
 from tidemark.streaming import events as streams
 
 
@@ -178,3 +178,34 @@ def first_per_url_visit_stream(spark, sf_dir):
     arriving = in_drops(spark, events, scratch_path(spark, "url-files"))
     found = captures.first_per_url(arriving, "user_id", idle_seconds=86400, late="9 days")
     return settled(spark, found, "visits").select("user_id", "url", *as_log_time("ts"), "event_id")
+
+
+LATE_CUT = "1996-01-01"
+
+
+@query(
+    "quarantined_ingest_stream",
+    f"""
+    WITH {LABEL_SQL}, limits AS (SELECT max(pedida) - 365 AS l FROM dated WHERE pedida >= DATE '{LATE_CUT}'),
+    rows AS (SELECT CASE WHEN eff IS NOT NULL AND eff <> strftime(pedida, '%d/%m/%Y') THEN 'no vigente'
+      WHEN pedida < DATE '{LATE_CUT}' AND pedida < l THEN 'tarde' ELSE 'aceptada' END AS motivo, o_orderkey FROM dated, limits)
+    SELECT motivo, count(*) AS filas, sum(o_orderkey)::BIGINT AS claves FROM rows GROUP BY 1
+    UNION ALL SELECT 'leidas', count(*), NULL FROM rows
+    """,
+)
+def quarantined_ingest_stream(spark, sf_dir):
+    """Captures in two drops, the old dates last: each is accepted, in force for another date or late; none is lost."""
+    rows = labels(spark, sf_dir).withColumnsRenamed({"pedida": "requested_date", "etiqueta": "label_text"})
+    folder, out = scratch_path(spark, "labels"), scratch_path(spark, "checked")
+    for new in (True, False):
+        rows.filter((F.col("requested_date") >= LATE_CUT) == new).coalesce(1).write.mode("append").parquet(folder)
+    stale = F.when(~gates.in_force(F.col("label_text"), F.col("requested_date")), "no vigente")
+    quarantine.ingest_checked(
+        streams.read_stream(spark, folder, rows.schema, files_per_batch=1), out, scratch_path(spark, "checked-state"),
+        stale, ts="requested_date", late_seconds=365 * 86400,
+    ).awaitTermination()
+    by_reason = quarantine.rows(spark, out, rows.schema).groupBy("motivo").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("o_orderkey").alias("claves")
+    )
+    read = quarantine.counts(spark, out).agg(F.sum("leidas").alias("filas"))
+    return by_reason.unionByName(read.select(F.lit("leidas").alias("motivo"), "filas", F.lit(None).cast("bigint").alias("claves")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.operators import references, weblog
 from tidemark.plans.registry import query, table
-from tidemark.session import even_out, materialise
+from tidemark.session import even_out, materialise, scratch_path
 from tidemark.sources import network_log
 
 # Events as a network log: view = request, click = response, purchase = finished,
@@ -662,3 +662,26 @@ def capture_rewritten_pages(spark, sf_dir):
     return references.rewrite(
         capture_pages(spark, sf_dir), capture_map(capture_refs(spark, sf_dir)), scope=["capture_id"]
     )
+
+
+@query(
+    "skipped_log_entries",
+    """
+    WITH e AS (SELECT event_id, CASE event_id % 11 WHEN 1 THEN 'line is no log entry' WHEN 2 THEN 'no message'
+      WHEN 3 THEN 'message has no method' WHEN 4 THEN 'message has no method' ELSE 'event' END AS motivo FROM events)
+    SELECT motivo, count(*) AS n, sum(CASE WHEN motivo <> 'line is no log entry' THEN event_id END)::BIGINT AS claves FROM e GROUP BY 1
+    """,
+)
+def skipped_log_entries(spark, sf_dir):
+    """A written log with broken lines and messages: every entry is an event or is kept with its reason."""
+    key = F.col("event_id") % 11
+    method = F.when(key != 3, F.concat(F.lit("Network."), "event_type"))
+    message = F.to_json(F.struct(F.struct(method.alias("method")).alias("message")))
+    message = F.when(key == 4, F.substring(message, 1, 12)).when(key != 2, message)
+    line = F.to_json(F.struct(F.lit(1).alias("capture_id"), F.col("event_id").alias("seq"), "ts", message.alias("message")))
+    folder = scratch_path(spark, "lines")
+    table(spark, sf_dir, "events").select(F.when(key == 1, F.concat(F.lit("x"), line)).otherwise(line).alias("value")).write.text(folder)
+    events, skipped, counted = network_log.split_log(network_log.read_log(spark, folder))
+    assert counted["leidas"] == counted["eventos"] + counted["omitidas"]
+    both = events.select(F.lit("event").alias("motivo"), "seq").unionByName(skipped.select("motivo", "seq"))
+    return both.groupBy("motivo").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("claves"))

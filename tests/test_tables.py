@@ -174,3 +174,15 @@ def test_deposit_pages_end_to_end(spark):
         (fixed.FOREIGN, "B", 1.5), (fixed.NATIONAL, "B", 1.5), (fixed.NATIONAL, "B", 1.5),
     ]
     assert person.count() == 0
+
+
+def test_every_cell_of_every_table(spark):
+    """Rows wider than any reader needs, in tables nobody names, come back whole."""
+    wide = "".join(f"<td>c{i}<br>x</td>" for i in range(9))
+    html = f"<table><tr><td>a</td></tr></table><table><tr>{wide}</tr><tr><td><table><tr>{wide}</tr></table></td></tr></table>"
+    pages = tables.page_tables(spark.createDataFrame([(1, html)], "id int, html string"), every=True).first().tables
+    assert [len(t.rows) for t in pages] == [1, 3, 1]
+    for row in (pages[1].rows[0], pages[2].rows[0]):
+        assert row.lines == [f"c{i}" for i in range(9)] and len(row.td) == row.n == 9
+    few = tables.page_tables(spark.createDataFrame([(1, html)], "id int, html string")).first().tables
+    assert few[1].rows is None and few[0].rows[0].td == ["a"]

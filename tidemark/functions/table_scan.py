@@ -288,10 +288,6 @@ def scan(html: str | None) -> PageTables | None:
     return PageTables(html) if html and "<table" in html.lower() else None
 
 
-# Readers of plain rows use that many cells; only grids and pivots use more.
-LEADING_CELLS = 4
-
-
 def read_tables(page: PageTables, ids: list[str], grids: list[str]) -> set[int]:
     """Numbers of the tables somebody reads rows of.
 
@@ -317,16 +313,18 @@ def page_tables(
     html: str | None,
     ids: tuple[str, ...] = tuple(row[0] for row in fixed.LOGICAL_TABLES),
     grids: tuple[str, ...] = (fixed.GRID_ID,),
+    every: bool = False,
 ) -> list[tuple]:
     """Tables as nested tuples, in the field order of ``operators.tables.TABLES_TYPE``.
 
-    Rows are filled in for the tables of ``read_tables``. A row has all first lines but only
-    its leading cells whole; in a grid, all cells of rows no wider than its headings.
+    A row has the whole text and the first line of every cell. The tables of ``read_tables`` have rows, with
+    ``every`` all tables: the text of a nested table is in the cells around it too, so these rows are as long as
+    the page times the depth of its tables, and a page of very many tables inside each other takes long.
     """
     page = scan(html)
     if page is None:
         return []
-    wanted = read_tables(page, list(ids), list(grids))
+    wanted = set(range(len(page.tables))) if every else read_tables(page, list(ids), list(grids))
     out = []
     for table in page.tables:
         head = page.first_section(table, HEADS)
@@ -340,23 +338,19 @@ def page_tables(
                 if c.kind == "td" and c.css and fixed.ROW_LABEL_CLASS in c.css.split()
             )
             classed = [(c.css, page.text_of(c)) for c in labels]
-            titles = sum(
-                c.kind == "th" for r in head or () for c in page.cells_of(page.rows[r])
-            ) if in_grid else 0
             rows = []
             for r in table.range(ROWS):
                 row = page.rows[r]
                 cells = page.cells_of(row)
                 data = [cell for cell in cells if cell.kind == "td"]
                 in_head = head is not None and r in head
-                kept = data if len(data) <= titles else data[:LEADING_CELLS]
                 rows.append(
                     (
                         in_head,
                         body is not None and r in body,
                         row.css,
                         [page.text_of(c) for c in cells if c.kind == "th"] if in_grid and in_head else [],
-                        [page.text_of(cell) for cell in kept],
+                        [page.text_of(cell) for cell in data],
                         [page.first_line(cell) for cell in data],
                         len(data),
                     )

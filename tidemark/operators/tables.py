@@ -44,7 +44,7 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 
 
 def _scan_pages(
-    captures: DataFrame, html_col: str, out: str, kind: str, reader: str, *options: tuple[str, ...]
+    captures: DataFrame, html_col: str, out: str, kind: str, reader: str, *options: object
 ) -> DataFrame:
     kept = [f for f in captures.schema.fields if f.name not in (html_col, out)]
     names = [f.name for f in kept]
@@ -75,13 +75,15 @@ def page_tables(
     out: str = "tables",
     ids: tuple[str, ...] = tuple(row[0] for row in fixed.LOGICAL_TABLES),
     grids: tuple[str, ...] = (fixed.GRID_ID,),
+    every: bool = False,
 ) -> DataFrame:
     """Replace the HTML column by the array of its tables; other columns pass through.
 
-    Rows are read for the page's first table, those with a known id, those in a grid's div,
-    and the largest table inside each; name other ids or divs where those are to be read.
+    Rows are read, every cell whole, for the page's first table, those with a known id, those in a grid's div, and the
+    largest table inside each; the others have NULL rows. ``every=True`` reads the rows of all tables: longer by the
+    depth to which tables stand inside each other, so it is for pages known to be flat. ``html_cells`` gives all cells too.
     """
-    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables", ids, grids)
+    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables", ids, grids, every)
 
 
 def html_cells(captures: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,31 +60,48 @@ def missing_urls(
     return counted.join(url_map.select(*on).distinct(), on, "left_anti")
 
 
-@F.pandas_udf(T.StringType())
+REWRITTEN = T.StructType().add("text", T.StringType()).add("error", T.StringType())
+
+
+def checked(rewriter: Callable[..., str], text: str | None, *rest: object) -> dict[str, str | None]:
+    """The rewritten text, or the text as it was with what went wrong."""
+    if text is None:
+        return {"text": None, "error": None}
+    try:
+        return {"text": rewriter(text, *rest), "error": None}
+    except Exception as failure:  # one bad document is reported and fails no others
+        return {"text": text, "error": str(failure) or type(failure).__name__}
+
+
+@F.pandas_udf(REWRITTEN)
 def _rewrite_pages(
     batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
-) -> Iterator[pd.Series]:
+) -> Iterator[pd.DataFrame]:
     from tidemark.functions.markup import rewrite_page
 
     for pages, hosts, maps in batches:
-        yield pd.Series(
-            [
-                None if page is None else rewrite_page(page, dict(known or {}), host)
-                for page, host, known in zip(pages, hosts, maps)
-            ],
-            dtype=object,
-        )
+        done = [checked(rewrite_page, page, dict(known or {}), host) for page, host, known in zip(pages, hosts, maps)]
+        yield pd.DataFrame(done, columns=["text", "error"], dtype=object)
 
 
-@F.pandas_udf(T.StringType())
-def _rewrite_sheets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+@F.pandas_udf(REWRITTEN)
+def _rewrite_sheets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     from tidemark.functions.markup import rewrite_css
 
     for sheets, maps in batches:
-        yield pd.Series(
-            [None if s is None else rewrite_css(s, dict(m or {})) for s, m in zip(sheets, maps)],
-            dtype=object,
-        )
+        done = [checked(rewrite_css, s, dict(m or {})) for s, m in zip(sheets, maps)]
+        yield pd.DataFrame(done, columns=["text", "error"], dtype=object)
+
+
+def _put(joined: DataFrame, done: Column, text_col: str, errors: str | None) -> DataFrame:
+    """The rewritten text in place; the error in a column of its own, or as a failure of the job."""
+    made = joined.withColumn("_hecho", done)
+    text, error = F.col("_hecho.text"), F.col("_hecho.error")
+    if errors is None:
+        made = made.withColumn(text_col, F.when(error.isNotNull(), F.raise_error(error)).otherwise(text))
+    else:
+        made = made.withColumn(text_col, text).withColumn(errors, error)
+    return made.drop("_hecho", "mapa")
 
 
 def _with_maps(
@@ -104,29 +121,30 @@ def _with_maps(
 
 def rewrite(
     pages: DataFrame, url_map: DataFrame, key: str = "page_id", base_col: str = "url",
-    html_col: str = "html", scope: list[str] | None = None,
+    html_col: str = "html", scope: list[str] | None = None, errors: str | None = None,
 ) -> DataFrame:
     """Pages with captured references made local. ``url_map`` has each URL once per scope.
 
     A map of several captures needs ``scope=["capture_id"]``, a column of both tables.
-    Content-security tags are dropped and a base tag for the page's host is put first.
+    Content-security tags are dropped and a base tag for the page's host is put first. With ``errors`` a page that
+    cannot be rewritten stays as it was and says why in a column of that name; without, it fails the job.
     """
     within = scope or []
     found = page_refs(pages, [*within, key, base_col], html_col)
     host = F.regexp_extract(base_col, "^[A-Za-z][^:]*://([^/?#]*)", 1)
     host = F.when(host == "", "nohost").otherwise(host)
     joined = _with_maps(pages, found, url_map, key, base_col, within)
-    return joined.withColumn(html_col, _rewrite_pages(F.col(html_col), host, F.col("mapa"))).drop("mapa")
+    return _put(joined, _rewrite_pages(F.col(html_col), host, F.col("mapa")), html_col, errors)
 
 
 def rewrite_css(
     sheets: DataFrame, url_map: DataFrame, key: str, base_col: str = "url", css_col: str = "css",
-    scope: list[str] | None = None,
+    scope: list[str] | None = None, errors: str | None = None,
 ) -> DataFrame:
     within = scope or []
     found = css_refs(sheets, [*within, key, base_col], css_col)
     joined = _with_maps(sheets, found, url_map, key, base_col, within)
-    return joined.withColumn(css_col, _rewrite_sheets(F.col(css_col), F.col("mapa"))).drop("mapa")
+    return _put(joined, _rewrite_sheets(F.col(css_col), F.col("mapa")), css_col, errors)
 
 
 def is_style_sheet(mime: Column, relpath: Column) -> Column:

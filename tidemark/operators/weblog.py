@@ -217,6 +217,14 @@ def missing_css_warnings(missing: DataFrame) -> DataFrame:
     )
 
 
+def rewrite_warnings(rewritten: DataFrame, errors: str = "error", stage: str = "rewrite_css") -> DataFrame:
+    """Warnings for documents that could not be rewritten (``capture_id, url`` and the column of errors)."""
+    return rewritten.filter(F.col(errors).isNotNull()).select(
+        "capture_id", F.lit(stage).alias("stage"), F.col(errors).alias("message"), "url",
+        F.lit(None).cast("string").alias("request_id"),
+    )
+
+
 def capture_summary(found: DataFrame, warnings: DataFrame, missing: DataFrame) -> DataFrame:
     """Saved, missing and warning counts per capture.
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import refs, urls
+from tidemark.operators import skew
+from tidemark.session import materialise
 
 
 def page_refs(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
@@ -33,19 +35,24 @@ def resolve(found: DataFrame, base_col: str, raw_col: str = "raw", out: str = "u
 
 
 def missing_refs(
-    resolved: DataFrame, url_map: DataFrame, keep: list[str], scope: list[str] | None = None
+    resolved: DataFrame, url_map: DataFrame, keep: list[str], scope: list[str] | None = None, split_hot: bool = False
 ) -> DataFrame:
     """Resolved URLs without a local copy, unique and sorted per page.
 
     ``scope`` names the columns (``capture_id``) inside which a URL counts as saved: what
     one capture saved does not help another. Made distinct before the join; the map has each
     URL once per scope. A URL every page links to skews only the stream side of the anti
-    join, which adaptive execution splits.
+    join, which adaptive execution splits; with ``split_hot`` such URLs are found beforehand and not shuffled.
     """
     on = [*(scope or []), "url"]
     columns = list(dict.fromkeys([*(scope or []), *keep, "url"]))
     wanted = resolved.select(*columns).distinct()
-    return wanted.join(url_map.select(*on).distinct(), on, "left_anti").select(*columns).orderBy(*columns)
+    known = url_map.select(*on).distinct()
+    if split_hot:
+        left = skew.join_unique(materialise(wanted, "wanted"), known, on, "left_anti")
+    else:
+        left = wanted.join(known, on, "left_anti")
+    return left.select(*columns).orderBy(*columns)
 
 
 def missing_urls(
@@ -105,7 +112,7 @@ def _put(joined: DataFrame, done: Column, text_col: str, errors: str | None) ->
 
 
 def _with_maps(
-    docs: DataFrame, found: DataFrame, url_map: DataFrame, key: str, base_col: str, scope: list[str]
+    docs: DataFrame, found: DataFrame, url_map: DataFrame, key: str, base_col: str, scope: list[str], split_hot: bool = False
 ) -> DataFrame:
     """Documents with ``mapa``: raw reference -> local path, within their own scope.
 
@@ -113,7 +120,11 @@ def _with_maps(
     """
     ids = [*scope, key]
     wanted = resolve(found, base_col, out="_url").select(*ids, "raw", F.col("_url").alias("url")).distinct()
-    known = wanted.join(url_map.select(*scope, "url", "local"), [*scope, "url"])
+    local = url_map.select(*scope, "url", "local")
+    if split_hot:
+        known = skew.join_unique(materialise(wanted, "wanted"), local, [*scope, "url"])
+    else:
+        known = wanted.join(local, [*scope, "url"])
     pairs = F.collect_set(F.struct("raw", "local"))
     maps = known.groupBy(*ids).agg(F.map_from_entries(pairs).alias("mapa"))
     return docs.join(maps, ids, "left")
@@ -121,19 +132,20 @@ def _with_maps(
 
 def rewrite(
     pages: DataFrame, url_map: DataFrame, key: str = "page_id", base_col: str = "url",
-    html_col: str = "html", scope: list[str] | None = None, errors: str | None = None,
+    html_col: str = "html", scope: list[str] | None = None, errors: str | None = None, split_hot: bool = False,
 ) -> DataFrame:
     """Pages with captured references made local. ``url_map`` has each URL once per scope.
 
     A map of several captures needs ``scope=["capture_id"]``, a column of both tables.
     Content-security tags are dropped and a base tag for the page's host is put first. With ``errors`` a page that
-    cannot be rewritten stays as it was and says why in a column of that name; without, it fails the job.
+    cannot be rewritten stays as it was and says why in a column of that name; without, it fails the job. ``split_hot`` writes the references once and joins
+    those to URLs that very many pages name by broadcast (``skew.join_unique``).
     """
     within = scope or []
     found = page_refs(pages, [*within, key, base_col], html_col)
     host = F.regexp_extract(base_col, "^[A-Za-z][^:]*://([^/?#]*)", 1)
     host = F.when(host == "", "nohost").otherwise(host)
-    joined = _with_maps(pages, found, url_map, key, base_col, within)
+    joined = _with_maps(pages, found, url_map, key, base_col, within, split_hot)
     return _put(joined, _rewrite_pages(F.col(html_col), host, F.col("mapa")), html_col, errors)
 
 

@@ -514,6 +514,20 @@ def missing_refs(spark, sf_dir):
     return references.missing_refs(resolved, saved_map(resolved), ["page_id"])
 
 
+@query(
+    "missing_refs_split",
+    f"""
+    WITH {REFS_SQL}
+    SELECT DISTINCT page_id, url FROM resolved r
+    WHERE NOT EXISTS (SELECT 1 FROM resolved s WHERE s.url LIKE 'https:%' AND s.url = r.url)
+    """,
+)
+def missing_refs_split(spark, sf_dir):
+    """The same with the URLs that very many pages name kept out of the shuffle."""
+    resolved = materialise(resolved_rich(spark, sf_dir).select("page_id", "url"), "refs")
+    return references.missing_refs(resolved, saved_map(resolved), ["page_id"], split_hot=True)
+
+
 @query(
     "missing_urls",
     f"""

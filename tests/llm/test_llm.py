@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -256,6 +257,32 @@ def test_long_words_merge_like_short_ones():
         assert codec.merge_short(list(part)) == codec.merge_long(list(part))
 
 
+def test_long_conversations(spark):
+    """Work in a conversation grows with its turns, alternating or all of one role; NULL and empty texts among them."""
+    n = 100000
+    t = F.col("turn")
+    text = F.when(t % 7 == 0, F.lit(None)).when(t % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("é[/OUT] 🙂 "), t.cast("string")))
+    one = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"))
+    rows = one.union(spark.range(n).select(F.lit(2), F.col("id"), F.lit("assistant"))).withColumn("text", text)
+    begun = time.monotonic()
+    made = chat.format_chats(rows)
+    read = made.select("conv_id", "loss_spans", "formatted", chat.read_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    got = {r.conv_id: r for r in read.collect()}
+    assert time.monotonic() - begun < 60
+    texts = ["" if i % 7 == 0 or i % 5 == 0 else f"é[/OUT] 🙂 {i}" for i in range(n)]
+    assert [tuple(x) for x in got[1].t] == [("assistant" if i % 2 else "user", x) for i, x in enumerate(texts)]
+    assert [tuple(x) for x in got[2].t] == [("assistant", x) for x in texts]
+    assert got[1].loss == "".join(texts[1::2]) and got[2].loss == "".join(texts)
+    for r in got.values():
+        said = [r.formatted[s.start : s.start + s.chars].replace("[\\/OUT]", "[/OUT]") for s in r.loss_spans]
+        assert said == (texts[1::2] if r.conv_id == 1 else texts)
+
+
+def test_no_conversations(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_chats(none).select(chat.loss_text(F.col("formatted"), F.col("loss_spans"))).collect() == []
+
+
 def test_chat_reads_back_what_it_formats(spark):
     rows = [
         (1, 2, "assistant", "b</s>[/OUT]"), (1, 1, "user", r"<\s> <\\/s> [INST] \[NEXT] [[NAME]"), (1, 3, "assistant", ""),

@@ -9,10 +9,13 @@ away again. The loss mask has a span for every assistant text, without its marks
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Marks of the roles that have their own; any other role is a [ROLE] block with its name.
 MARKS = {"system": "SYS", "user": "INST", "assistant": "OUT"}
+START, END = "<s>", "</s>"
 NAMES = "s>|/s>|(?:/?(?:SYS|INST|OUT|ROLE)|NEXT|NAME)\\]"
 CONTROL = rf"([<\[])(\\*)({NAMES})"
 ESCAPED = rf"([<\[])\\(\\*)({NAMES})"
@@ -34,63 +37,107 @@ def mark_of(role: Column) -> Column:
     return found
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often the result names it, also for each element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def merged(turns: Column) -> Column:
-    """Array of (role, texts): adjacent turns of one role together, in order."""
-    kind = "array<struct<role:string,texts:array<string>>>"
+    """Array of (role, texts): adjacent turns of one role together, in order.
 
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        joined = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        started = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == turn["role"])
-        return F.when(
-            same, F.concat(F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0))), F.array(joined))
-        ).otherwise(F.concat(blocks, F.array(started)))
+    A block starts where the role differs from that of the turn before, and reaches to the next start.
+    """
 
-    return F.aggregate(turns, F.array().cast(kind), add)
+    def blocks(starts: Column) -> Column:
+        def block(start: Column, i: Column) -> Column:
+            end = F.coalesce(F.try_element_at(starts, i + 2), F.size(turns) + 1)
+            own = F.slice(turns, start, end - start)
+            return F.struct(
+                F.element_at(turns, start)["role"].alias("role"), F.transform(own, lambda t: t["text"]).alias("texts")
+            )
 
+        return F.transform(starts, block)
 
-def pieces(blocks: Column) -> Column:
-    """Array of (text, loss): everything that stands one after the other in the formatted text."""
+    def starts_block(i: Column) -> Column:
+        return (i == 1) | (F.element_at(turns, i)["role"] != F.element_at(turns, F.greatest(i - 1, F.lit(1)))["role"])
+
+    return bound(F.filter(F.sequence(F.lit(1), F.size(turns)), starts_block), blocks)
 
-    def piece(text: Column, loss: Column) -> Column:
-        return F.struct(text.alias("text"), loss.alias("loss"))
 
-    no = F.lit(False)
+def pieces(blocks: Column) -> Column:
+    """Array of (before, text, after, loss), one for each text: what stands one after the other in the formatted text."""
 
     def block(b: Column) -> Column:
         mark, count = mark_of(b["role"]), F.size(b["texts"])
         name = F.when(mark == "ROLE", F.concat(escaped(b["role"]), F.lit("[NAME]"))).otherwise(F.lit(""))
-        inside = F.flatten(
-            F.transform(
-                b["texts"],
-                lambda t, i: F.array(
-                    piece(escaped(t), b["role"] == "assistant"),
-                    piece(F.when(i + 1 < count, F.lit("[NEXT]")).otherwise(F.lit("")), no),
-                ),
-            )
+        ends = F.struct(
+            F.concat(F.lit("["), mark, F.lit("]"), name).alias("opened"), F.concat(F.lit("[/"), mark, F.lit("]")).alias("closed")
         )
-        opened = piece(F.concat(F.lit("["), mark, F.lit("]"), name), no)
-        return F.concat(F.array(opened), inside, F.array(piece(F.concat(F.lit("[/"), mark, F.lit("]")), no)))
 
-    return F.concat(
-        F.array(piece(F.lit("<s>"), no)), F.flatten(F.transform(blocks, block)), F.array(piece(F.lit("</s>"), no))
-    )
+        def piece(text: Column, i: Column, mark: Column) -> Column:
+            return F.struct(
+                F.when(i == 0, mark["opened"]).otherwise(F.lit("")).alias("before"),
+                escaped(text).alias("text"),
+                F.when(i + 1 < count, F.lit("[NEXT]")).otherwise(mark["closed"]).alias("after"),
+                (b["role"] == "assistant").alias("loss"),
+            )
+
+        return bound(ends, lambda mark: F.transform(b["texts"], lambda t, i: piece(t, i, mark)))
+
+    return F.flatten(F.transform(blocks, block))
+
+
+def sums_before(values: Column) -> Column:
+    """For every value of an array the sum of those before it.
+
+    Sums are taken inside slices as long as the root of the array, and over the slices, so that no long array is
+    copied for each of its values.
+    """
+
+    def running(part: Column) -> Column:
+        none = F.array(F.lit(0).cast("long"))
+        return F.aggregate(part, none, lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+
+    def joined(all_values: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(all_values))), F.lit(1)).cast("int")
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_values), F.lit(1)), width)
+        return bound(F.transform(starts, lambda at: running(F.slice(all_values, at, width))), over_slices)
+
+    def over_slices(slices: Column) -> Column:
+        ahead = running(F.transform(slices, lambda sums: F.element_at(sums, -1)))
+
+        def shifted(sums: Column, start: Column) -> Column:
+            # The last sum of a slice is that of all its values and stands before the next slice.
+            return F.transform(F.slice(sums, 1, F.size(sums) - 1), lambda x: x + start)
+
+        return F.flatten(F.zip_with(slices, F.slice(ahead, 1, F.size(slices)), shifted))
+
+    return bound(values, joined)
 
 
 def spans(parts: Column) -> Column:
-    """Spans (start from 0, chars) of the parts under the loss mask."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,chars:bigint>>").alias("spans"))
+    """Spans of the parts under the loss mask: start from 0 and length, in code points and in bytes of UTF-8."""
+
+    def lengths(measure: Callable[[Column], Column]) -> Column:
+        def total(p: Column) -> Column:
+            return (measure(p["before"]) + measure(p["text"]) + measure(p["after"])).cast("long")
 
-    def add(state: Column, part: Column) -> Column:
-        chars = F.length(part["text"]).cast("long")
-        span = F.struct(state["at"].alias("start"), chars.alias("chars"))
+        return sums_before(F.transform(parts, total))
+
+    places = F.zip_with(
+        lengths(F.length), lengths(F.octet_length), lambda c, b: F.struct(c.alias("chars"), b.alias("bytes"))
+    )
+
+    def span(p: Column, place: Column) -> Column:
         return F.struct(
-            (state["at"] + chars).alias("at"),
-            F.when(part["loss"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
+            (place["chars"] + F.length(p["before"]) + len(START)).alias("start"),
+            F.length(p["text"]).cast("long").alias("chars"),
+            (place["bytes"] + F.octet_length(p["before"]) + len(START)).alias("start_byte"),
+            F.octet_length(p["text"]).cast("long").alias("bytes"),
         )
 
-    return F.aggregate(parts, start, add)["spans"]
+    marked = F.zip_with(parts, places, lambda p, place: F.when(p["loss"], span(p, place)))
+    return F.filter(marked, lambda s: s.isNotNull())
 
 
 def format_chats(rows: DataFrame) -> DataFrame:
@@ -98,7 +145,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
 
     Turns come by ``turn`` (NULL first), then role and text, so ties and repeated rows have one order. NULL
     texts and roles are empty. A conversation is one text and so one row, as long as its turns make it; NULL
-    is a conversation of its own. One shuffle, by conversation.
+    is a conversation of its own. One shuffle, by conversation; the work in a conversation grows with its turns.
     """
     turn = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -107,7 +154,9 @@ def format_chats(rows: DataFrame) -> DataFrame:
     parts = turns.select("conv_id", pieces(merged(F.col("turns"))).alias("parts"))
     return parts.select(
         "conv_id",
-        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("formatted"),
+        F.concat(
+            F.lit(START), F.array_join(F.transform("parts", lambda p: F.concat(p["before"], p["text"], p["after"])), ""), F.lit(END)
+        ).alias("formatted"),
         spans(F.col("parts")).alias("loss_spans"),
     )
 
@@ -119,30 +168,27 @@ def read_turns(formatted: Column) -> Column:
         F.regexp_extract_all(formatted, F.lit(BLOCK), F.lit(2)).alias("body"),
     )
 
-    def role(b: Column) -> Column:
-        found = unescaped(F.element_at(F.split(b["body"], r"\[NAME\]", -1), 1))
+    def block(b: Column) -> Column:
+        named = F.split(b["body"], r"\[NAME\]", -1)
+        role, body = unescaped(F.element_at(named, 1)), F.element_at(named, -1)
         for name, mark in MARKS.items():
-            found = F.when(b["mark"] == mark, F.lit(name)).otherwise(found)
-        return found
+            role = F.when(b["mark"] == mark, F.lit(name)).otherwise(role)
+            body = F.when(b["mark"] == mark, b["body"]).otherwise(body)
+        return F.struct(role.alias("role"), F.split(body, r"\[NEXT\]", -1).alias("texts"))
 
-    def texts(b: Column) -> Column:
-        body = F.when(b["mark"] == "ROLE", F.element_at(F.split(b["body"], r"\[NAME\]", -1), -1)).otherwise(b["body"])
-        return F.split(body, r"\[NEXT\]", -1)
+    def turns(b: Column) -> Column:
+        return F.transform(b["texts"], lambda t: F.struct(b["role"].alias("role"), unescaped(t).alias("text")))
 
-    return F.flatten(
-        F.transform(
-            blocks,
-            lambda b: F.transform(texts(b), lambda t: F.struct(role(b).alias("role"), unescaped(t).alias("text"))),
-        )
-    )
+    return F.flatten(F.transform(F.transform(blocks, block), turns))
 
 
 def loss_text(formatted: Column, loss_spans: Column) -> Column:
-    """All text under the loss mask, unescaped span by span, nothing between."""
-    return F.array_join(
-        F.transform(
-            loss_spans,
-            lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["chars"].cast("int"))),
-        ),
-        "",
-    )
+    """All text under the loss mask, unescaped span by span, nothing between. Spans are cut by their bytes."""
+
+    def cut(raw: Column) -> Column:
+        def text(s: Column) -> Column:
+            return unescaped(F.substring(raw, (s["start_byte"] + 1).cast("int"), s["bytes"].cast("int")).cast("string"))
+
+        return F.array_join(F.transform(loss_spans, text), "")
+
+    return bound(formatted.cast("binary"), cut)

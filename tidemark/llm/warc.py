@@ -2,7 +2,7 @@
 
 1. Payload digests and lengths are expressions; the first page of each digest is a map-side aggregate.
 2. The payloads to be stored become rows (record, chunk number, bytes) of at most CHUNK bytes. A writer per
-   partition streams them into the gzip members of one archive.
+   partition streams them into gzip members, and begins another archive when one is full.
 3. A reader per archive streams the members and carries SHA-1 from chunk to chunk.
 
 Archives go to the shared folder. A writer fills a file of its own attempt and moves it into place at
@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.session import materialise, scratch_uri
 
 CHUNK = 1 << 20
+#: Bytes after which a writer begins another archive.
+ARCHIVE = 1 << 30
 SALTS = 32
 URN = "urn:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,7 +57,9 @@ def planned(pages: DataFrame, at_least: int = 0) -> DataFrame:
         F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("hex"),
     )
     slim = digested.where(F.col("payload_bytes") >= at_least).select("page_id", "hex", "payload_bytes")
-    first = slim.groupBy("hex", "payload_bytes").agg(F.min("page_id").alias("first"))
+    # Most payloads occur once and need no partner; only the others are written to all salts.
+    first = slim.groupBy("hex", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    first = first.where("n > 1").drop("n")
     salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = digested.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(
         salted, ["hex", "payload_bytes", "salt"], "left"
@@ -71,14 +75,15 @@ def planned(pages: DataFrame, at_least: int = 0) -> DataFrame:
 def chunk_rows(plan: DataFrame) -> DataFrame:
     """A row per record and chunk: the record's columns, chunk number and bytes; a revisit has one empty chunk.
 
-    The chunks of a record follow each other in one partition, number 0 first.
+    The chunks of a record follow each other in one partition, number 0 first. Rows are made for the numbers before
+    bytes are cut, so that beside the payload itself only one chunk is held.
     """
     stored = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     count = F.greatest(F.ceil(F.octet_length(stored) / F.lit(CHUNK)), F.lit(1)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(stored, i * CHUNK + 1, F.lit(CHUNK)))
-    return plan.select(
-        "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to",
-        F.posexplode(cut).alias("chunk", "bytes"),
+    numbered = plan.withColumn("stored", stored).withColumn("chunk", F.explode(F.sequence(F.lit(0), count - 1)))
+    return numbered.select(
+        "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "chunk",
+        F.substring("stored", F.col("chunk") * CHUNK + 1, F.lit(CHUNK)).alias("bytes"),
     )
 
 
@@ -102,31 +107,64 @@ def http_head(row: dict) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n".encode()
 
 
-def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
-    """(path, records) of the archives written below ``folder``, one for each partition that has rows."""
+class Writer:
+    """One archive after the other: a new one is begun before a record if the open one has ``most`` bytes."""
+
+    def __init__(self, folder: str, most: int) -> None:
+        self.store, self.base = arrow_fs.FileSystem.from_uri(folder)
+        self.store.create_dir(self.base, recursive=True)
+        self.most, self.out, self.packer, self.done = most, None, None, []
+
+    def put(self, packed: bytes) -> None:
+        self.out.write(packed)
+        self.written += len(packed)
+
+    def begin(self, head: bytes) -> None:
+        self.end_record()
+        if self.out is not None and self.written >= self.most:
+            self.close()
+        if self.out is None:
+            self.name, self.written, self.records = uuid.uuid4().hex, 0, 0
+            self.out = self.store.open_output_stream(f"{self.base}/{self.name}.open", compression=None)
+        self.packer, self.records = zlib.compressobj(1, zlib.DEFLATED, 31), self.records + 1
+        self.add(head)
+
+    def add(self, part: bytes) -> None:
+        self.put(self.packer.compress(part))
+
+    def end_record(self) -> None:
+        if self.packer:
+            self.put(self.packer.compress(b"\r\n\r\n") + self.packer.flush())
+            self.packer = None
+
+    def close(self) -> None:
+        self.end_record()
+        if self.out is not None:
+            self.out.close()
+            self.store.move(f"{self.base}/{self.name}.open", f"{self.base}/{self.name}.warc.gz")
+            self.done.append((f"{self.name}.warc.gz", self.records))
+            self.out = None
+
+
+def write_archives(chunks: DataFrame, folder: str, most: int = ARCHIVE) -> DataFrame:
+    """(path, records) of the archives below ``folder``. A partition that has rows fills archives of ``most`` bytes, each
+    more by its last record at most.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = arrow_fs.FileSystem.from_uri(folder)
-        store.create_dir(base, recursive=True)
-        name, records = uuid.uuid4().hex, 0
-        out, packer = None, None
+        writer = Writer(folder, most)
         for batch in batches:
-            for row in batch.to_pylist():
-                if out is None:
-                    out = store.open_output_stream(f"{base}/{name}.open", compression=None)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 if row["chunk"] == 0:
-                    if packer:
-                        out.write(packer.compress(b"\r\n\r\n") + packer.flush())
-                    packer, records = zlib.compressobj(1, zlib.DEFLATED, 31), records + 1
                     head = http_head(row)
                     block = len(head) + (row["payload_bytes"] if row["record_type"] == "response" else 0)
-                    out.write(packer.compress(header(row, block) + head))
-                out.write(packer.compress(row["bytes"]))
-        if out is not None:
-            out.write(packer.compress(b"\r\n\r\n") + packer.flush())
-            out.close()
-            store.move(f"{base}/{name}.open", f"{base}/{name}.warc.gz")
-            yield pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.gz"]), pa.array([records], pa.int64())], ["path", "records"])
+                    writer.begin(header(row, block) + head)
+                writer.add(row["bytes"])
+        writer.close()
+        if writer.done:
+            paths, records = zip(*writer.done)
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(records, pa.int64())], ["path", "records"])
 
     return chunks.mapInArrow(write, "path string, records long")
 
@@ -220,7 +258,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     )
 
 
-def round_trip(pages: DataFrame, at_least: int = 0) -> DataFrame:
+def round_trip(pages: DataFrame, at_least: int = 0, most: int = ARCHIVE) -> DataFrame:
     """Write a record per row of ``pages(page_id, url, html)``, read the archives, return a row per record.
 
     NULL and empty html is an empty payload; NULL urls are empty; further columns are left out. An
@@ -228,5 +266,5 @@ def round_trip(pages: DataFrame, at_least: int = 0) -> DataFrame:
     """
     spark = pages.sparkSession
     folder = scratch_uri(spark, "archives")
-    written = materialise(write_archives(chunk_rows(planned(pages, at_least)), folder), "manifest")
+    written = materialise(write_archives(chunk_rows(planned(pages, at_least)), folder, most), "manifest")
     return read_archives(written.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), folder)

@@ -131,7 +131,8 @@ def assigned(table: DataFrame, least: float) -> DataFrame:
             home = (vectors @ fitted[dim].T).argmax(axis=1)
             yield from pa.table({"label": rows["label"], "dim": rows["dim"], "centre": pa.array(home, pa.int32())}).to_batches()
 
-    plain = keyed.select("dim", F.col("label").cast("long").alias("label"), "cid", "size", "vector")
+    # Labels of any type are keyed by their hash.
+    plain = keyed.select("dim", F.xxhash64("label").alias("label"), "cid", "size", "vector")
     counted: dict[tuple[int, int], list[tuple[int, int]]] = {}
     if any(len(x) > 1 for x in fitted.values()):
         at_least = F.create_map(*(F.lit(x) for pair in aim.items() for x in pair))[F.col("dim")]
@@ -169,8 +170,9 @@ def assigned(table: DataFrame, least: float) -> DataFrame:
                     "size": taken["size"], "vector": taken["vector"],
                 }).combine_chunks().to_batches()
 
+    kind = table.schema["vector"].dataType.simpleString()
     return plain.mapInArrow(
-        run, "label long, dim int, centre int, part int, guest boolean, cid long, size long, vector array<float>"
+        run, f"label long, dim int, centre int, part int, guest boolean, cid long, size long, vector {kind}"
     )
 
 
@@ -287,7 +289,8 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
     Rows of one label whose vectors have a cosine of ``least`` or more are linked. A NULL label, a NULL or empty
     vector, and one that is zero or has a NULL or non-finite component link with nothing. Vectors of
     different lengths are never linked. Equal vectors are linked without search. A NULL ``vec_id`` is no
-    component's least unless it has no other. Further columns are left out.
+    component's least unless it has no other. Further columns are left out. Labels are of any type that can be
+    grouped by, components of any floating type.
     """
     known = materialise(classes(embeddings), "classes")
 
@@ -325,24 +328,26 @@ def audit(embeddings: DataFrame, links: DataFrame, least: float = LEAST_COSINE,
     in double precision against all rows of their label, without centres. ``vec_id`` is unique.
     """
     known = materialise(classes(embeddings), "classes")
+    known = known.withColumn("key", F.xxhash64("label"))
     asked = known.where("vec_id IS NOT NULL").orderBy(F.xxhash64("cid"), "cid").limit(queries).collect()
     groups: dict[tuple[int, int], list] = {}
     for r in asked:
-        groups.setdefault((r.label, len(r.vector)), []).append(r)
+        groups.setdefault((r.key, len(r.vector)), []).append(r)
     of = {k: (np.array([r.vec_id for r in v]), unit(np.array([r.vector for r in v], np.float64))) for k, v in groups.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, dim = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            key, dim = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for (name, length), (vec_id, vectors) in of.items():
-                rows = pa.Table.from_batches([batch.filter(pa.array((label == name) & (dim == length)))])
+                rows = pa.Table.from_batches([batch.filter(pa.array((key == name) & (dim == length)))])
                 if len(rows):
                     n = (vectors @ unit(vectors_in(rows["vector"])).T >= least) @ rows["size"].to_numpy()
                     given = [pa.array([name] * len(n), pa.int64()), pa.array(vec_id, pa.int64()), pa.array(n, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(given, ["label", "vec_id", "n"])
+                    yield pa.RecordBatch.from_arrays(given, ["key", "vec_id", "n"])
 
-    rows = known.select(F.col("label").cast("long"), F.size("vector").alias("dim"), "size", "vector")
-    wanted = rows.mapInArrow(run, "label long, vec_id long, n long").groupBy("label", "vec_id").agg((F.sum("n") - 1).alias("n"))
+    rows = known.select("key", F.size("vector").alias("dim"), "size", "vector")
+    summed = rows.mapInArrow(run, "key long, vec_id long, n long").groupBy("key", "vec_id").agg((F.sum("n") - 1).alias("n"))
+    wanted = summed.join(known.select("label", "key").distinct(), "key")
     met = wanted.join(links.select("vec_id", "n_links"), "vec_id", "left")
     sums = met.groupBy("label").agg(
         F.count("*").alias("n_queries"), F.sum("n").alias("wanted"),

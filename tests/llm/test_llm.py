@@ -58,6 +58,33 @@ def test_empty_and_null_tables(spark, fn):
     assert fn(nulls).count() in (0, 3)
 
 
+CLASHES = [
+    "own", "takes", "most", "key", "size", "of", "at", "target", "kept_id", "component_id", "fingerprint", "fp", "doc", "no", "__doc",
+    "__own", "__lines", "__stay", "__gone", "__host", "__key", "__kept", "host", "digest", "kept", "h", "place", "range", "DOC_ID",
+]
+
+
+@pytest.mark.parametrize("fn", [mixing.mix, quality.passing, quality.without_common_lines, simhash.representatives, lines.cleaned])
+def test_columns_of_any_name(spark, fn):
+    """Other columns come through under their names, whatever helper columns there are."""
+    docs = documents(spark, count=25)[1].drop("kept", "fp")
+    plain = fn(docs)
+    wide = docs.select("*", *(F.lit(f"of {c}") for c in CLASHES))
+    wide = wide.toDF("doc_id", "text", "Text", "source", "n_chars", *CLASHES)
+    made = fn(wide)
+    assert made.columns == wide.columns
+    rows = made.collect()
+    assert all(tuple(r)[5:] == tuple(f"of {c}" for c in CLASHES) for r in rows)
+    assert sorted((tuple(r)[:5] for r in rows), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_counts_of_lines_take_the_place_of_given_ones(spark):
+    docs = documents(spark, count=25)[1]
+    made = lines.without_repeats(docs.withColumn("n_lines", F.lit("x")).withColumn("N_Removed", F.lit("y")))
+    assert made.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert sorted(map(str, made.collect())) == sorted(map(str, lines.without_repeats(docs).collect()))
+
+
 def brute_repeats(rows, cut, window):
     seen, out = {}, {}
     for doc, text in sorted({(r[0], r[1]) for r in rows}, key=lambda r: r[0]):
@@ -238,6 +265,46 @@ def test_audit_sees_lost_links(spark):
     assert {r.label: r.recall < 0.6 for r in embeddings.audit(given, lost).collect()} == {0: True, 1: False}
 
 
+@pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
+def test_embeddings_with_labels_of_other_types(spark, kind):
+    rng = np.random.default_rng(11)
+    near = rng.normal(size=16) + 0.05 * rng.normal(size=(30, 16))
+    rows = [(i, v.tolist(), "a" if i < 15 else "b") for i, v in enumerate(near)] + [(30, near[0].tolist(), "a"), (31, near[0].tolist(), None)]
+    rows += [(32, None, "none"), (33, None, "none"), rows[3]]
+    given = spark.createDataFrame(rows, f"vec_id long, embedding {kind}, label string").repartition(3)
+    links = embeddings.near_duplicates(given)
+    got = sorted(map(tuple, links.collect()))
+    assert got == sorted(
+        [(i, 16, 0, i == 0) for i in (*range(15), 30, 3)] + [(i, 14, 15, i == 15) for i in range(15, 30)] + [(i, 0, i, True) for i in (31, 32, 33)]
+    )
+    unique = given.dropDuplicates(["vec_id"])
+    audit = embeddings.audit(unique, embeddings.near_duplicates(unique)).collect()
+    assert {(r.label, r.n_queries, r.wanted, r.recall) for r in audit} == {("a", 15, 15 * 15, 1.0), ("b", 15, 15 * 14, 1.0)}
+
+
+def test_embeddings_that_are_all_null(spark):
+    given = spark.createDataFrame([(1, None, None)] * 3, "vec_id long, embedding array<float>, label int")
+    assert sorted(map(tuple, embeddings.near_duplicates(given).collect())) == [(1, 0, 1, True)] * 3
+
+
+def library_digests(rows):
+    """Rows of ``bpe.digests`` by the library itself."""
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    own.no_truncation(), own.no_padding()
+    out = []
+    for doc, text in rows:
+        ids = own.encode(text or "", add_special_tokens=False).ids
+        decoded = own.decode(ids, skip_special_tokens=False)
+        out.append((doc, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_bpe_digests_are_those_of_the_library(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    want = library_digests(map(tuple, docs.select("doc_id", "text").collect()))
+    assert sorted(map(tuple, bpe.digests(docs, VOCABULARY).collect())) == want
+
+
 def test_bpe_round_trip(spark):
     own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [*ODD, "It's <|endoftext|> I'LL Σίσυφος ΟΔΥΣΣΕΥΣ", "日本語 🙂 \x00 ﬁ ſ", "abc" * 2000, "'s'S ''"]
@@ -312,6 +379,21 @@ def test_chunked_archives(spark, monkeypatch):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_are_rolled(spark):
+    """A payload of many chunks, and archives that are full after a few records; each record comes back once."""
+    own = random.Random(5)
+    long = "".join(own.choice("0123456789abcdef") for _ in range(100)) * (5 * warc.CHUNK // 100)
+    rows = [(0, "u", long), (1, "u", long)] + [(i, "u", "".join(own.choice("abcdef é") for _ in range(300))) for i in range(2, 60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    got = sorted(map(tuple, warc.round_trip(pages, most=1000).collect()))
+    digest = lambda x: base64.b32encode(hashlib.sha1(x.encode()).digest()).decode()
+    want = [(i, len(h.encode()), digest(h), "response" if i != 1 else "revisit", 0 if i == 1 else None) for i, _, h in rows]
+    assert got == want
+    folder = warc.scratch_uri(spark, "archives")
+    made = warc.write_archives(warc.chunk_rows(warc.planned(pages)), folder, 1000).collect()
+    assert sum(r.records for r in made) == 60 and len(made) > 8 and max(r.records for r in made) < 20
+
+
 def test_mix_takes_what_it_plans(spark):
     rows, docs = documents(spark)
     planned = mixing.mixed_sizes(docs).groupBy("doc_id").agg(F.sum("taken").alias("n")).where("n > 0")
@@ -403,4 +485,5 @@ def test_pipeline_stages(spark):
     for r in mixed.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + len(r.text.encode().split())
     assert got == plan
-    assert stages["bpe_encode"](spark, mixed, SF_DIR).count() == mixed.count()
+    encoded = sorted(map(tuple, stages["bpe_encode"](spark, mixed, SF_DIR).collect()))
+    assert encoded == library_digests(map(tuple, mixed.select("doc_id", "text").collect()))

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.columns import apart
 from tidemark.session import materialise
 
 #: Lines of fewer words are only removed if they are equal to an earlier one.
@@ -177,14 +178,32 @@ def near_lines(docs: DataFrame, rows: DataFrame, firsts: DataFrame) -> DataFrame
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` without the lines that are equal to an earlier line or one word apart from one; with ``n_lines``
-    (lines of the whole text) and ``n_removed`` beside its columns, ``n_chars`` renewed if there is one.
+    """``cleaned(docs)`` with ``n_lines`` (lines of the whole text) and ``n_removed`` beside its columns.
+
+    Given columns of these two names, in any case, give way to them.
+    """
+    counts = ("n_lines", "n_removed")
+    old = [f"__old_{i}" for i, c in enumerate(docs.columns) if c.lower() in counts]
+    given = docs.toDF(*(f"__old_{i}" if c.lower() in counts else c for i, c in enumerate(docs.columns))).drop(*old)
+    return compared(given).toDF(*given.columns, *counts)
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``docs`` without the lines that are equal to an earlier line or one word apart from one; ``n_chars`` renewed
+    if there is one. Other columns stay as they are and may have any name.
 
     Earlier means in a document with a smaller ``doc_id`` (NULL before all) or earlier in the same one, whether or not
     that line stays. White space at the ends of a line does not count; words are what single spaces separate.
     Blank lines stay. Lines of fewer than LEAST_WORDS words go only if they are equal. NULL texts stay NULL and
     have no lines. Rows that share a ``doc_id`` are one document: their lines at one place are one occurrence.
     """
+    made = compared(docs)
+    return made.select(*made.columns[:-2]).toDF(*docs.columns)
+
+
+def compared(docs: DataFrame) -> DataFrame:
+    """The rows of ``cleaned``, other columns under other names, with (__all, __removed): counts of lines."""
+    docs = apart(docs, "doc_id", "text", "n_chars")
     rows = materialise(line_rows(docs), "rows")
     place = F.struct("doc", "no")
     firsts = materialise(rows.where("h IS NOT NULL").groupBy("h", "g").agg(F.min(place).alias("place")).select("h", "place"), "firsts")
@@ -208,4 +227,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         out[docs.columns.index("n_chars")] = renewed.cast(docs.schema["n_chars"].dataType).alias("n_chars")
     total = F.when(F.col("text").isNotNull(), F.size("__lines")).otherwise(0).cast("long")
     removed = F.when(F.col("text").isNotNull(), F.size("__lines") - F.size("__kept")).otherwise(0).cast("long")
-    return met.select(*out, total.alias("n_lines"), removed.alias("n_removed"))
+    return met.select(*out, total.alias("__all"), removed.alias("__removed"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.batches import WORD
+from tidemark.llm.columns import apart
 from tidemark.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -102,8 +103,11 @@ def mix(docs: DataFrame) -> DataFrame:
     document at the cut once more with its first words up to the budget (its text ends with the last of
     them, ``n_chars`` is renewed if there is one). Documents with no word are in no mix.
 
-    Repeated rows are numbered within their (doc_id, source, size), each with a share of its own.
+    Repeated rows are numbered within their (doc_id, source, size), each with a share of its own. Other columns
+    may have any name.
     """
+    names = docs.columns
+    docs = apart(docs, "doc_id", "source", "text", "n_chars")
     key = F.xxhash64("doc_id", "source", "size")
     plan = mixed_sizes(docs).withColumn("own", key).groupBy("own").agg(
         F.max("taken").alias("most"), F.sort_array(F.collect_list("taken"), asc=False).alias("takes")
@@ -127,4 +131,4 @@ def mix(docs: DataFrame) -> DataFrame:
         taken = taken.withColumn(
             "n_chars", F.when(F.col("__share") < 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
         )
-    return taken.select(*docs.columns)
+    return taken.select(*docs.columns).toDF(*names)

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.batches import map_batches
+from tidemark.llm.columns import apart
 from tidemark.session import materialise
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -140,15 +141,20 @@ def judged(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def passing(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that are kept, as they are. Rows that share a ``doc_id`` go only if all of them fail."""
-    good = judged(docs, host).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The rows of ``docs`` that are kept, as they are. Rows that share a ``doc_id`` go only if all of them fail.
+    Other columns may have any name.
+    """
+    given = apart(docs, "doc_id", "text", host)
+    good = judged(given, host).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return given.join(good, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").toDF(*docs.columns)
 
 
 def without_common_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     """``docs`` without the lines above the limits, in all documents but the first of their host; other lines, blank
-    ones too, stay as they are. ``n_chars`` is renewed if there is one. NULL texts stay NULL.
+    ones too, stay as they are. ``n_chars`` is renewed if there is one. NULL texts stay NULL. Other columns may have any name.
     """
+    given_names = docs.columns
+    docs = apart(docs, "doc_id", "text", "n_chars", host)
     table = materialise(measured(docs, host), "figures")
     common = common_lines(table).select(F.col("host").alias("of"), F.col("line").alias("its"), "first")
     lines = table.select("doc_id", "host", F.explode("lines.line").alias("line")).distinct()
@@ -175,4 +181,4 @@ def without_common_lines(docs: DataFrame, host: str = "source") -> DataFrame:
             columns["n_chars"] = pa.array([len(t) if g and t is not None else n for n, t, g in chars], columns["n_chars"].type)
         return pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return map_batches(met.select(*names, "__gone"), run, docs.schema)
+    return map_batches(met.select(*names, "__gone"), run, docs.schema).toDF(*given_names)

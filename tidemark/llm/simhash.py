@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.batches import map_batches, pointed, runs_of, spanning
+from tidemark.llm.columns import apart
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -216,8 +217,10 @@ def representatives(docs: DataFrame, reach: int = 2) -> DataFrame:
     """One document of each class, the one with the least ``doc_id``; columns as in ``docs``.
 
     A row with a NULL ``doc_id`` stays only if its class has no other; of repeated rows with that
-    ``doc_id`` all stay.
+    ``doc_id`` all stay. Other columns may have any name.
     """
-    found = near_duplicates(docs, reach)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    given = apart(docs, "doc_id", "text")
+    found = near_duplicates(given, reach)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = found.where(first).select(F.col("doc_id").alias("__kept")).distinct()
+    return given.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").toDF(*docs.columns)

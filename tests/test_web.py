@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import markup, urls
+from tidemark.functions import markup, refs, urls
 from tidemark.operators import references, weblog
 from tidemark.sources import network_log
 
@@ -139,6 +139,37 @@ def test_long_texts_take_linear_time():
         markup.rewrite_page(text, {"x": "y"}, "h")
 
 
+PIECES = (
+    ["<a ", "href=", "HREF = ", "src=", "x-src=", "srcset='", "style=\"", "content='", "3; URL=", "; url = ", "data-src='"]
+    + ["/a b", "/k.png", " 2x, ", "\"", "'", "\"", "'", ">", "<style>", "<STYLE type=x>", "</style>", "<styles>", "<style"]
+    + ["url(", "URL( ", ")", " )", "\n", " ", "é", "poster=\"", "onclick=\"", "=", ","]
+)
+
+
+def test_listing_finds_what_rewriting_replaces(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(PIECES, k=draw.randint(0, 30))) for _ in range(20_000)]
+    texts += [PAGE, "<style </style>url(x)", None]
+    given = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    found = given.select("i", refs.page_references(F.col("t")).alias("page"), refs.sheet_references(F.col("t")).alias("sheet"))
+    for r in found.collect():
+        text = texts[r.i]
+        if text is None:
+            assert r.page is None and r.sheet is None
+            continue
+        assert [(x.kind, x.raw) for x in r.page] == [(s.kind, s.raw) for s in markup.page_slots(text)], text
+        assert [x.raw for x in r.sheet] == [s.raw for s in markup.sheet_slots(text, 0, len(text))], text
+        assert [x.pos for x in r.page] == list(range(len(r.page)))
+
+
+def test_listing_of_long_texts(spark):
+    texts = ["a" * 300_000, "a=" * 150_000, "url(" * 50_000, "url('" * 50_000, "<style>" * 40_000, "\"" * 200_000,
+             "<style>" + "url(\"" * 30_000 + "</style>", "<style>" + "url(x)" * 30_000 + "</style>"]
+    given = spark.createDataFrame([(t,) for t in texts], "t string")
+    counts = [r.n for r in given.select(F.size(refs.page_references(F.col("t"))).alias("n")).collect()]
+    assert sorted(counts) == [0] * 7 + [30_000]
+
+
 def test_captures_do_not_share_their_urls(spark):
     pages = spark.createDataFrame(
         [(1, 1, "https://a.com/i", "<a href='/k'>"), (2, 1, "https://a.com/i", "<a href='/k'>")],

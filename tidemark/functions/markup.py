@@ -1,8 +1,8 @@
-"""Finds the references of a page or style sheet, and puts others in their place.
+"""Puts other references in the place of those of a page or style sheet.
 
-Listing and rewriting share one walk over the text, so they cannot drift apart. The walk
-gives slots: the stretch of text to replace, what kind of place it is, the reference in it,
-and the text around it once it is replaced. Runs inside tasks, one page at a time.
+One walk over the text gives slots: the stretch of text to replace, what kind of place it is, the
+reference in it, and the text around it once it is replaced. Runs inside tasks, one page at a time.
+Listing is done by expressions (``refs``); tests hold both against each other.
 """
 
 from __future__ import annotations
@@ -52,7 +52,8 @@ def ahead(pattern: re.Pattern[str], text: str, end: int) -> Callable[[int], re.M
 def sheet_slots(text: str, start: int, end: int, kind: str = "css") -> Iterator[Slot]:
     """Every ``url(...)`` between two places; it may not run over the end of a line."""
     if start or end < len(text):
-        inside = sheet_slots(text[start:end], 0, end - start, kind)
+        part = text[start:end]
+        inside = sheet_slots(part, 0, len(part), kind)
         yield from (s._replace(start=s.start + start, end=s.end + start) for s in inside)
         return
     next_line, next_bracket = ahead(LINE_END, text, end), ahead(BRACKET, text, end)
@@ -141,10 +142,6 @@ def page_slots(html: str) -> Iterator[Slot]:
             opened = None if bracket < 0 else bracket + 1
 
 
-def listed(slots: Iterator[Slot]) -> list[dict]:
-    return [{"kind": s.kind, "pos": i, "raw": s.raw} for i, s in enumerate(slots)]
-
-
 def tag_end(html: str, start: int) -> int:
     """Just past a tag's closing bracket; brackets inside quoted values do not count."""
     return TAG_REST.match(html, start).end()

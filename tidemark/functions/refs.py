@@ -13,7 +13,9 @@ from tidemark.functions.markup import PLACES, REFRESH, SET, STYLE
 
 SPACE = " \t\n\r\x0b\f"
 NO_NAME_BEFORE, NO_NAME_AFTER = r"(?<![\p{L}\p{N}_-])", r"(?![\p{L}\p{N}_-])"
-ATTRIBUTE = rf"(?i){NO_NAME_BEFORE}(?:{'|'.join(PLACES)})\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+')"
+# First letters are looked at before anything else: most places of a page are ruled out by them.
+FIRST = "".join(sorted({x for name in PLACES for x in (name[0], name[0].upper())}))
+ATTRIBUTE = rf"(?=[{FIRST}])(?i){NO_NAME_BEFORE}(?:{'|'.join(PLACES)})\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+')"
 BLOCK_END = rf"(?i)</style{NO_NAME_AFTER}"
 BLOCK_TEXT = rf"(?is)<style{NO_NAME_AFTER}[^>]*+>(.*+)"
 #: A call up to its bracket; else to the end of a line on which no call is closed, so that those are not tried again

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import urls
+from tidemark.functions import refs, urls
 from tidemark.operators import references, weblog
 from tidemark.plans.registry import query, table
 from tidemark.session import even_out, materialise, scratch_path
@@ -482,6 +482,25 @@ def css_refs(spark, sf_dir):
     return references.css_refs(sheets_of, ["page_id"]).select("page_id", "raw")
 
 
+@query(
+    "page_sheet_refs",
+    r"""
+    SELECT page_id, len(regexp_extract_all(html, '(?s)<style>.*?</style>')) AS blocks,
+      trim(trim(raw), '"''') AS raw
+    FROM (SELECT page_id, html, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS raw FROM pages)
+    """,
+)
+def page_sheet_refs(spark, sf_dir):
+    """References of a sheet that is made of a page's own style blocks and a rule for each of its links."""
+    blocks = refs.style_blocks(F.col("html"))
+    links = F.filter(refs.page_references(F.col("html")), lambda x: x["kind"] == "href")
+    rules = F.transform(links, lambda x: F.concat(F.lit('a{b:url("'), x["raw"], F.lit('")}')))
+    own = pages(spark, sf_dir).select(
+        "page_id", F.size(blocks).cast("long").alias("blocks"), F.concat_ws("\n", F.concat(blocks, rules)).alias("css")
+    )
+    return references.css_refs(own, ["page_id", "blocks"]).select("page_id", "blocks", "raw")
+
+
 def resolved_rich(spark, sf_dir):
     return references.resolve(
         rich_refs(spark, sf_dir).withColumnRenamed("url", "base"), "base"

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from datetime import datetime
+from fnmatch import fnmatchcase
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed, gates
-from tidemark.session import qualified
+from tidemark.session import even_out, qualified
 from tidemark.sources import captures
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+#: What is known of a file before it is read.
+LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
+#: A task hands on files once it has read that much.
+BYTES_PER_BATCH = 8 << 20
 #: ``<anything>_ddmmyyyy`` for the national page of a date, with ``_me`` behind it for the foreign one.
 FILE_NAME = r"_(\d{8})(_me)?\.[A-Za-z]+$"
 LABEL = rf"""(?is)\bid\s*=\s*["']?{fixed.LABEL_ID}["']?[^>]*>(.*?)</"""
@@ -45,13 +51,74 @@ def pages_of(files: DataFrame) -> DataFrame:
     return read.withColumn("usable", F.coalesce(ok & F.col("requested_date").isNotNull(), F.lit(False)))
 
 
+def _listing_row(root: str, base: str, info: fs.FileInfo) -> tuple[str, datetime, int]:
+    # Whole milliseconds, as Spark's own file source gives them.
+    when = info.mtime.replace(microsecond=info.mtime.microsecond // 1000 * 1000)
+    return root + info.path[len(base):], when, info.size
+
+
+def _listing_batch(rows: list[tuple[str, datetime, int]]) -> pa.RecordBatch:
+    path, when, size = zip(*rows) if rows else ((), (), ())
+    columns = [pa.array(path, pa.string()), pa.array(when, pa.timestamp("us", "UTC")), pa.array(size, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["path", "modificationTime", "length"])
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``path, modificationTime, length`` of all files below a folder whose name fits; hidden ones are left out.
+
+    Folders are listed inside tasks, one row each: first the folder itself, then what its folders hold at any depth.
+    Neither the driver nor a plan ever has the list.
+    """
+
+    def shown(place: str) -> bool:
+        return not any(part.startswith((".", "_")) for part in place.split("/") if part)
+
+    def found(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for root, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if size is not None:
+                    yield _listing_batch([]) if deep else batch
+                    continue
+                store, base = fs.FileSystem.from_uri(root)
+                rows = []
+                for info in store.get_file_info(fs.FileSelector(base, recursive=deep)):
+                    if not shown(info.path[len(base):]):
+                        continue
+                    if info.is_file and fnmatchcase(info.base_name, pattern):
+                        rows.append(_listing_row(root, base, info))
+                    elif not deep and not info.is_file:
+                        rows.append((root + info.path[len(base):], None, None))
+                yield _listing_batch(rows)
+
+    root = qualified(spark, path).rstrip("/")
+    start = spark.createDataFrame([(root, None, None)], LISTING_SCHEMA).coalesce(1)
+    top = start.mapInArrow(lambda b: found(b, False), LISTING_SCHEMA)
+    inner = even_out(top.filter("length IS NULL"), "path").mapInArrow(lambda b: found(b, True), LISTING_SCHEMA)
+    return top.filter("length IS NOT NULL").unionByName(inner)
+
+
+def with_content(listing: DataFrame) -> DataFrame:
+    """Listed files, batch or stream, with their ``content``: opened where they are processed, a batch of them at a time."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            since, held, contents = 0, 0, []
+            for at, path in enumerate(batch.column(0).to_pylist()):
+                store, place = fs.FileSystem.from_uri(path)
+                with store.open_input_stream(place) as source:
+                    contents.append(source.read())
+                held += len(contents[-1])
+                if held >= BYTES_PER_BATCH or at + 1 == batch.num_rows:
+                    part = batch.slice(since, len(contents))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(contents, pa.binary())], [*part.schema.names, "content"])
+                    since, held, contents = at + 1, 0, []
+
+    return even_out(listing.select("path", "modificationTime", "length"), "path").mapInArrow(read, FILE_SCHEMA)
+
+
 def read_pages(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """All saved pages below a folder, as ``pages_of`` gives them."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true").load(path)
-    )
-    return pages_of(files)
+    """All saved pages below a folder, as ``pages_of`` gives them. Listed and read inside tasks."""
+    return pages_of(with_content(list_files(spark, path, pattern)))
 
 
 def assembled(pages: DataFrame) -> DataFrame:
@@ -81,28 +148,39 @@ def general_rates(assembled_pages: DataFrame) -> DataFrame:
     return captures.deposit_rates(assembled_pages, keep=("llegada",))[0]
 
 
-def write_files(files: DataFrame, folder: str) -> int:
-    """Write ``archivo, content`` as files below ``folder``; gives their number.
+def write_files(files: DataFrame, folder: str, notices: str | None = None) -> int:
+    """Write ``archivo, content`` as files below ``folder``; gives their number. A name may have folders in it.
 
     Every task writes its own rows. A file gets its name when it is whole, so a reader never meets half of one, and a
-    task that is run again writes the same files again.
+    task that is run again writes the same files again. With ``notices`` each task also leaves a list there of the files it
+    wrote, as ``list_files`` gives them, once they are whole; a stream takes those up instead of listing the folder.
     """
-    root = qualified(files.sparkSession, folder)
+    root = qualified(files.sparkSession, folder).rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
-        store.create_dir(base)
+        made = set()
         for batch in batches:
+            places = []
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                draft = f"{base}/.{name}.{uuid.uuid4().hex}"
+                inside, _, own = f"{base}/{name}".rpartition("/")
+                if inside not in made:
+                    store.create_dir(inside)
+                    made.add(inside)
+                draft = f"{inside}/.{own}.{uuid.uuid4().hex}"
                 with store.open_output_stream(draft) as out:
                     out.write(content.as_buffer())
-                store.move(draft, f"{base}/{name}")
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+                store.move(draft, f"{inside}/{own}")
+                places.append(f"{inside}/{own}")
+            yield _listing_batch([_listing_row(root, base, info) for info in store.get_file_info(places)])
 
     named = files.filter("archivo IS NOT NULL AND content IS NOT NULL")
-    done = named.select("archivo", F.col("content").cast("binary")).mapInArrow(write, "n long")
-    return done.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    done = named.select("archivo", F.col("content").cast("binary")).mapInArrow(write, LISTING_SCHEMA)
+    if notices is None:
+        return done.count()
+    seen = Observation()
+    done.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(notices)
+    return seen.get["n"]
 
 
 def page_facts(pages: DataFrame, rates: DataFrame) -> DataFrame:

@@ -110,3 +110,32 @@ def test_paths_are_qualified_as_spark_does(spark):
         assert qualified(spark, "/a/b") == "viewfs://store/a/b"
     finally:
         conf.set("fs.defaultFS", before)
+
+
+def test_files_are_listed_in_tasks(spark):
+    """Files at any depth, hidden ones and other names left out, with the times that Spark's own source gives."""
+    folder = scratch_path(spark, "listed")
+    put(folder, FILES[:1], 0)
+    put(f"{folder}/2025/01", FILES[1:2], 1)
+    put(f"{folder}/2025", [(".draft.html", "x"), ("nota.txt", "x")], 2)
+    put(f"{folder}/_temporary/0", [("z_02012025.html", "x")], 2)
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").load(folder)
+    listed = capture_files.list_files(spark, folder, "*.html")
+    names = lambda df: {(r.path.rsplit("/", 1)[1], r.modificationTime, r.length) for r in df.collect()}
+    assert names(listed) == names(own) and listed.count() == 2
+    assert "PushedFilters" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert {bytes(r.content) for r in capture_files.with_content(listed).collect()} == {t.encode() for _, t in FILES[:2]}
+
+
+def test_noticed_files_give_the_same_and_few_stored_files(spark):
+    folder, notices = scratch_path(spark, "drops"), scratch_path(spark, "notices")
+    store, state = ingest.Store(scratch_path(spark, "store")), scratch_path(spark, "state")
+    for drop in range(3):
+        rows = [(f"2025/{drop}/{name}", text) for name, text in FILES[drop::3]]
+        given = spark.createDataFrame(rows, "archivo string, content string").repartition(3)
+        assert capture_files.write_files(given, folder, notices) == len(rows)
+        ingest.ingest(ingest.noticed_stream(spark, notices), store, state).awaitTermination()
+    assert savings(accumulated.read_accumulated(spark, store.rates)) == WANT
+    assert facts(ingest.date_facts(spark, store)) == FACTS
+    # One year in three batches, however many tasks and months there are.
+    assert len(list(Path(store.pages).glob("lote=*/anio=*/*.parquet"))) == 3

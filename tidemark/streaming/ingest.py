@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators import merge
 from tidemark.session import materialise
@@ -40,10 +40,18 @@ def page_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
     return reader.load(folder)
 
 
-def pages_up_to(spark: SparkSession, store: Store, batch_id: int, months: list[str]) -> DataFrame:
-    """Stored pages of some months, of a batch and those before it."""
+def noticed_stream(spark: SparkSession, notices: str) -> DataFrame:
+    """The files that ``capture_files.write_files`` has left notices of, read inside tasks.
+
+    The source follows a few lists, so what the driver keeps does not grow with the number of pages.
+    """
+    return capture_files.with_content(spark.readStream.schema(capture_files.LISTING_SCHEMA).parquet(notices))
+
+
+def pages_up_to(spark: SparkSession, store: Store, batch_id: int, years: list[int]) -> DataFrame:
+    """Stored pages of some years, of a batch and those before it."""
     held = spark.read.parquet(store.pages)
-    return held.filter((F.col("lote") <= batch_id) & F.col("mes").isin(months))
+    return held.filter((F.col("lote") <= batch_id) & F.col("anio").isin(years))
 
 
 def ingest(stream: DataFrame, store: Store, checkpoint: str) -> StreamingQuery:
@@ -59,16 +67,20 @@ def ingest(stream: DataFrame, store: Store, checkpoint: str) -> StreamingQuery:
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         pages = capture_files.pages_of(batch).filter(F.col("requested_date").isNotNull())
-        month = F.date_format("requested_date", "yyyy-MM")
         place = f"{store.pages}/lote={batch_id}"
-        pages.withColumn("mes", month).write.mode("overwrite").partitionBy("mes").parquet(place)
-        new = spark.read.schema(StructType([*pages.schema.fields, StructField("mes", StringType())])).parquet(place).select("requested_date", "mes")
-        # At most one entry per calendar month.
-        months = [r[0] for r in new.select("mes").distinct().collect()]
-        if not months:
+        # Rows of a year meet before they are written, so a year is a few files and not one for every task.
+        (
+            pages.withColumn("anio", F.year("requested_date")).hint("rebalance", F.col("anio"))
+            .write.mode("overwrite").partitionBy("anio").parquet(place)
+        )
+        schema = StructType([*pages.schema.fields, StructField("anio", IntegerType())])
+        new = spark.read.schema(schema).parquet(place).select("requested_date", "anio")
+        # At most one entry per calendar year.
+        years = [r[0] for r in new.select("anio").distinct().collect()]
+        if not years:
             return
         touched = new.select("requested_date").distinct()
-        own = pages_up_to(spark, store, batch_id, months).join(touched, "requested_date", "left_semi")
+        own = pages_up_to(spark, store, batch_id, years).join(touched, "requested_date", "left_semi")
         rates = materialise(capture_files.general_rates(capture_files.assembled(own)), "rates")
         capture_files.page_facts(own, rates).write.mode("overwrite").parquet(f"{store.facts}/lote={batch_id}")
         accumulated.write_accumulated(rates, store.rates, merge.GENERAL_KEYS, "llegada", stream=checkpoint, batch_id=batch_id)

@@ -186,3 +186,17 @@ def test_every_cell_of_every_table(spark):
         assert row.lines == [f"c{i}" for i in range(9)] and len(row.td) == row.n == 9
     few = tables.page_tables(spark.createDataFrame([(1, html)], "id int, html string")).first().tables
     assert few[1].rows is None and few[0].rows[0].td == ["a"]
+
+
+def test_equal_tags_are_read_once_and_few_are_kept(monkeypatch):
+    """Pages repeat their tags: attributes are parsed once for each different one, and what is kept is bounded."""
+    parsed = []
+    original = table_scan.attributes
+    monkeypatch.setattr(table_scan, "attributes", lambda text: parsed.append(text) or original(text))
+    html = "<table>" + "<tr class='zz'><td class=\"a>b\" rowspan=2>x</td></tr>" * 500 + "</table>"
+    rows = table_scan.page_tables(html)[0][10]
+    assert len(rows) == 500 and rows[499][2] == "zz" and rows[499][4] == ["x"]
+    assert parsed.count(" class='zz'") == 1
+    many = "<table>" + "".join(f"<tr class='n{i}'><td>{i}</td></tr>" for i in range(table_scan.HEADS_KEPT + 500)) + "</table>"
+    assert [r[2] for r in table_scan.page_tables(many)[0][10]][-1] == f"n{table_scan.HEADS_KEPT + 499}"
+    assert len(table_scan.heads_met) <= table_scan.HEADS_KEPT

@@ -8,6 +8,7 @@ taken apart and shuffled back together; rows are exploded at the very end.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,22 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}[kind.simpleString()]
 
 
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    """Lists and tuples as an Arrow array, made column by column: building it value by value takes longer than the scan."""
+    if pa.types.is_list(kind):
+        lengths = [0 if v is None else len(v) for v in values]
+        offsets: list[int | None] = [0, *accumulate(lengths)]
+        for at, v in enumerate(values):
+            if v is None:
+                offsets[at] = None
+        inner = [x for v in values if v for x in v]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _column(inner, kind.value_type))
+    if pa.types.is_struct(kind):
+        columns = zip(*values) if values else [() for _ in kind]
+        return pa.StructArray.from_arrays([_column(list(c), f.type) for c, f in zip(columns, kind)], fields=list(kind))
+    return pa.array(values, kind)
+
+
 def _scan_pages(
     captures: DataFrame, html_col: str, out: str, kind: str, reader: str, *options: object
 ) -> DataFrame:
@@ -60,7 +77,7 @@ def _scan_pages(
             for at in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(at, PAGES_PER_BATCH)
                 pages = part.column(part.schema.get_field_index(html_col))
-                found = pa.array([read(p.as_py(), *options) for p in pages], type=arrow_type)
+                found = _column([read(p, *options) for p in pages.to_pylist()], arrow_type)
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
 

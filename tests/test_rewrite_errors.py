@@ -45,3 +45,16 @@ def test_warnings_of_all_three_stages(spark):
     }
     with pytest.raises(Exception, match="no end of list"):
         references._put(sheets.filter("css IS NOT NULL").withColumn("mapa", F.lit(1)), fails_on_bad(), "css", None).collect()
+
+
+def test_few_documents_are_python_objects_at_once():
+    """A batch of any length is rewritten some documents at a time, in order, with a missing map as an empty one."""
+    import pyarrow as pa
+
+    n = references.DOCUMENTS_AT_ONCE * 2 + 5
+    texts = pa.array([f"t{i}" for i in range(n - 1)] + [None])
+    maps = pa.array([[("a", "b")], None] * n, pa.map_(pa.string(), pa.string())).slice(0, n)
+    parts = list(references._checked_slices(lambda t, known: f"{t}{known.get('a', '')}", (texts, maps)))
+    assert max(map(len, parts)) == references.DOCUMENTS_AT_ONCE
+    made = [r["text"] for p in parts for r in p.to_pylist()]
+    assert made[:2] == ["t0b", "t1"] and made[-1] is None and len(made) == n

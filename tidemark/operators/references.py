@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,24 +80,35 @@ def checked(rewriter: Callable[..., str], text: str | None, *rest: object) -> di
         return {"text": text, "error": str(failure) or type(failure).__name__}
 
 
-@F.pandas_udf(REWRITTEN)
-def _rewrite_pages(
-    batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
-) -> Iterator[pd.DataFrame]:
+REWRITTEN_ARROW = pa.struct([("text", pa.string()), ("error", pa.string())])
+
+# As many documents and maps are Python objects at once, however long an Arrow batch is.
+DOCUMENTS_AT_ONCE = 64
+
+
+def _checked_slices(rewriter: Callable[..., str], columns: tuple[pa.Array, ...]) -> Iterator[pa.Array]:
+    """The results of a batch, some documents at a time; the last column is the map of references."""
+    for at in range(0, len(columns[0]), DOCUMENTS_AT_ONCE):
+        texts, *rest, maps = [c.slice(at, DOCUMENTS_AT_ONCE).to_pylist() for c in columns]
+        known = [dict(m or ()) for m in maps]
+        done = [checked(rewriter, *row) for row in zip(texts, known, *rest)]
+        yield pa.array(done, REWRITTEN_ARROW)
+
+
+@F.arrow_udf(REWRITTEN)
+def _rewrite_pages(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     from tidemark.functions.markup import rewrite_page
 
-    for pages, hosts, maps in batches:
-        done = [checked(rewrite_page, page, dict(known or {}), host) for page, host, known in zip(pages, hosts, maps)]
-        yield pd.DataFrame(done, columns=["text", "error"], dtype=object)
+    for columns in batches:
+        yield from _checked_slices(rewrite_page, columns)
 
 
-@F.pandas_udf(REWRITTEN)
-def _rewrite_sheets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(REWRITTEN)
+def _rewrite_sheets(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     from tidemark.functions.markup import rewrite_css
 
-    for sheets, maps in batches:
-        done = [checked(rewrite_css, s, dict(m or {})) for s, m in zip(sheets, maps)]
-        yield pd.DataFrame(done, columns=["text", "error"], dtype=object)
+    for columns in batches:
+        yield from _checked_slices(rewrite_css, columns)
 
 
 def _put(joined: DataFrame, done: Column, text_col: str, errors: str | None) -> DataFrame:

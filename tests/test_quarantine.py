@@ -62,3 +62,18 @@ def test_without_times(spark):
     stream = drops(spark, [(1, at(0), None)], [(2, None, "x")])
     quarantine.ingest_checked(stream, out, scratch_path(spark, "state"), F.col("why")).awaitTermination()
     assert quarantine.counts(spark, out).agg(F.sum("leidas"), F.sum("apartadas")).first()[:] == (2, 1)
+
+
+def test_a_drop_is_not_one_file(spark, monkeypatch):
+    """The rows of a drop stay in the tasks they are in; a drop is still one batch."""
+    import glob
+
+    from tidemark.plans import stream_queries
+
+    folders, made = [], stream_queries.labels
+    read = stream_queries.streams.read_stream
+    monkeypatch.setattr(stream_queries, "labels", lambda *a: made(*a).repartition(3))
+    monkeypatch.setattr(stream_queries.streams, "read_stream", lambda s, f, *a, **k: folders.append(f) or read(s, f, *a, **k))
+    rows = {r.motivo: r.filas for r in stream_queries.quarantined_ingest_stream(spark, "/root/testdata/sf0.001").collect()}
+    assert len(glob.glob(f"{folders[0]}/*.parquet")) == 6
+    assert rows["leidas"] == sum(n for reason, n in rows.items() if reason != "leidas")

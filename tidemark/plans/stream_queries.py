@@ -197,13 +197,14 @@ def quarantined_ingest_stream(spark, sf_dir):
     """Captures in two drops, the old dates last: each is accepted, in force for another date or late; none is lost."""
     rows = labels(spark, sf_dir).withColumnsRenamed({"pedida": "requested_date", "etiqueta": "label_text"})
     folder, out = scratch_path(spark, "labels"), scratch_path(spark, "checked")
-    for new in (True, False):
-        rows.filter((F.col("requested_date") >= LATE_CUT) == new).coalesce(1).write.mode("append").parquet(folder)
     stale = F.when(~gates.in_force(F.col("label_text"), F.col("requested_date")), "no vigente")
-    quarantine.ingest_checked(
-        streams.read_stream(spark, folder, rows.schema, files_per_batch=1), out, scratch_path(spark, "checked-state"),
-        stale, ts="requested_date", late_seconds=365 * 86400,
-    ).awaitTermination()
+    state = scratch_path(spark, "checked-state")
+    # A drop is as many files as it has tasks, and one batch, since each is taken up before the next one comes.
+    for new in (True, False):
+        rows.filter((F.col("requested_date") >= LATE_CUT) == new).write.mode("append").parquet(folder)
+        quarantine.ingest_checked(
+            streams.read_stream(spark, folder, rows.schema), out, state, stale, ts="requested_date", late_seconds=365 * 86400,
+        ).awaitTermination()
     by_reason = quarantine.rows(spark, out, rows.schema).groupBy("motivo").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("o_orderkey").alias("claves")
     )

@@ -9,7 +9,7 @@ from tidemark.operators import merge
 from tidemark.plans.gate_queries import LABEL_SQL, labels
 from tidemark.plans.registry import query, table
 from tidemark.plans.web_queries import IDLE_GAP, PAGE_COMPLETE_SQL, SESSIONS_SQL
-from tidemark.session import scratch_path
+from tidemark.session import even_out, scratch_path
 from tidemark.sources import accumulated
 from tidemark.streaming import captures, quarantine
 from tidemark.streaming import events as streams
@@ -123,18 +123,19 @@ def accumulated_batches(spark, sf_dir):
 def in_drops(spark, rows, folder, day="ts", days=8, drops=4, late=7):
     """Write rows as files that come one drop after the other: by ``days`` of time, every ``late``-th row a drop later.
 
-    A last row without key, far ahead, moves the watermark past everything.
+    A last row without key, far ahead, moves the watermark past everything. A drop is as many files as one batch takes,
+    so the number of batches, each of which goes through the state of its captures, does not grow with the rows.
     """
     first = rows.agg(F.min(day).alias("desde"))
     number = F.floor(F.timestamp_diff("HOUR", "desde", day) / (24 * days)).cast("int")
     order = F.least(number + (F.col("event_id") % late == 0).cast("int"), F.lit(drops - 1))
     dealt = rows.crossJoin(F.broadcast(first)).withColumn("_n", order).drop("desde")
     for n in range(drops):
-        dealt.filter(F.col("_n") == n).drop("_n").write.mode("append").parquet(folder)
+        even_out(dealt.filter(F.col("_n") == n).drop("_n")).write.mode("append").parquet(folder)
     kept = [F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c != day]
     ahead = rows.agg((F.max(day) + F.expr("INTERVAL 400 DAYS")).alias(day)).select(day, *kept).select(*rows.columns)
     ahead.write.mode("append").parquet(folder)
-    return streams.read_stream(spark, folder, rows.schema, files_per_batch=2)
+    return streams.read_stream(spark, folder, rows.schema, files_per_batch=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def settled(spark, stream, label):

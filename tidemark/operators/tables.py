@@ -72,12 +72,11 @@ def _scan_pages(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tidemark.functions import table_scan
 
-        read = getattr(table_scan, reader)
         for batch in batches:
             for at in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(at, PAGES_PER_BATCH)
                 pages = part.column(part.schema.get_field_index(html_col))
-                found = _column([read(p, *options) for p in pages.to_pylist()], arrow_type)
+                found = _column(table_scan.read_pages(reader, pages.to_pylist(), options), arrow_type)
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
 

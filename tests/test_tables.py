@@ -222,3 +222,44 @@ def test_no_cycle_search_while_pages_are_read(monkeypatch):
         assert gc.collect() == 0
     finally:
         gc.enable()
+
+
+def test_a_layout_is_worked_out_once(monkeypatch):
+    """Pages that differ in their texts only share the places of their cells; blank texts and new headings are their own."""
+    page = "<table><thead><tr><th>{0}</th><th>b</th></tr></thead><tr><td>{1}<br>{2}</td><td class='rpgRowHeaderField'>{3}</td></tr></table>"
+    some = [("a", "1", "2", "3"), ("", "&nbsp;", "x\ny", ""), ("c", "", "", "&amp;"), ("a", "1", "2", "3")]
+    pages = [page.format(*texts) for texts in some]
+    made = []
+    layout = table_scan.Layout
+    monkeypatch.setattr(table_scan, "Layout", lambda tags: made.append(tags) or layout(tags))
+    monkeypatch.setattr(table_scan, "layouts_met", {})
+    found = [table_scan.page_tables(p)[0] for p in pages]
+    assert len(made) == 1
+    assert [t[8] for t in found] == [["a", "b"], ["b", "col_1"], ["c", "b"], ["a", "b"]]
+    assert [t[9] for t in found] == [[("rpgRowHeaderField", x)] for x in ("3", "", "&", "3")]
+    assert [t[10][1][4:6] for t in found] == [
+        (["12", "3"], ["1", "3"]), (["x\ny", ""], ["x", ""]), (["", "&"], ["", "&"]), (["12", "3"], ["1", "3"]),
+    ]
+    for i in range(table_scan.LAYOUTS_KEPT + 5):
+        table_scan.page_cells("<table><tr>" + "<td>x" * i)
+    assert len(table_scan.layouts_met) <= table_scan.LAYOUTS_KEPT
+
+
+def test_no_table_but_in_a_comment():
+    assert table_scan.page_tables("<!-- <table> --><p>") == [] == table_scan.page_cells("<!-- <table> --><p>")
+
+
+def test_cells_of_some_fields_and_of_many_pages(spark):
+    """Pages of several layouts in one batch, more cells than one batch gives out, a page's column named like a cell's."""
+    wide = "<table id=w><tr>" + "".join(f"<td rowspan={n}>{n}</td>" for n in range(20_000)) + "</tr></table>"
+    pages = [(1, "<table><tr><th>a</th></tr></table>"), (2, wide), (3, None), (4, "<p>"), (5, "<table><tr><td>b<td>c</table>")]
+    df = spark.createDataFrame(pages, "row int, html string").coalesce(1)
+    cells = tables.html_cells(df.withColumnRenamed("row", "table_id"), ["table_id"])
+    got = cells.toDF("page", *cells.columns[1:]).select("page", "table_id", "tag", "col", "rowspan", "text").collect()
+    assert got == (
+        [(1, None, "th", 0, 1, "a")] + [(2, "w", "td", n, n, str(n)) for n in range(20_000)]
+        + [(5, None, "td", 0, 1, "b"), (5, None, "td", 1, 1, "c")]
+    )
+    few = tables.html_cells(df, ["row"], fields=["text", "col"])
+    assert few.columns == ["row", "text", "col"]
+    assert few.filter("row <> 2").collect() == [(1, "a", 0), (5, "b", 0), (5, "c", 1)]

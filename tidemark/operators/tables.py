@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ CELL_TYPE = (
 
 # Output batches stay small, however large the pages are.
 PAGES_PER_BATCH = 256
+CELLS_PER_BATCH = 16_384
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -60,29 +62,68 @@ def _column(values: list, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
-def _scan_pages(
-    captures: DataFrame, html_col: str, out: str, kind: str, reader: str, *options: object
-) -> DataFrame:
-    kept = [f for f in captures.schema.fields if f.name not in (html_col, out)]
-    names = [f.name for f in kept]
-    found_type = T._parse_datatype_string(f"t {kind}").fields[0].dataType
-    schema = T.StructType([*kept, T.StructField(out, found_type)])
-    arrow_type = _arrow(found_type)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tidemark.functions import table_scan
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, PAGES_PER_BATCH):
-                part = batch.slice(at, PAGES_PER_BATCH)
-                pages = part.column(part.schema.get_field_index(html_col))
-                found = _column(table_scan.read_pages(reader, pages.to_pylist(), options), arrow_type)
-                columns = [part.column(part.schema.get_field_index(n)) for n in names]
-                yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
-
-    # Pages without any table stay out of the transfer to Python.
+def _with_texts(array: pa.Array, texts: dict[str, list[str]]) -> pa.Array:
+    """The array with the values of some fields of its structs, all fields of one name in turn, put in."""
+    if pa.types.is_list(array.type):
+        inner = _with_texts(array.values, texts)
+        return pa.ListArray.from_arrays(array.offsets, inner, mask=array.is_null() if array.null_count else None)
+    if not pa.types.is_struct(array.type):
+        return array
+    parts = []
+    for at, field in enumerate(array.type):
+        part = array.field(at)
+        if field.name in texts:
+            given = pa.array(texts[field.name], pa.string())
+            if pa.types.is_list(field.type):
+                if len(given) != len(part.values):
+                    raise ValueError(f"{len(given)} texts for {len(part.values)} places of {field.name}")
+                mask = part.is_null() if part.null_count else None
+                part = pa.ListArray.from_arrays(part.offsets, given, mask=mask)
+            else:
+                part = given
+        elif pa.types.is_list(field.type) and pa.types.is_struct(field.type.value_type):
+            part = _with_texts(part, texts)
+        parts.append(part)
+    return pa.StructArray.from_arrays(parts, fields=list(array.type))
+
+
+def _distinct(found: list[tuple]) -> tuple[list[list[tuple]], list[int]]:
+    """What is the same in all pages of a layout, once, and which of them every page has."""
+    numbers: dict[int, int] = {}
+    fixed_parts, which = [], []
+    for reading, _ in found:
+        number = numbers.setdefault(id(reading), len(fixed_parts))
+        if number == len(fixed_parts):
+            fixed_parts.append(reading.fixed)
+        which.append(number)
+    return fixed_parts, which
+
+
+# Where the texts of ``table_scan.table_texts`` go.
+TEXT_FIELDS = ("header_names", "text", "th", "td", "lines")
+
+
+def _tables_column(found: list[tuple], kind: pa.DataType) -> pa.Array:
+    fixed_parts, which = _distinct(found)
+    places = _column(fixed_parts, kind).take(pa.array(which, pa.int32()))
+    texts = {name: [t for _, given in found for t in given[at]] for at, name in enumerate(TEXT_FIELDS)}
+    return _with_texts(places, texts)
+
+
+def _page_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PAGES_PER_BATCH):
+            yield batch.slice(at, PAGES_PER_BATCH)
+
+
+def _type_of(kind: str) -> T.DataType:
+    return T._parse_datatype_string(f"t {kind}").fields[0].dataType
+
+
+def _with_page(captures: DataFrame, names: list[str], html_col: str) -> DataFrame:
+    """Pages without any table stay out of the transfer to Python."""
     page = F.when(F.lower(html_col).contains("<table"), F.col(html_col)).alias(html_col)
-    return captures.select(*names, page).mapInArrow(scan, schema)
+    return captures.select(*names, page)
 
 
 def page_tables(
@@ -99,13 +140,77 @@ def page_tables(
     largest table inside each; the others have NULL rows. ``every=True`` reads the rows of all tables: longer by the
     depth to which tables stand inside each other, so it is for pages known to be flat. ``html_cells`` gives all cells too.
     """
-    return _scan_pages(captures, html_col, out, TABLES_TYPE, "page_tables", ids, grids, every)
+    kept = [f for f in captures.schema.fields if f.name not in (html_col, out)]
+    names = [f.name for f in kept]
+    found_type = _type_of(TABLES_TYPE)
+    arrow_type = _arrow(found_type)
+    options = (tuple(ids), tuple(grids), every)
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tidemark.functions import table_scan
+
+        for part in _page_parts(batches):
+            pages = part.column(part.schema.get_field_index(html_col)).to_pylist()
+            found = _tables_column(table_scan.read_pages("table_texts", pages, options), arrow_type)
+            columns = [part.column(part.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, found], names=[*names, out])
+
+    schema = T.StructType([*kept, T.StructField(out, found_type)])
+    return _with_page(captures, names, html_col).mapInArrow(scan, schema)
+
+
+def html_cells(
+    captures: DataFrame, keep: list[str], html_col: str = "html", fields: list[str] | None = None
+) -> DataFrame:
+    """Long cell table: every cell once, under the table and row it stands in.
 
-def html_cells(captures: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """Long cell table: every cell once, under the table and row it stands in."""
-    cells = _scan_pages(captures.select(*keep, html_col), html_col, "cells", CELL_TYPE, "page_cells")
-    return cells.select(*keep, F.inline("cells"))
+    ``fields`` names the columns that are wanted of a cell, all of them by default.
+    """
+    all_fields = _type_of(CELL_TYPE).elementType.fields
+    wanted = [f for f in all_fields if fields is None or f.name in fields]
+    places = [all_fields.index(f) for f in wanted]
+    arrow_types = [_arrow(f.dataType) for f in wanted]
+    # Names of their own, as a page's column may be named like one of a cell.
+    kept = [T.StructField(f"_k{i}", captures.schema[n].dataType) for i, n in enumerate(keep)]
+    schema = T.StructType([*kept, *wanted])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tidemark.functions import table_scan
+
+        for part in _page_parts(batches):
+            pages = part.column(len(kept)).to_pylist()
+            found = table_scan.read_pages("cell_texts", pages, ())
+            fixed_parts, which = _distinct(found)
+            cells = [cell for cells in fixed_parts for cell in cells]
+            columns = list(zip(*cells)) if cells else [()] * len(all_fields)
+            given = {
+                at: pa.array(columns[at], kind)
+                for at, kind in zip(places, arrow_types) if at != table_scan.CELL_TEXT
+            }
+            starts = np.cumsum([0, *map(len, fixed_parts)])
+            lengths = np.array([len(texts) for _, texts in found], dtype=np.int64)
+            firsts = np.cumsum(lengths) - lengths
+            n_cells = int(lengths.sum())
+            page_of = np.repeat(np.arange(len(found)), lengths)
+            cell_of = np.arange(n_cells) + np.repeat(starts[which] - firsts, lengths)
+            texts = [text for _, page_texts in found for text in page_texts]
+            for at in range(0, n_cells, CELLS_PER_BATCH):
+                some = slice(at, at + CELLS_PER_BATCH)
+                rows, cells_at = pa.array(page_of[some]), pa.array(cell_of[some])
+                arrays = [part.column(i).take(rows) for i in range(len(kept))]
+                for place in places:
+                    if place == table_scan.CELL_TEXT:
+                        arrays.append(pa.array(texts[some], pa.string()))
+                    else:
+                        arrays.append(given[place].take(cells_at))
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    named = captures.select(*[F.col(n).alias(k.name) for n, k in zip(keep, kept)], F.col(html_col).alias("_page"))
+    cells = _with_page(named, [k.name for k in kept], "_page").mapInArrow(scan, schema)
+    return cells.select(
+        *[F.col(k.name).alias(n) for n, k in zip(keep, kept)],
+        *[f"`{n}`" for n in (fields if fields is not None else [f.name for f in wanted])],
+    )
 
 
 def flat_rows(pages: DataFrame, keep: list[str]) -> DataFrame:

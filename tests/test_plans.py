@@ -51,3 +51,11 @@ def test_lookups_broadcast_only_the_fixed_dimension(spark):
 
 def test_holiday_rule_needs_no_join(spark):
     assert "Join" not in plan(spark, "business_days")
+
+
+@pytest.mark.parametrize("name", ["pivot_rows_roundtrip", "canonical_projection"])
+def test_column_mapping_is_not_repeated_per_measure(spark, name):
+    places = [line for line in plan(spark, name).splitlines() if "AS lugares#" in line]
+    assert places and not any("destino" in line for line in places)
+    # Names are put in lower case once, not for every word looked for.
+    assert plan(spark, name).count("lower(lambda n") + plan(spark, name).count("lower(lambda x") == 1

@@ -17,17 +17,20 @@ TARGETS = [fixed.BANK, *fixed.MEASURES]
 MAPPING_TYPE = "array<struct<destino:string,origen:string,tipo:string>>"
 
 
-def _first_matching(names: Column, target: str) -> Column:
-    """First column, in position order, that stands for the target; NULL without one."""
+def _first_matching(names: Column, lowered: Column, target: str) -> Column:
+    """First column, in position order, that stands for the target; NULL without one.
+
+    ``lowered`` holds the names in lower case, made once for all targets.
+    """
     if target == fixed.BANK:
         found = F.filter(names, lambda n: n == fixed.BANK)
     elif target in fixed.MEASURE_EXACT:
-        found = F.filter(names, lambda n: F.lower(n).isin(fixed.MEASURE_EXACT[target]))
+        found = F.filter(names, lambda n, i: F.get(lowered, i).isin(fixed.MEASURE_EXACT[target]))
     else:
         words = fixed.MEASURE_KEYWORDS[target]
         found = F.filter(
             names,
-            lambda n: reduce(lambda a, b: a | b, [F.lower(n).contains(w.lower()) for w in words]),
+            lambda n, i: reduce(lambda a, b: a | b, [F.get(lowered, i).contains(w.lower()) for w in words]),
         )
     return F.try_element_at(found, F.lit(1))
 
@@ -39,17 +42,20 @@ def map_columns(df: DataFrame, names: str = "columnas", out: str = "mapa") -> Da
     columns no target uses, in order. That can be wrong, hence the mark. ``names`` is the
     full list of columns, bank first.
     """
-    matched = df.withColumn(
+    lowered = df.withColumn("_minusculas", F.transform(names, lambda n: F.lower(n)))
+    matched = lowered.withColumn(
         "_por_clave",
         F.array(
             *[
-                F.struct(F.lit(t).alias("destino"), _first_matching(F.col(names), t).alias("origen"))
+                F.struct(F.lit(t).alias("destino"), _first_matching(F.col(names), F.col("_minusculas"), t).alias("origen"))
                 for t in TARGETS
             ]
         ),
     )
-    used = F.transform("_por_clave", lambda m: m["origen"])
-    spare = F.filter(names, lambda n: ~F.coalesce(F.array_contains(F.array_compact(used), n), F.lit(False)))
+    # A list of the columns in use would be made again for every name.
+    spare = F.filter(
+        names, lambda n: ~F.coalesce(F.exists("_por_clave", lambda m: m["origen"] == n), F.lit(False))
+    )
     lacking = F.transform(
         F.filter("_por_clave", lambda m: m["origen"].isNull() & (m["destino"] != fixed.BANK)),
         lambda m: m["destino"],
@@ -67,7 +73,7 @@ def map_columns(df: DataFrame, names: str = "columnas", out: str = "mapa") -> Da
         )
 
     return placed.withColumn(out, F.transform("_por_clave", complete)).drop(
-        "_por_clave", "_libres", "_faltan"
+        "_minusculas", "_por_clave", "_libres", "_faltan"
     )
 
 
@@ -90,19 +96,17 @@ def _places(tables: DataFrame, measures: list[str]) -> DataFrame:
     mapped = map_columns(
         tables.withColumn("_todas", with_bank_first(F.col("columnas"))), names="_todas"
     )
-    wanted = F.array(*[F.lit(m) for m in measures])
-    sources = F.transform(
-        wanted, lambda t: F.get(F.filter("mapa", lambda m: m["destino"] == t), F.lit(0))["origen"]
+    # Each measure has its place in the mapping. Looked up by name inside a function over the measures, the optimiser
+    # would put the whole mapping into that function, to be worked out again for each of them.
+    sources = F.array(
+        *[
+            F.get("mapa", F.lit(TARGETS.index(m)))["origen"] if m in TARGETS else F.lit(None).cast("string")
+            for m in measures
+        ]
     )
     return mapped.withColumn(
         "lugares",
-        F.transform(
-            sources,
-            lambda s: F.when(
-                F.array_position("columnas", s) > 0,
-                F.get("indices", F.array_position("columnas", s).cast("int") - 1),
-            ),
-        ),
+        F.transform(sources, lambda s: F.get("indices", F.array_position("columnas", s).cast("int") - 1)),
     ).drop("_todas")
 
 

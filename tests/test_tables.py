@@ -263,3 +263,24 @@ def test_cells_of_some_fields_and_of_many_pages(spark):
     few = tables.html_cells(df, ["row"], fields=["text", "col"])
     assert few.columns == ["row", "text", "col"]
     assert few.filter("row <> 2").collect() == [(1, "a", 0), (5, "b", 0), (5, "c", 1)]
+
+
+def test_blank_texts_inside_many_cells_are_met_once():
+    import time
+
+    began = time.monotonic()
+    assert len(table_scan.page_cells("<table><tr><td> \n" * 20_000)) == 20_000
+    row = "<tr>" + "<td><br>a<br>b</td>" * 20_000
+    assert table_scan.page_tables("<table>" + row)[0][10][0][4:6] == (["ab"] * 20_000, ["a"] * 20_000)
+    assert time.monotonic() - began < 10
+
+
+def test_equal_spare_names_and_rows_after_the_heading(spark):
+    df = spark.createDataFrame([([fixed.BANK, "x", "x", "CTS", None],)], "columnas array<string>")
+    mapped = reshape.map_columns(df).first().mapa
+    assert [(m.origen, m.tipo) for m in mapped] == [
+        (fixed.BANK, "keyword"), ("x", "positional"), ("x", "positional"), (None, None), *[(None, None)] * 4, ("CTS", "keyword"),
+    ]
+    html = "<table><thead><tr><th>h</th></tr></thead><tr><td>1</td></tr><tr><td>2</td></tr></table>"
+    pages = tables.page_tables(spark.createDataFrame([(1, html)], "id int, html string"))
+    assert pages.select(tables.body_rows(F.get("tables", F.lit(0))).alias("r")).first().r == [["1"], ["2"]]

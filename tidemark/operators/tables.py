@@ -321,7 +321,7 @@ def largest_nested(tables: Column, outer: Column) -> Column:
 def body_rows(table: Column) -> Column:
     """Non-blank body rows, each as the first lines of its cells."""
     head_rows = F.size(F.filter(table["rows"], lambda r: r["in_head"]))
-    after_head = F.filter(table["rows"], lambda r, i: i >= head_rows)
+    after_head = F.slice(table["rows"], head_rows + 1, F.greatest(F.size(table["rows"]) - head_rows, F.lit(0)))
     rows = F.when(
         table["has_body"], F.filter(table["rows"], lambda r: r["in_body"])
     ).otherwise(after_head)
